@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
+from ledgerlens.session import cut
 
 from . import behaviour, ordered, rfm
 
@@ -68,7 +69,8 @@ def sign_counts(df: DataFrame, value: str = "Value") -> DataFrame:
 
 
 def fill_with_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace NULL by the column's median over all rows."""
+    """Replace NULL by the column's median over all rows; the table is written once, read twice."""
+    df = cut(df)
     med = ordered.quantile_row(df, cols, [0.5])
     m = med.select(F.struct(*[f"{c}_q0" for c in cols])).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), m[f"{c}_q0"]) for c in cols})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
+from ledgerlens.session import cut
 
 from . import ordered
 
@@ -33,7 +34,7 @@ def weighted_score(df: DataFrame, weights: dict[str, float] = SCORE_WEIGHTS) ->
 
 def threshold_label(df: DataFrame, share: float = 0.1, weights: dict[str, float] = SCORE_WEIGHTS) -> DataFrame:
     """1 for customers whose weighted z-score reaches the ``1 - share`` quantile."""
-    scored = weighted_score(df, weights)
+    scored = weighted_score(cut(df), weights)
     limit = ordered.quantile_row(scored, ["score"], [1 - share]).select("score_q0").scalar()
     return scored.withColumn("is_high_risk", (F.col("score") >= limit).cast("int"))
 

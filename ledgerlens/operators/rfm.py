@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
+from ledgerlens.session import cut
 
 from . import ordered
 
@@ -209,12 +210,12 @@ def lifetime_value(df: DataFrame) -> DataFrame:
 
 
 def lifetime_segments(df: DataFrame) -> DataFrame:
-    return quartile_tier(lifetime_value(df), "Predicted_CLV", CLV_LABELS, "CLV_Segment")
+    return quartile_tier(cut(lifetime_value(df)), "Predicted_CLV", CLV_LABELS, "CLV_Segment")
 
 
 def top_share(df: DataFrame, key: str, measure: str, share: float = 0.05) -> DataFrame:
     """Part of the measure held by the top ``share`` of rows, with its risk band."""
-    pos = ordered.numbered(df.select(key, measure), measure, key, "pos", descending=True)
+    pos = ordered.numbered(cut(df.select(key, measure)), measure, key, "pos", descending=True)
     top = F.col("pos") <= F.floor(F.lit(share) * F.col("pos_of"))
     ratio = X.ratio(F.sum(F.when(top, F.col(measure)).otherwise(0.0)), F.sum(measure)) * 100
     return pos.agg(
@@ -229,7 +230,8 @@ def top_share(df: DataFrame, key: str, measure: str, share: float = 0.05) -> Dat
 
 def lorenz(df: DataFrame, key: str, measure: str) -> DataFrame:
     """Points of the concentration curve, largest value first, one per distinct value."""
-    cutdf = ordered.with_bucket(df.select(measure), [measure], ordered.splits(df, [measure]))
+    narrow = cut(df.select(measure))
+    cutdf = ordered.with_bucket(narrow, [measure], ordered.splits(narrow, [measure]))
     desc = cutdf.withColumns({"neg": -F.col(measure), "nb": -F.col(f"{measure}_bucket")})
     t = ordered.running_totals(desc, [], "neg", "nb", {"n": F.count(F.lit(1)), "v": F.sum(measure)})
     return t.select(
