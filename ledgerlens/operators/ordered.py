@@ -264,3 +264,51 @@ def modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
         out.append(field.cast(types[c]).alias(c))
         out.append((-F.col(f"m{i}")["col1"]).alias(f"{c}_count"))
     return best.select(*keys, *out)
+
+
+def rank_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Attach ``<col>_rank`` (average ties, among ``keys``) for several columns; one edge scan for all."""
+    keys = list(keys)
+    edges = splits(df, list(cols))
+    out = df
+    for c in cols:
+        cut = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())
+        r = average_ranks(cut, keys, c, f"{c}_bucket").select(*keys, c, F.col("avg_rank").alias(f"{c}_rank"))
+        out = out.join(r, [*keys, c], "left")
+    return out
+
+
+def concordance(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Concordant and discordant pair counts of two columns without forming pairs.
+
+    ``y`` is coded by its dense position. Two different codes share their high bits down to exactly
+    one level where one has bit 0 and the other bit 1, so per level and shared prefix it is enough
+    to know, in ``x`` order, how many zeros and ones came before: log2(distinct y) running totals.
+    """
+    g = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    edges = splits(df, [x, y])
+    ys = with_bucket(g.select(y).distinct(), [y], {y: edges[y]})
+    coded = running_totals(ys, [], y, f"{y}_bucket", {"one": F.count(F.lit(1))}).select(
+        y, F.col("one_before").cast("bigint").alias("code"), F.col("one_total").alias("distinct_y")
+    )
+    levels = max(1, int(ys.agg(F.countDistinct(y)).first()[0] - 1).bit_length())
+    cells = with_bucket(g, [x], {x: edges[x]}).join(coded.select(y, "code"), y)
+    split = cells.select(
+        x, f"{x}_bucket", "n", "code", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
+    ).select(
+        x,
+        f"{x}_bucket",
+        "n",
+        "level",
+        F.expr("shiftright(code, level + 1)").alias("prefix"),
+        F.expr("shiftright(code, level) & 1").alias("bit"),
+    )
+    zero = F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0.0))
+    one = F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0.0))
+    t = running_totals(split, ["level", "prefix"], x, f"{x}_bucket", {"z": zero, "o": one})
+    pairs = t.agg(
+        F.sum(F.col("o") * F.col("z_before")).alias("concordant"), F.sum(F.col("z") * F.col("o_before")).alias("discordant")
+    )
+    tie = lambda c, name: g.groupBy(c).agg(F.sum("n").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name)).scalar()
+    rows = g.agg(F.sum("n")).scalar()
+    return pairs.withColumns({"rows": rows, "ties_x": tie(x, "tx"), "ties_y": tie(y, "ty")})

@@ -40,3 +40,379 @@ def describe(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFra
     )
     q = ordered.quantiles(df, cols, probs).withColumnsRenamed({f"q{i}": f"q{round(p * 100)}" for i, p in enumerate(probs)})
     return stats.join(q, "feature")
+
+
+def structure(df: DataFrame) -> DataFrame:
+    """Rows, columns and number of columns per type family, in long form."""
+    fixed = {"columns": len(df.columns)} | {f"{k}_columns": len(columns_of(df, k)) for k in FAMILIES}
+    cells = [F.struct(F.lit("rows").alias("metric"), F.col("rows").alias("value"))]
+    cells += [F.struct(F.lit(k).alias("metric"), F.lit(v).cast("bigint").alias("value")) for k, v in fixed.items()]
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(F.inline(F.array(*cells)))
+
+
+def column_overview(df: DataFrame) -> DataFrame:
+    """Non-null, null and distinct counts per column: two aggregation steps over (column, value)."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])
+    return (
+        df.select(F.inline(cells))
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("column")
+        .agg(
+            F.sum("n").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+            F.count("value").alias("distinct_values"),
+        )
+        .withColumn("nulls", F.col("rows") - F.col("non_null"))
+        .withColumn("null_pct", X.ratio("nulls", "rows") * 100)
+    )
+
+
+def distribution(df: DataFrame, cols: list[str]) -> DataFrame:
+    d = describe(df, cols)
+    normal = (F.abs("skewness") < 0.5) & (F.abs("kurtosis") < 1)
+    return d.withColumns({"iqr": F.col("q75") - F.col("q25"), "is_normal": normal})
+
+
+def shape_reading(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Words for skewness and kurtosis and whether a transform is advised."""
+    sk, ku = F.abs("skewness"), F.col("kurtosis")
+    return describe(df, cols).withColumns(
+        {
+            "skew_reading": X.bands(sk, [(0.5, "Approximately symmetric"), (1.0, "Moderately skewed")], "Highly skewed", closed="left"),
+            "kurtosis_reading": F.when(ku > 0, "Leptokurtic").when(ku < 0, "Platykurtic").otherwise("Mesokurtic"),
+            "transform": F.when(sk > 1, "Yes").otherwise("No"),
+        }
+    )
+
+
+def category_summary(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct values, mode with its share, and entropy in bits per categorical column."""
+    from . import relations
+
+    counts = relations.value_counts(df, cols)
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    p = X.ratio("n", "total")
+    return (
+        counts.join(totals, "column")
+        .groupBy("column")
+        .agg(
+            F.count(F.lit(1)).alias("distinct_values"),
+            F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("value"))).alias("top"),
+            F.max("total").alias("total"),
+            (-F.sum(p * F.log2(p + F.lit(1e-10)))).alias("entropy"),
+        )
+        .select(
+            "column",
+            "distinct_values",
+            F.col("top.value").alias("mode"),
+            (X.ratio(-F.col("top.neg"), "total") * 100).alias("mode_pct"),
+            "entropy",
+        )
+    )
+
+
+def histogram(df: DataFrame, col: str, bins: int, keys: list[str] = ()) -> DataFrame:
+    """Counts in ``bins`` equal bins between the smallest and largest value (per key)."""
+    keys = list(keys)
+    v = F.col(col).cast("double")
+    rows = df.where(F.col(col).isNotNull())
+    if keys:
+        span = rows.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+        rows = rows.join(span, keys)
+        lo, hi = F.col("__lo"), F.col("__hi")
+    else:
+        span = rows.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).select(F.struct("lo", "hi")).scalar()
+        lo, hi = span["lo"], span["hi"]
+    return rows.groupBy(*keys, X.equal_width_bin(col, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_entropy(df: DataFrame, key: str, col: str, bins: int = 20) -> DataFrame:
+    """Entropy in bits of each key's histogram."""
+    h = histogram(df, col, bins, [key])
+    totals = h.groupBy(key).agg(F.sum("n").alias("total"))
+    p = X.ratio("n", "total")
+    return h.join(totals, key).groupBy(key).agg((-F.sum(p * F.log2(p))).alias("entropy"))
+
+
+# --- correlation --------------------------------------------------------------------------------
+
+
+def _pairs_long(one: DataFrame, pairs: list[tuple[str, str]], extra: tuple[str, ...] = ()) -> DataFrame:
+    cells = [
+        F.struct(
+            F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.col(f"r{i}").alias("correlation")
+        )
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return one.select(*extra, F.inline(F.array(*cells)))
+
+
+def pearson(df: DataFrame, cols: list[str], names: dict[str, str] | None = None) -> DataFrame:
+    """Upper triangle of the correlation matrix: every pair in one aggregate."""
+    pairs = list(combinations(cols, 2))
+    src = names or {c: c for c in cols}
+    one = df.agg(*[F.corr(F.col(src[a]).cast("double"), F.col(src[b]).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return _pairs_long(one, pairs)
+
+
+def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Correlation of average ranks."""
+    ranked = ordered.rank_columns(df.select(*cols), cols)
+    return pearson(ranked, cols, {c: f"{c}_rank" for c in cols})
+
+
+def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Tie-corrected Kendall correlation (tau-b) of every pair."""
+    out = None
+    for a, b in combinations(cols, 2):
+        c = ordered.concordance(df, a, b)
+        all_pairs = F.col("rows") * (F.col("rows") - 1) / 2
+        tau = X.ratio(
+            F.col("concordant") - F.col("discordant"),
+            F.sqrt((all_pairs - F.col("ties_x")) * (all_pairs - F.col("ties_y"))),
+        )
+        row = c.select(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), tau.alias("correlation"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def strong_pairs(pairs: DataFrame, limit: float = 0.7) -> DataFrame:
+    size = F.abs("correlation")
+    return pairs.where(size > limit).withColumn("strength", F.when(size > 0.8, "Very Strong").otherwise("Strong"))
+
+
+def pair_risk(pairs: DataFrame) -> DataFrame:
+    size = F.abs("correlation")
+    return pairs.withColumn("risk", F.when(size > 0.7, 3).when(size > 0.3, 2).when(size > 0.1, 1).otherwise(0))
+
+
+def with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """Correlation of each column with the target."""
+    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}") for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("correlation")) for i, c in enumerate(cols)]
+    return one.select(F.inline(F.array(*cells)))
+
+
+# Two-sided normal limits of the 5 %, 1 % and 0.1 % levels (fixed values).
+Z_LEVELS = (1.959963984540054, 2.5758293035489004, 3.2905267314919255)
+
+
+def significance(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    """Spearman correlation with the target, pairwise complete, with Fisher's z and its stars.
+
+    The p-value is the normal approximation of z, computed on the one row per feature.
+    """
+    import pandas as pd
+
+    out = None
+    for c in cols:
+        both = df.select(c, target).where(F.col(c).isNotNull() & F.col(target).isNotNull())
+        r = ordered.rank_columns(both, [c, target])
+        one = r.agg(F.corr(f"{c}_rank", f"{target}_rank").alias("correlation"), F.count(F.lit(1)).alias("n"))
+        one = one.withColumn("feature", F.lit(c))
+        out = one if out is None else out.unionByName(one)
+    z = F.atanh("correlation") * F.sqrt(F.col("n") - 3.0)
+    out = out.withColumn("z", z)
+
+    @F.pandas_udf("double")
+    def two_sided(zs: pd.Series) -> pd.Series:
+        return zs.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
+
+    size = F.abs("z")
+    stars = F.when(size > Z_LEVELS[2], "***").when(size > Z_LEVELS[1], "**").when(size > Z_LEVELS[0], "*").otherwise("")
+    return out.withColumns({"p_value": two_sided("z"), "significance": stars})
+
+
+def correlation_matrix(df: DataFrame, cols: list[str]):
+    """The p x p matrix on the driver; its size is the number of columns, not of rows."""
+    import numpy as np
+
+    rows = {(r.feature_1, r.feature_2): r.correlation for r in pearson(df.dropna(subset=cols), cols).collect()}
+    return np.array([[1.0 if a == b else rows.get((a, b), rows.get((b, a))) for b in cols] for a in cols], dtype=float)
+
+
+def vif(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Variance inflation factors: the diagonal of the inverse correlation matrix, banded."""
+    import numpy as np
+
+    inverse = np.linalg.pinv(correlation_matrix(df, cols))
+    rows = [(c, float(inverse[i, i])) for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, "feature string, vif double")
+    return out.withColumn("risk", X.cut_left_open("vif", [0, 5, 10, 20, float("inf")], ["Low", "Medium", "High", "Very High"]))
+
+
+def partial_correlation(df: DataFrame, x: str, y: str, controls: list[str]) -> DataFrame:
+    """Correlation of ``x`` and ``y`` with the controls held fixed."""
+    import numpy as np
+
+    p = np.linalg.pinv(correlation_matrix(df, [x, y, *controls]))
+    r = float(-p[0, 1] / math.sqrt(p[0, 0] * p[1, 1]))
+    return df.sparkSession.createDataFrame(
+        [(x, y, ",".join(controls), r)], "feature_1 string, feature_2 string, controls string, correlation double"
+    )
+
+
+def segment_spearman(df: DataFrame, segment: str, cols: list[str], min_rows: int = 100) -> DataFrame:
+    """Spearman pairs inside each segment with more than ``min_rows`` rows."""
+    pairs = list(combinations(cols, 2))
+    ranked = ordered.rank_columns(df.select(segment, *cols), cols, [segment])
+    one = ranked.groupBy(segment).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.corr(f"{a}_rank", f"{b}_rank").alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+    )
+    return _pairs_long(one.where(F.col("n") > min_rows), pairs, (segment, "n"))
+
+
+def correlation_graph(pairs: DataFrame, cols: list[str], limit: float = 0.3) -> DataFrame:
+    """Degree and degree centrality of each feature over edges stronger than ``limit``."""
+    edges = pairs.where(F.abs("correlation") > limit)
+    ends = edges.select(F.explode(F.array("feature_1", "feature_2")).alias("feature"))
+    degree = ends.groupBy("feature").agg(F.count(F.lit(1)).alias("degree"))
+    nodes = pairs.select(F.explode(F.array("feature_1", "feature_2")).alias("feature")).distinct()
+    return nodes.join(degree, "feature", "left").select(
+        "feature",
+        F.coalesce("degree", F.lit(0)).alias("degree"),
+        (F.coalesce("degree", F.lit(0)) / F.lit(float(max(1, len(cols) - 1)))).alias("centrality"),
+    )
+
+
+def recommendations(df: DataFrame, cols: list[str], target: str, vif_cols: list[str]) -> DataFrame:
+    """Priority per feature from its target correlation, null share and inflation factor."""
+    nulls = column_overview(df.select(*cols)).select(F.col("column").alias("feature"), "null_pct")
+    r = F.abs("target_correlation")
+    base = with_target(df, cols, target).withColumnRenamed("correlation", "target_correlation").join(nulls, "feature")
+    joined = base.join(vif(df, vif_cols), "feature", "left")
+    return joined.withColumns(
+        {
+            "priority": F.when(r > 0.3, "high").when(r > 0.1, "medium").otherwise("low"),
+            "drop": F.col("null_pct") > 30,
+            "multicollinear": F.coalesce(F.col("vif") > 5, F.lit(False)),
+        }
+    )
+
+
+def stability_index(base: DataFrame, actual: DataFrame, col: str, bins: int = 10, limit: float = 0.25) -> DataFrame:
+    """Population stability index over the base's quantile bins."""
+    probs = [i / bins for i in range(1, bins)]
+    edges = ordered.quantile_row(base, [col], probs).select(F.array(*[f"{col}_q{i}" for i in range(len(probs))])).scalar()
+    # edges are read once as literals: a list of bins - 1 numbers
+    row = base.sparkSession.range(1).select(edges.alias("e")).first()
+    below = lambda: sum(((F.col(col) > F.lit(e)).cast("int") for e in row.e), F.lit(0))
+    both = base.select(below().alias("bin"), F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(
+        actual.select(below().alias("bin"), F.lit(0).alias("b"), F.lit(1).alias("a"))
+    )
+    counts = both.groupBy("bin").agg(F.sum("b").alias("base_n"), F.sum("a").alias("actual_n"))
+    tot = counts.agg(F.sum("base_n").alias("b"), F.sum("actual_n").alias("a")).select(F.struct("b", "a")).scalar()
+    floor = F.lit(1e-10)
+    b, a = F.greatest(X.ratio("base_n", tot["b"]), floor), F.greatest(X.ratio("actual_n", tot["a"]), floor)
+    return counts.agg(F.sum((a - b) * F.log(a / b)).alias("psi")).withColumn("stable", F.col("psi") < limit)
+
+
+def value_at_risk(df: DataFrame, col: str) -> DataFrame:
+    """5 % and 1 % quantiles with the mean of the values at or below each."""
+    narrow = df.select(col)
+    q = ordered.quantile_row(narrow, [col], [0.05, 0.01])
+    p = q.select(F.struct(F.col(f"{col}_q0").alias("v95"), F.col(f"{col}_q1").alias("v99"))).scalar()
+    v = F.col(col)
+    return narrow.agg(
+        F.max(p["v95"]).alias("var_95"),
+        F.max(p["v99"]).alias("var_99"),
+        F.avg(F.when(v <= p["v95"], v)).alias("es_95"),
+        F.avg(F.when(v <= p["v99"], v)).alias("es_99"),
+    )
+
+
+def volatility(df: DataFrame, col: str, periods: int = 252) -> DataFrame:
+    year = math.sqrt(periods)
+    return df.agg(
+        F.stddev(col).alias("volatility"),
+        (F.stddev(col) * year).alias("annualized_volatility"),
+        (X.ratio(F.avg(col), F.stddev(col)) * year).alias("sharpe_ratio"),
+        X.ratio(F.stddev(col), F.avg(col)).alias("coefficient_of_variation"),
+    )
+
+
+def normality(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Jarque-Bera statistic over all rows; normal while below the 5 % limit of chi-square(2)."""
+    jb = F.col("n") / 6.0 * (F.col("pop_skewness") ** 2 + F.col("pop_kurtosis") ** 2 / 4.0)
+    return describe(df, cols).withColumn("jarque_bera", jb).withColumn("looks_normal", F.col("jarque_bera") < 5.991464547107979)
+
+
+def skew_transforms(df: DataFrame, col: str) -> DataFrame:
+    """Population skewness and kurtosis of the raw, log, square-root and cube-root values."""
+    low = df.select(F.min(col)).scalar()
+    v = F.col(col)
+    variants = {"original": v, "log": F.log1p(v - low + 1), "square_root": F.sqrt(v - low), "cube_root": F.cbrt(v)}
+    cells = F.array(*[F.struct(F.lit(k).alias("transform"), e.alias("v")) for k, e in variants.items()])
+    return df.select(F.inline(cells)).groupBy("transform").agg(F.skewness("v").alias("skewness"), F.kurtosis("v").alias("kurtosis"))
+
+
+LAMBDAS = [round(-2 + 0.1 * i, 1) for i in range(41)]
+
+
+def box_cox(v: Column, lam: Column) -> Column:
+    return F.when(lam == 0, F.log(v)).otherwise((F.pow(v, lam) - 1) / X.divisor_or_one(lam))
+
+
+def yeo_johnson(v: Column, lam: Column) -> Column:
+    up = F.when(lam == 0, F.log1p(F.greatest(v, F.lit(0.0)))).otherwise(
+        (F.pow(F.greatest(v, F.lit(0.0)) + 1, lam) - 1) / X.divisor_or_one(lam)
+    )
+    mirror = 2 - lam
+    low = F.when(mirror == 0, -F.log1p(F.greatest(-v, F.lit(0.0)))).otherwise(
+        -(F.pow(F.greatest(-v, F.lit(0.0)) + 1, mirror) - 1) / X.divisor_or_one(mirror)
+    )
+    return F.when(v >= 0, up).otherwise(low)
+
+
+def power_transform(df: DataFrame, col: str, method: str, lambdas: list[float] = LAMBDAS) -> DataFrame:
+    """Log-likelihood of each power on a grid, with the best one flagged: one pass over the rows.
+
+    Box-Cox needs positive values throughout; otherwise every likelihood is NULL.
+    """
+    v = F.col(col).cast("double")
+    rows = df.where(v.isNotNull())
+    n = F.count(F.lit(1)).cast("double")
+    if method == "box_cox":
+        jac = F.sum(F.when(v > 0, F.log(F.greatest(v, F.lit(5e-324)))))
+        make = lambda lam: box_cox(F.when(v > 0, v), lam)
+        ok = F.min(v) > 0
+    else:
+        jac = F.sum(F.signum(v) * F.log1p(F.abs(v)))
+        make = lambda lam: yeo_johnson(v, lam)
+        ok = F.lit(True)
+    aggs = [ok.alias("ok"), jac.alias("jac"), n.alias("n")]
+    aggs += [F.var_pop(make(F.lit(float(lam)))).alias(f"v{i}") for i, lam in enumerate(lambdas)]
+    aggs += [F.skewness(make(F.lit(float(lam)))).alias(f"s{i}") for i, lam in enumerate(lambdas)]
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(float(lam)).alias("lambda"),
+                F.when(F.col("ok"), (F.lit(float(lam)) - 1) * F.col("jac") - F.col("n") / 2 * F.log(f"v{i}")).alias("log_likelihood"),
+                F.col(f"s{i}").alias("skewness"),
+            )
+            for i, lam in enumerate(lambdas)
+        ]
+    )
+    grid = rows.agg(*aggs).select(F.inline(cells))
+    best = grid.agg(F.max_by("lambda", "log_likelihood"))
+    return grid.withColumns({"method": F.lit(method), "best": F.col("lambda") == best.scalar()})
+
+
+def chi_square(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """2 x 2 chi-square with continuity correction; significant above the 5 % limit."""
+    t = df.agg(
+        F.count_if(a & b).cast("double").alias("n11"),
+        F.count_if(a & ~b).cast("double").alias("n10"),
+        F.count_if(~a & b).cast("double").alias("n01"),
+        F.count_if(~a & ~b).cast("double").alias("n00"),
+    )
+    n11, n10, n01, n00 = (F.col(c) for c in ("n11", "n10", "n01", "n00"))
+    n = n11 + n10 + n01 + n00
+    gap = F.abs(n11 * n00 - n10 * n01)
+    edge = (n11 + n10) * (n01 + n00) * (n11 + n01) * (n10 + n00)
+    shifted = F.greatest(gap - n / 2, F.lit(0.0))
+    return t.withColumn("chi_square", X.ratio(n * shifted * shifted, edge)).withColumn(
+        "significant", F.col("chi_square") > 3.841458820694124
+    )

@@ -61,15 +61,15 @@ def shape_sql(sql: str, out: str) -> str:
     picked = []
     for name, kind in _columns(out):
         if kind == "i":
-            e = f"CAST({name} AS BIGINT)"
+            e = f"CAST(\"{name}\" AS BIGINT)"
         elif kind == "s":
-            e = f"CAST({name} AS VARCHAR)"
+            e = f"CAST(\"{name}\" AS VARCHAR)"
         elif kind == "b":
-            e = f"CAST({name} AS BOOLEAN)"
+            e = f"CAST(\"{name}\" AS BOOLEAN)"
         else:
             d = int(kind)
-            e = f"round(CAST({name} AS DOUBLE) + CAST({NUDGE * 10.0**-d!r} AS DOUBLE), {d}) + CAST(0.0 AS DOUBLE)"
-        picked.append(f"{e} AS {name}")
+            e = f"round(CAST(\"{name}\" AS DOUBLE) + CAST({NUDGE * 10.0**-d!r} AS DOUBLE), {d}) + CAST(0.0 AS DOUBLE)"
+        picked.append(f'{e} AS "{name}"')
     return f"SELECT {', '.join(picked)} FROM ({with_views(sql)}) AS result"
 
 
