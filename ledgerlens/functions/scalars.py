@@ -146,3 +146,11 @@ def adjusted_kurtosis(c: Column | str) -> Column:
     g2 = F.kurtosis(x)
     scaled = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
     return F.when(F.count(x) < 4, F.lit(None)).when(F.min(x) == F.max(x), F.lit(0.0)).otherwise(scaled)
+
+
+def corr(a: Column | str, b: Column | str) -> Column:
+    """Pearson correlation over rows where both sides are present; NULL without spread."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    sx = F.stddev_pop(F.when(y.isNotNull(), x))
+    sy = F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), sx * sy)

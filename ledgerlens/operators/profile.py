@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +154,7 @@ def pearson(df: DataFrame, cols: list[str], names: dict[str, str] | None = None)
     """Upper triangle of the correlation matrix: every pair in one aggregate."""
     pairs = list(combinations(cols, 2))
     src = names or {c: c for c in cols}
-    one = df.agg(*[F.corr(F.col(src[a]).cast("double"), F.col(src[b]).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[X.corr(F.col(src[a]).cast("double"), F.col(src[b]).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return _pairs_long(one, pairs)
 
 
@@ -189,7 +191,7 @@ def pair_risk(pairs: DataFrame) -> DataFrame:
 
 def with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     """Correlation of each column with the target."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}") for i, c in enumerate(cols)])
+    one = df.agg(*[X.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}") for i, c in enumerate(cols)])
     cells = [F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("correlation")) for i, c in enumerate(cols)]
     return one.select(F.inline(F.array(*cells)))
 
@@ -203,15 +205,12 @@ def significance(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 
     The p-value is the normal approximation of z, computed on the one row per feature.
     """
-    import pandas as pd
-
-    out = None
-    for c in cols:
-        both = df.select(c, target).where(F.col(c).isNotNull() & F.col(target).isNotNull())
-        r = ordered.rank_columns(both, [c, target])
-        one = r.agg(F.corr(f"{c}_rank", f"{target}_rank").alias("correlation"), F.count(F.lit(1)).alias("n"))
-        one = one.withColumn("feature", F.lit(c))
-        out = one if out is None else out.unionByName(one)
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"), F.col(target).cast("double").alias("y")) for c in cols]
+    )
+    both = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    ranked = ordered.rank_columns(both, ["x", "y"], ["feature"])
+    out = ranked.groupBy("feature").agg(X.corr("x_rank", "y_rank").alias("correlation"), F.count(F.lit(1)).alias("n"))
     z = F.atanh("correlation") * F.sqrt(F.col("n") - 3.0)
     out = out.withColumn("z", z)
 
@@ -226,16 +225,12 @@ def significance(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, cols: list[str]):
     """The p x p matrix on the driver; its size is the number of columns, not of rows."""
-    import numpy as np
-
     rows = {(r.feature_1, r.feature_2): r.correlation for r in pearson(df.dropna(subset=cols), cols).collect()}
     return np.array([[1.0 if a == b else rows.get((a, b), rows.get((b, a))) for b in cols] for a in cols], dtype=float)
 
 
 def vif(df: DataFrame, cols: list[str]) -> DataFrame:
     """Variance inflation factors: the diagonal of the inverse correlation matrix, banded."""
-    import numpy as np
-
     inverse = np.linalg.pinv(correlation_matrix(df, cols))
     rows = [(c, float(inverse[i, i])) for i, c in enumerate(cols)]
     out = df.sparkSession.createDataFrame(rows, "feature string, vif double")
@@ -244,8 +239,6 @@ def vif(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def partial_correlation(df: DataFrame, x: str, y: str, controls: list[str]) -> DataFrame:
     """Correlation of ``x`` and ``y`` with the controls held fixed."""
-    import numpy as np
-
     p = np.linalg.pinv(correlation_matrix(df, [x, y, *controls]))
     r = float(-p[0, 1] / math.sqrt(p[0, 0] * p[1, 1]))
     return df.sparkSession.createDataFrame(
@@ -259,7 +252,7 @@ def segment_spearman(df: DataFrame, segment: str, cols: list[str], min_rows: int
     ranked = ordered.rank_columns(df.select(segment, *cols), cols, [segment])
     one = ranked.groupBy(segment).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.corr(f"{a}_rank", f"{b}_rank").alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+        *[X.corr(f"{a}_rank", f"{b}_rank").alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
     )
     return _pairs_long(one.where(F.col("n") > min_rows), pairs, (segment, "n"))
 
@@ -351,18 +344,16 @@ def skew_transforms(df: DataFrame, col: str) -> DataFrame:
 LAMBDAS = [round(-2 + 0.1 * i, 1) for i in range(41)]
 
 
-def box_cox(v: Column, lam: Column) -> Column:
-    return F.when(lam == 0, F.log(v)).otherwise((F.pow(v, lam) - 1) / X.divisor_or_one(lam))
+def box_cox(log_v: Column, lam: float) -> Column:
+    """Box-Cox value from the logarithm of a positive number."""
+    return log_v if lam == 0 else F.expm1(F.lit(lam) * log_v) / F.lit(lam)
 
 
-def yeo_johnson(v: Column, lam: Column) -> Column:
-    up = F.when(lam == 0, F.log1p(F.greatest(v, F.lit(0.0)))).otherwise(
-        (F.pow(F.greatest(v, F.lit(0.0)) + 1, lam) - 1) / X.divisor_or_one(lam)
-    )
-    mirror = 2 - lam
-    low = F.when(mirror == 0, -F.log1p(F.greatest(-v, F.lit(0.0)))).otherwise(
-        -(F.pow(F.greatest(-v, F.lit(0.0)) + 1, mirror) - 1) / X.divisor_or_one(mirror)
-    )
+def yeo_johnson(v: Column, log_v: Column, lam: float) -> Column:
+    """Yeo-Johnson value from a number and ``log1p`` of its size."""
+    mirror = 2.0 - lam
+    up = log_v if lam == 0 else F.expm1(F.lit(lam) * log_v) / F.lit(lam)
+    low = -log_v if mirror == 0 else -F.expm1(F.lit(mirror) * log_v) / F.lit(mirror)
     return F.when(v >= 0, up).otherwise(low)
 
 
@@ -371,33 +362,30 @@ def power_transform(df: DataFrame, col: str, method: str, lambdas: list[float] =
 
     Box-Cox needs positive values throughout; otherwise every likelihood is NULL.
     """
-    v = F.col(col).cast("double")
-    rows = df.where(v.isNotNull())
-    n = F.count(F.lit(1)).cast("double")
+    v = F.col("v")
+    rows = df.select(F.col(col).cast("double").alias("v")).where(v.isNotNull())
     if method == "box_cox":
-        jac = F.sum(F.when(v > 0, F.log(F.greatest(v, F.lit(5e-324)))))
-        make = lambda lam: box_cox(F.when(v > 0, v), lam)
-        ok = F.min(v) > 0
+        rows = rows.withColumn("u", F.when(v > 0, F.log(F.when(v > 0, v))))
+        jac, ok = F.sum("u"), F.min(v) > 0
+        made = [box_cox(F.col("u"), float(lam)) for lam in lambdas]
     else:
-        jac = F.sum(F.signum(v) * F.log1p(F.abs(v)))
-        make = lambda lam: yeo_johnson(v, lam)
-        ok = F.lit(True)
-    aggs = [ok.alias("ok"), jac.alias("jac"), n.alias("n")]
-    aggs += [F.var_pop(make(F.lit(float(lam)))).alias(f"v{i}") for i, lam in enumerate(lambdas)]
-    aggs += [F.skewness(make(F.lit(float(lam)))).alias(f"s{i}") for i, lam in enumerate(lambdas)]
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(float(lam)).alias("lambda"),
-                F.when(F.col("ok"), (F.lit(float(lam)) - 1) * F.col("jac") - F.col("n") / 2 * F.log(f"v{i}")).alias("log_likelihood"),
-                F.col(f"s{i}").alias("skewness"),
-            )
-            for i, lam in enumerate(lambdas)
-        ]
+        rows = rows.withColumn("u", F.log1p(F.abs(v)))
+        jac, ok = F.sum(F.signum(v) * F.col("u")), F.lit(True)
+        made = [yeo_johnson(v, F.col("u"), float(lam)) for lam in lambdas]
+    one = rows.agg(
+        ok.alias("ok"), jac.alias("jac"), F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.var_pop(m).alias(f"v{i}") for i, m in enumerate(made)],
     )
-    grid = rows.agg(*aggs).select(F.inline(cells))
-    best = grid.agg(F.max_by("lambda", "log_likelihood"))
-    return grid.withColumns({"method": F.lit(method), "best": F.col("lambda") == best.scalar()})
+    cells = [
+        F.struct(
+            F.lit(float(lam)).alias("lambda"),
+            F.when(F.col("ok"), (F.lit(float(lam)) - 1) * F.col("jac") - F.col("n") / 2 * F.log(f"v{i}")).alias("log_likelihood"),
+        )
+        for i, lam in enumerate(lambdas)
+    ]
+    grid = one.select(F.inline(F.array(*cells)))
+    best = grid.agg(F.max_by("lambda", "log_likelihood")).scalar()
+    return grid.withColumns({"method": F.lit(method), "best": F.col("lambda") == best})
 
 
 def chi_square(df: DataFrame, a: Column, b: Column) -> DataFrame:

@@ -178,6 +178,7 @@ PARTS = {
     "transaction_quarter": "quarter(TransactionStartTime)",
     "is_weekend": "CASE WHEN isodow(TransactionStartTime) >= 6 THEN 1 ELSE 0 END",
     "is_business_hours": "CASE WHEN hour(TransactionStartTime) BETWEEN 9 AND 17 THEN 1 ELSE 0 END",
+    "is_holiday": "CASE WHEN isodow(TransactionStartTime) >= 6 THEN 1 ELSE 0 END",
     "time_of_day": """CASE WHEN hour(TransactionStartTime) BETWEEN 5 AND 11 THEN 'morning'
         WHEN hour(TransactionStartTime) BETWEEN 12 AND 16 THEN 'afternoon'
         WHEN hour(TransactionStartTime) BETWEEN 17 AND 20 THEN 'evening' ELSE 'night' END""",
@@ -393,7 +394,7 @@ _row_parts(
     "f02_calendar_parts",
     ["transaction_day_of_week", "transaction_day_of_year", "transaction_week_of_year", "transaction_quarter"],
 )
-_row_parts("f03_time_flags", ["is_weekend", "is_business_hours"])
+_row_parts("f03_time_flags", ["is_weekend", "is_holiday", "is_business_hours"])
 _row_parts("f04_time_labels", ["time_of_day", "season"])
 
 
