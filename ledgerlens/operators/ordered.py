@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ledgerlens.session import cut
+
 INF = float("inf")
 
 
@@ -61,7 +63,7 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), *, b
     keys = list(keys)
     if bucket:
         narrow = df.select(*keys, *cols)
-        cut = with_bucket(narrow, cols, splits(narrow, cols))
+        binned = with_bucket(narrow, cols, splits(narrow, cols))
         cells = F.array(
             *[
                 F.struct(
@@ -73,11 +75,11 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), *, b
             ]
         )
     else:
-        cut = df
+        binned = df
         cells = F.array(
             *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]
         )
-    return cut.select(*keys, F.inline(cells)).where(F.col("value").isNotNull())
+    return binned.select(*keys, F.inline(cells)).where(F.col("value").isNotNull())
 
 
 def running_totals(
@@ -170,8 +172,8 @@ def ranks_of(df: DataFrame, col: str, out: str, total: str | None = None, keys:
     """Attach the average rank of ``col`` (and the group size) to every row."""
     keys = list(keys)
     edges = splits(df, [col])
-    cut = with_bucket(df.select(*keys, col), [col], edges).where(F.col(col).isNotNull())
-    r = average_ranks(cut, keys, col, f"{col}_bucket")
+    binned = with_bucket(df.select(*keys, col), [col], edges).where(F.col(col).isNotNull())
+    r = average_ranks(binned, keys, col, f"{col}_bucket")
     names = {"avg_rank": out, "n": total or f"__n_{out}"}
     r = r.drop("cnt").withColumnsRenamed(names)
     joined = df.join(r, [*keys, col], "left")
@@ -183,12 +185,12 @@ def numbered(df: DataFrame, order: str, id_col: str, out: str, keys: Iterable[st
     keys = list(keys)
     # heavy ties on the order value are cut again by the id
     edges = splits(df, [order, id_col])
-    cut = with_bucket(df, [order, id_col], edges)
+    binned = with_bucket(df, [order, id_col], edges)
     ob, ib = f"{order}_bucket", f"{id_col}_bucket"
     signed = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     chunk = [*keys, ob, order, ib]
     # values: (order value, id bucket) pieces; rows inside one piece share the value
-    tied = cut.groupBy(*chunk).agg(F.count(F.lit(1)).alias("__c"))
+    tied = binned.groupBy(*chunk).agg(F.count(F.lit(1)).alias("__c"))
     in_bucket = W.partitionBy(*keys, ob).orderBy(signed(order), F.col(ib)).rowsBetween(W.unboundedPreceding, -1)
     pieces = tied.withColumn("__a", F.coalesce(F.sum("__c").over(in_bucket), F.lit(0)))
     tops = tied.groupBy(*keys, ob).agg(F.sum("__c").alias("__b"))
@@ -199,7 +201,7 @@ def numbered(df: DataFrame, order: str, id_col: str, out: str, keys: Iterable[st
     )
     pieces = pieces.join(tops, [*keys, ob]).drop("__c")
     inside = W.partitionBy(*chunk).orderBy(id_col)
-    rows = cut.withColumn("__r", F.row_number().over(inside))
+    rows = binned.withColumn("__r", F.row_number().over(inside))
     return (
         rows.join(pieces, chunk)
         .withColumn(out, F.col("__r") + F.col("__a") + F.col("__o"))
@@ -216,10 +218,10 @@ def previous_time(
     of a chunk takes the last timestamp of the key's previous non-empty chunk.
     """
     width = chunk_hours * 3_600_000_000
-    cut = df.withColumn("__chunk", F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint"))
+    binned = df.withColumn("__chunk", F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint"))
     inside = W.partitionBy(key, "__chunk").orderBy(ts, tie)
-    rows = cut.withColumn("__in", F.lag(ts).over(inside))
-    lasts = cut.groupBy(key, "__chunk").agg(F.max(ts).alias("__last"))
+    rows = binned.withColumn("__in", F.lag(ts).over(inside))
+    lasts = binned.groupBy(key, "__chunk").agg(F.max(ts).alias("__last"))
     carried = lasts.select(
         key, "__chunk", F.lag("__last").over(W.partitionBy(key).orderBy("__chunk")).alias("__carry")
     )
@@ -272,8 +274,8 @@ def rank_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -
     edges = splits(df, list(cols))
     out = df
     for c in cols:
-        cut = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())
-        r = average_ranks(cut, keys, c, f"{c}_bucket").select(*keys, c, F.col("avg_rank").alias(f"{c}_rank"))
+        binned = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())
+        r = average_ranks(binned, keys, c, f"{c}_bucket").select(*keys, c, F.col("avg_rank").alias(f"{c}_rank"))
         out = out.join(r, [*keys, c], "left")
     return out
 
@@ -312,3 +314,31 @@ def concordance(df: DataFrame, x: str, y: str) -> DataFrame:
     tie = lambda c, name: g.groupBy(c).agg(F.sum("n").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name)).scalar()
     rows = g.agg(F.sum("n")).scalar()
     return pairs.withColumns({"rows": rows, "ties_x": tie(x, "tx"), "ties_y": tie(y, "ty")})
+
+
+def positions(distinct: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """0-based position of each distinct value in sort order, for any sortable type.
+
+    The values are range-partitioned and sorted; the running id of a partition plus the number of
+    values in lower partitions is the position. The ranged table is written once, so that the
+    partition borders cannot move between the two reads.
+    """
+    ranged = cut(
+        distinct.select(col)
+        .repartitionByRange(F.col(col))
+        .sortWithinPartitions(col)
+        .withColumn("__m", F.monotonically_increasing_id())
+    )
+    marked = ranged.select(col, F.shiftright("__m", 33).alias("__p"), F.expr("__m & 8589934591").alias("__i"))
+    # one row per partition
+    sizes = marked.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
+    lower = W.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__p", F.coalesce(F.sum("__c").over(lower), F.lit(0)).alias("__o"))
+    return marked.join(offsets, "__p").select(col, (F.col("__i") + F.col("__o")).alias(out))
+
+
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact quantiles as numbers on the driver: ``len(cols) * len(probs)`` of them."""
+    rows = quantiles(df, cols, probs).collect()
+    found = {r["feature"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    return {c: found.get(c, [None] * len(probs)) for c in cols}
