@@ -27,10 +27,10 @@ def stratified_split(df: DataFrame, label: str, key: str, shares: dict[str, int]
     """Deterministic split per label; ``shares`` are percentages in order.
 
     Rows are ordered by the MD5 of their key inside each label. The first hex digits cut that order
-    into 4096 even pieces, so one label with most of the rows is still spread over many tasks.
+    into 65536 even pieces, so one label with most of the rows is still spread over many tasks.
     """
     digest = F.md5(F.col(key).cast("string"))
-    rows = df.withColumns({"__d": digest, "__p": F.substring(digest, 1, 3)})
+    rows = df.withColumns({"__d": digest, "__p": F.substring(digest, 1, 4)})
     inside = W.partitionBy(label, "__p").orderBy("__d", key)
     rows = rows.withColumn("__r", F.row_number().over(inside))
     pieces = rows.groupBy(label, "__p").agg(F.count(F.lit(1)).alias("__c"))

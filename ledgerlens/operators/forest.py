@@ -79,29 +79,37 @@ def isolation_scores(df: DataFrame, key: str, cols: list[str], trees: int = 100,
     samples = tree_samples(df, key, cols, trees, size, seed)
     grown = samples.groupBy("tree").applyInPandas(lambda part: grow(part, cols, seed), NODES)
     # at most trees * 2 * size rows
-    model = [t.drop(columns=["tree"]).sort_values("node") for _, t in grown.toPandas().groupby("tree")]
-    packed = [tuple(t[c].to_numpy() for c in ("feature", "threshold", "low", "high", "size")) for t in model]
-    norm = path_length(max(float(p[4][0]) for p in packed))
-    shared = df.sparkSession.sparkContext.broadcast(packed)
+    nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
+    first = nodes.groupby("tree")["node"].idxmin().sort_index()
+    start = nodes["tree"].map(first).to_numpy()
+    forest = {
+        "roots": first.to_numpy(),
+        "feature": nodes["feature"].to_numpy(),
+        "threshold": nodes["threshold"].to_numpy(),
+        "low": nodes["low"].to_numpy() + start,
+        "high": nodes["high"].to_numpy() + start,
+        "rest": nodes["size"].map(path_length).to_numpy(),
+    }
+    norm = path_length(float(nodes.loc[first.to_numpy(), "size"].max()))
+    shared = df.sparkSession.sparkContext.broadcast(forest)
 
     def score(batches):
+        m = shared.value
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
-            total = np.zeros(len(pdf))
-            for feature, threshold, low, high, count in shared.value:
-                rest = np.array([path_length(float(c)) for c in count])
-                at = np.zeros(len(pdf), dtype=int)
-                depth = np.zeros(len(pdf))
-                inner = feature[at] >= 0
-                while inner.any():
-                    rows = np.flatnonzero(inner)
-                    node = at[rows]
-                    goes_low = x[rows, feature[node]] <= threshold[node]
-                    at[rows] = np.where(goes_low, low[node], high[node])
-                    depth[rows] += 1
-                    inner = feature[at] >= 0
-                total += depth + rest[at]
-            yield pdf[[key]].assign(score=np.power(2.0, -(total / len(shared.value)) / norm))
+            at = np.tile(m["roots"], (len(x), 1))  # rows x trees
+            line = np.arange(len(x))[:, None]
+            depth = np.zeros(at.shape)
+            while True:
+                feature = m["feature"][at]
+                inner = feature >= 0
+                if not inner.any():
+                    break
+                goes_low = x[line, np.maximum(feature, 0)] <= m["threshold"][at]
+                at = np.where(inner, np.where(goes_low, m["low"][at], m["high"][at]), at)
+                depth += inner
+            mean = (depth + m["rest"][at]).mean(axis=1)
+            yield pdf[[key]].assign(score=np.power(2.0, -mean / norm))
 
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     kind = dict(df.dtypes)[key]

@@ -1,9 +1,9 @@
 """Exact nearest neighbours without comparing all pairs, and what is built on them.
 
 Points are collapsed to distinct positions with a weight, so any number of copies is one point.
-Positions are cut into cells of bounded size by quantiles of the first coordinate and, inside each
-slab, of the second. A first round searches the own cell and yields an upper bound of each point's
-k-distance; a second round visits only the cells that bound can reach.
+Positions are cut into cells of bounded size, coordinate after coordinate, at quantiles; only cells
+that are still too large are cut again. A first round searches the own cell and yields an upper
+bound of each point's k-distance; a second round visits only the cells that bound can reach.
 """
 
 from __future__ import annotations
@@ -20,30 +20,100 @@ from . import cleaning, ordered
 
 INF = float("inf")
 
-
-def grid(points: DataFrame, coords: list[str], per_cell: int) -> tuple[list[float], dict[int, list[float]]]:
-    """Slab edges of the first coordinate and, per slab, cell edges of the second."""
+#: Most cells ever made: the cell borders are shipped to every task.
+MAX_CELLS = 250_000
+
+
+class Cells:
+    """Nested quantile borders: an inner node cuts one coordinate, a leaf is a numbered cell."""
+
+    def __init__(self, dims: int):
+        self.axis: list[int] = [-1]
+        self.edges: list[np.ndarray] = [np.array([])]
+        self.children: list[list[int]] = [[]]
+        self.low: list[np.ndarray] = [np.full(dims, -INF)]
+        self.high: list[np.ndarray] = [np.full(dims, INF)]
+
+    def cut(self, leaf: int, axis: int, edges: list[float]) -> None:
+        self.axis[leaf], self.edges[leaf] = axis, np.array(edges)
+        limits = [-INF, *edges, INF]
+        for lo, hi in zip(limits[:-1], limits[1:]):
+            low, high = self.low[leaf].copy(), self.high[leaf].copy()
+            low[axis], high[axis] = max(low[axis], lo), min(high[axis], hi)
+            self.children[leaf].append(len(self.axis))
+            self.axis.append(-1)
+            self.edges.append(np.array([]))
+            self.children.append([])
+            self.low.append(low)
+            self.high.append(high)
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """Cell of every position."""
+        at = np.zeros(len(x), dtype=np.int64)
+        while True:
+            moved = False
+            for node in np.unique(at):
+                if self.axis[node] < 0:
+                    continue
+                rows = at == node
+                child = np.searchsorted(self.edges[node], x[rows, self.axis[node]], side="right")
+                at[rows] = np.array(self.children[node])[child]
+                moved = True
+            if not moved:
+                return at
+
+    def reach(self, x: np.ndarray, radius: float) -> list[int]:
+        """Cells a ball can touch."""
+        out, todo = [], [0]
+        while todo:
+            node = todo.pop()
+            axis = self.axis[node]
+            if axis < 0:
+                out.append(node)
+                continue
+            first = int(np.searchsorted(self.edges[node], x[axis] - radius, side="left"))
+            last = int(np.searchsorted(self.edges[node], x[axis] + radius, side="right"))
+            todo += self.children[node][first : last + 1]
+        return out
+
+
+def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
+    """Cut at quantiles until no cell holds more than ``per_cell`` positions (one job per cut level)."""
     n = points.count()
-    side = max(1, int(np.ceil(np.sqrt(n / per_cell))))
-    if side == 1:
-        return [-INF, INF], {0: [-INF, INF]}
-    a, b = coords[0], coords[1]
-    xs = ordered.splits(points, [a], side)[a]
-    slab = ordered.with_bucket(points, [a], {a: xs})
-    probs = F.array(*[F.lit(i / side) for i in range(1, side)])
-    rows = slab.groupBy(f"{a}_bucket").agg(F.percentile_approx(b, probs, 100 * side).alias("e")).collect()
-    ys = {r[0]: [-INF, *sorted(set(r["e"])), INF] for r in rows}
-    return xs, {i: ys.get(i, [-INF, INF]) for i in range(len(xs) - 1)}
-
-
-def _cells(values: np.ndarray, xs: list[float], ys: dict[int, list[float]]):
-    """Slab and cell index of each position."""
-    slab = np.clip(np.searchsorted(xs[1:-1], values[:, 0], side="right"), 0, len(xs) - 2)
-    cell = np.empty(len(values), dtype=int)
-    for s in np.unique(slab):
-        rows = slab == s
-        cell[rows] = np.searchsorted(ys[s][1:-1], values[rows, 1], side="right")
-    return slab, cell
+    per_cell = max(per_cell, -(-n // MAX_CELLS))
+    cells = Cells(len(coords))
+    kind = ", ".join(f"`{c}` double" for c in coords)
+    crowded = {0: n} if n > per_cell else {}
+    for level in range(3 * len(coords)):
+        if not crowded:
+            break
+        axis = level % len(coords)
+        left = max(1, len(coords) - level)
+        fan = max(2, min(256, int(np.ceil((max(crowded.values()) / per_cell) ** (1.0 / left)))))
+        placed = points.select(*coords).mapInPandas(_placer(cells, coords), f"{kind}, cell bigint")
+        probs = F.array(*[F.lit(i / fan) for i in range(1, fan)])
+        rows = (
+            placed.where(F.col("cell").isin(list(crowded)))
+            .groupBy("cell")
+            .agg(F.percentile_approx(coords[axis], probs, 100 * fan).alias("e"), F.min(coords[axis]).alias("lo"))
+            .collect()
+        )
+        for r in rows:
+            edges = sorted({float(v) for v in r["e"] if v > r["lo"]})
+            if edges:
+                cells.cut(int(r["cell"]), axis, edges)
+        placed = points.select(*coords).mapInPandas(_placer(cells, coords), f"{kind}, cell bigint")
+        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_cell).collect()
+        crowded = {int(r["cell"]): int(r["n"]) for r in sizes}
+    return cells
+
+
+def _placer(cells: Cells, coords: list[str]):
+    def place(batches):
+        for pdf in batches:
+            yield pdf.assign(cell=cells.place(pdf[coords].to_numpy(dtype=float)))
+
+    return place
 
 
 def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int):
@@ -88,18 +158,11 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
     ``same`` says that both are one table (equal ids), so a point does not count itself. ``used`` is
     how much of a point's weight falls within the ``k``; ties go to the smaller id.
     """
-    if len(coords) < 2:
-        raise ValueError("two coordinates or more")
-    xs, ys = grid(points, coords, per_cell)
+    cells = build_cells(points, coords, per_cell)
     kind = ", ".join(f"`{c}` double" for c in coords)
-
-    def place(batches):
-        for pdf in batches:
-            slab, cell = _cells(pdf[coords].to_numpy(dtype=float), xs, ys)
-            yield pdf.assign(slab=slab, cell=cell)
-
-    placed = cut(points.select("pid", "weight", *coords).mapInPandas(place, f"pid bigint, weight bigint, {kind}, slab int, cell int"))
-    asked = cut(queries.select("qid", *coords).mapInPandas(place, f"qid bigint, {kind}, slab int, cell int"))
+    place = _placer(cells, coords)
+    placed = cut(points.select("pid", "weight", *coords).mapInPandas(place, f"pid bigint, weight bigint, {kind}, cell bigint"))
+    asked = cut(queries.select("qid", *coords).mapInPandas(place, f"qid bigint, {kind}, cell bigint"))
 
     def inside(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         ids = p["pid"].to_numpy()
@@ -110,31 +173,29 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
         return _hits(qids, found)
 
     # no cell holds more than about per_cell distinct positions
-    first = asked.groupBy("slab", "cell").cogroup(placed.groupBy("slab", "cell")).applyInPandas(inside, HITS)
+    first = asked.groupBy("cell").cogroup(placed.groupBy("cell")).applyInPandas(inside, HITS)
     first = cut(first)
     bound = first.groupBy("qid").agg(
         F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius")
     )
     reach = asked.join(bound, "qid", "left").withColumn("radius", F.coalesce("radius", F.lit(INF)))
 
+    low, high = np.array(cells.low), np.array(cells.high)
+
     def visit(batches):
         for pdf in batches:
-            parts = []
-            for row in pdf.itertuples(index=False):
-                x, y, r = getattr(row, coords[0]), getattr(row, coords[1]), row.radius
-                lo = int(np.searchsorted(xs[1:-1], x - r, side="left")) if r != INF else 0
-                hi = int(np.searchsorted(xs[1:-1], x + r, side="right")) if r != INF else len(xs) - 2
-                for s in range(lo, min(hi, len(xs) - 2) + 1):
-                    edge = ys[s]
-                    a = int(np.searchsorted(edge[1:-1], y - r, side="left")) if r != INF else 0
-                    b = int(np.searchsorted(edge[1:-1], y + r, side="right")) if r != INF else len(edge) - 2
-                    parts += [(row.qid, *[getattr(row, c) for c in coords], s, c) for c in range(a, b + 1) if (s, c) != (row.slab, row.cell)]
-            if parts:
-                yield pd.DataFrame(parts, columns=["qid", *coords, "slab", "cell"])
-
-    # plain column names keep the row access above simple
-    guests = reach.mapInPandas(visit, f"qid bigint, {kind}, slab int, cell int")
-    second = guests.groupBy("slab", "cell").cogroup(placed.groupBy("slab", "cell")).applyInPandas(inside, HITS)
+            x, r, home = pdf[coords].to_numpy(dtype=float), pdf["radius"].to_numpy(), pdf["cell"].to_numpy()
+            crosses = ((x - r[:, None] <= low[home]) | (x + r[:, None] >= high[home])).any(axis=1)
+            rows, where = [], []
+            for i in np.flatnonzero(crosses):
+                others = [c for c in cells.reach(x[i], r[i]) if c != home[i]]
+                rows += [i] * len(others)
+                where += others
+            if rows:
+                yield pdf.iloc[rows][["qid", *coords]].assign(cell=where)
+
+    guests = reach.mapInPandas(visit, f"qid bigint, {kind}, cell bigint")
+    second = guests.groupBy("cell").cogroup(placed.groupBy("cell")).applyInPandas(inside, HITS)
     both = first.select("qid", "pid", "distance").unionByName(second.select("qid", "pid", "distance"))
     joined = both.join(placed.select("pid", "weight"), "pid")
     own = F.when(F.col("qid") == F.col("pid"), F.col("weight") - 1).otherwise(F.col("weight")) if same else F.col("weight")
@@ -155,9 +216,6 @@ def _standard(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
     params = cleaning.fit_scaler(df, cols)
     names = [f"z{i}" for i in range(len(cols))]
     made = {n: (F.col(c) - F.lit(float(params[c][0]))) / F.lit(float(params[c][1])) for n, c in zip(names, cols)}
-    if len(names) == 1:
-        made["z1"] = F.lit(0.0)
-        names.append("z1")
     return df.withColumns(made), names
 
 

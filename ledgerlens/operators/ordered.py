@@ -29,17 +29,41 @@ def bucket_count(spark: SparkSession) -> int:
     return max(32, min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def splits(df: DataFrame, cols: Sequence[str], n: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantile edges per column: one aggregate, at most ``n`` numbers per column."""
-    n = n or bucket_count(df.sparkSession)
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * n).alias(f"e{i}") for i, c in enumerate(cols)]).first()
+#: Distinct values one bucket may hold without a second look at where the edges lie.
+BUCKET_VALUES = 5_000
+EASY_DISTINCT = 1_000_000
+
+
+def splits(df: DataFrame, cols: Sequence[str], n: int | None = None, keys: Sequence[str] = ()) -> dict[str, list[float]]:
+    """Approximate bucket edges per column: one aggregate, at most ``n`` numbers per column.
+
+    Few distinct values need few buckets. With very many, edges by row count could leave most
+    distinct values between two of them (when a few values hold most rows), so they are taken from
+    a hash sample of distinct values, which keeps or drops all copies of a value together.
+    """
+    most = n or bucket_count(df.sparkSession)
+    probs = F.array(*[F.lit(i / most) for i in range(1, most)]) if most > 1 else F.array(F.lit(0.5))
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [
+            F.percentile_approx(v, probs, 10 * most).alias(f"e{i}"),
+            F.approx_count_distinct(F.struct(*keys, v) if keys else v).alias(f"d{i}"),
+        ]
+    row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
-        inner = sorted({float(x) for x in (row[i] or []) if x == x and abs(x) != INF})
-        out[c] = [-INF, *inner, INF]
-        if len(inner) == 0:
-            out[c] = [-INF, 0.0, INF]
+        edges, distinct = row[f"e{i}"] or [], row[f"d{i}"] or 0
+        if distinct > EASY_DISTINCT:
+            v = F.col(c).cast("double")
+            share = max(1, distinct // 100_000)
+            kept = df.select(*keys, v.alias("v")).where(F.pmod(F.xxhash64(*keys, "v"), F.lit(share)) == 0).distinct()
+            edges = kept.agg(F.percentile_approx("v", probs, 10 * most)).first()[0] or edges
+        wanted = most if n else max(1, min(most, distinct // BUCKET_VALUES))
+        if wanted < len(edges):
+            edges = [edges[int(len(edges) * j / wanted)] for j in range(1, wanted)]
+        inner = sorted({float(x) for x in edges if x == x and abs(x) != INF})
+        out[c] = [-INF, *(inner or [0.0]), INF]
     return out
 
 
@@ -63,7 +87,7 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), *, b
     keys = list(keys)
     if bucket:
         narrow = df.select(*keys, *cols)
-        binned = with_bucket(narrow, cols, splits(narrow, cols))
+        binned = with_bucket(narrow, cols, splits(narrow, cols, keys=keys))
         cells = F.array(
             *[
                 F.struct(
@@ -271,7 +295,7 @@ def modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
 def rank_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Attach ``<col>_rank`` (average ties, among ``keys``) for several columns; one edge scan for all."""
     keys = list(keys)
-    edges = splits(df, list(cols))
+    edges = splits(df, list(cols), keys=keys)
     out = df
     for c in cols:
         binned = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())

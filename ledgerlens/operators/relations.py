@@ -42,13 +42,13 @@ def numeric_only(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def row_index(df: DataFrame, key: str, out: str = "row_index") -> DataFrame:
-    """0-based dense index in MD5 order of the key, counted in 4096 even pieces."""
+    """0-based dense index in MD5 order of the key, counted in 65536 even pieces."""
     digest = F.md5(F.col(key).cast("string"))
-    rows = df.withColumns({"__d": digest, "__p": F.substring(digest, 1, 3)})
+    rows = df.withColumns({"__d": digest, "__p": F.substring(digest, 1, 4)})
     inside = W.partitionBy("__p").orderBy("__d", key)
     rows = rows.withColumn("__r", F.row_number().over(inside))
     pieces = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
-    # at most 4096 rows
+    # at most 65536 rows
     lower = W.partitionBy(F.lit(0)).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
     offsets = pieces.select("__p", F.coalesce(F.sum("__c").over(lower), F.lit(0)).alias("__o"))
     return rows.join(offsets, "__p").withColumn(out, F.col("__r") + F.col("__o") - 1).drop("__d", "__p", "__r", "__o")

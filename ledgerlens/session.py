@@ -36,6 +36,7 @@ def build(app: str = "ledgerlens", cores: int | str = 8, partitions: int | None
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME.items():
         builder = builder.config(key, value)
