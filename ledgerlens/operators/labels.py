@@ -104,7 +104,7 @@ def label_distribution(df: DataFrame, label: str = "is_high_risk") -> DataFrame:
 
 def rank_label(df: DataFrame, total: str, spread: str) -> DataFrame:
     """1 when the total is in the low 30 % and the spread in the high 30 % of percentile ranks."""
-    ranked = ordered.ranks_of(df, total, "rank_total", "n_total")
+    ranked = ordered.ranks_of(cut(df), total, "rank_total", "n_total")
     ranked = ordered.ranks_of(ranked, spread, "rank_spread", "n_spread")
     a = X.ratio("rank_total", "n_total")
     b = X.ratio("rank_spread", "n_spread")

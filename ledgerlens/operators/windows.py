@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
+from ledgerlens.session import cut
 
 from . import ordered
 
@@ -103,7 +104,7 @@ def percent_rank(df: DataFrame, col: str, out: str) -> DataFrame:
 
 def group_ranks(means: DataFrame, col: str) -> DataFrame:
     """Ascending and descending average rank over a table with one row per group."""
-    up = ordered.ranks_of(means, col, "rank_ascending", "__n")
+    up = ordered.ranks_of(cut(means), col, "rank_ascending", "__n")
     return up.withColumn("rank_descending", F.col("__n") + 1 - F.col("rank_ascending")).drop("__n")
 
 

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
-from ledgerlens.operators import behaviour, customer as C, ordered, profile, rfm
+from ledgerlens.operators import behaviour, customer as C, evaluation as E, ordered, profile
+from ledgerlens.session import cut
 
 from . import inputs as I
 from .registry import query
@@ -342,7 +343,7 @@ _A21 = " UNION ALL ".join(
 )
 def a21(s, sf):
     cols = ["total_transaction_amount", "transaction_count", "std_transaction_amount"]
-    t = C.value_features(I.od(s, sf)).select("CustomerId", *cols)
+    t = cut(C.value_features(I.od(s, sf)).select("CustomerId", *cols))
     return C.feature_summary(t, cols).join(profile.describe(t, cols, (0.5,)), "feature")
 
 
@@ -478,8 +479,6 @@ def f09(s, sf):
        FROM preds p JOIN lab USING (CustomerId)""",
 )
 def f10(s, sf):
-    from ledgerlens.operators import evaluation as E
-
     p = I.preds(s, sf)
     value = I.rfm(s, sf).select("CustomerId", "total_monetary_value")
     return p.join(value, "CustomerId").select(
@@ -495,7 +494,5 @@ def f10(s, sf):
               count(*) FILTER (WHERE is_high_risk = 0 AND risk_score >= 0.5) AS fp FROM preds GROUP BY 1, 2)""",
 )
 def f11(s, sf):
-    from ledgerlens.operators import evaluation as E
-
     c = E.confusion(I.preds(s, sf), ["model", "split"])
     return c.withColumn("business_cost", E.business_cost("fn", "fp"))

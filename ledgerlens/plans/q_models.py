@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import chained, evaluation as V, forest, modeling as M, neighbours, rfm
+from ledgerlens.operators import chained, evaluation as V, forest, modeling as M, neighbours
+from ledgerlens.session import cut
 from ledgerlens.sources import files, tables
 from ledgerlens.streaming import jobs
 
@@ -62,8 +63,6 @@ def t01(s, sf):
     f"SELECT '70/10/20' AS ratio, CustomerId, split FROM ({_split_sql(70, 80, _N3)}) UNION ALL SELECT '56/14/30', CustomerId, split FROM ({_split_sql(56, 70, _N3)})",
 )
 def t02(s, sf):
-    from ledgerlens.session import cut
-
     lab = cut(I.lab(s, sf))
     a = V.stratified_split(lab, "is_high_risk", "CustomerId", {"train": 70, "val": 10, "test": 20}).withColumn("ratio", F.lit("70/10/20"))
     b = V.stratified_split(lab, "is_high_risk", "CustomerId", {"train": 56, "val": 14, "test": 30}).withColumn("ratio", F.lit("56/14/30"))

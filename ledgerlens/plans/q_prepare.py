@@ -507,7 +507,7 @@ def o14(s, sf):
 def _scaling(name, kind, expr, **options):
     @query(
         name,
-        "TransactionId:i Value:6 Amount:6",
+        "TransactionId:i Value:5 Amount:5",
         f"SELECT TransactionId, {expr.format(c='Value', p='v')} AS Value, {expr.format(c='Amount', p='a')} AS Amount FROM ev, (SELECT "
         + ", ".join(
             f"avg({c}) {p}avg, stddev_pop({c}) {p}std, min({c}) {p}min, max({c}) {p}max, median({c}) {p}med, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) {p}iqr, max(abs({c})) {p}abs"

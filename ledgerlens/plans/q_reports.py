@@ -255,9 +255,7 @@ def c18(s, sf):
         count(*) FILTER (WHERE std_transaction_amount = 0) * 100 / count(*) AS no_spread_pct FROM a, q""",
 )
 def c19(s, sf):
-    from ledgerlens.session import cut
-
-    return Rp.trimmed_totals(cut(C.required(I.od(s, sf))), "total_transaction_amount", "std_transaction_amount")
+    return Rp.trimmed_totals(C.required(I.od(s, sf)), "total_transaction_amount", "std_transaction_amount")
 
 
 # --- data quality -------------------------------------------------------------------------------

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
-from ledgerlens.operators import behaviour, labels, ordered, rfm
+from ledgerlens.operators import behaviour, labels, profile, rfm
+from ledgerlens.session import cut
 
 from . import inputs as I
 from .registry import query
@@ -85,9 +86,7 @@ RFM_COLS = [
     _describe_sql(RFM_COLS, "rfm"),
 )
 def r06(s, sf):
-    from ledgerlens.operators import profile
-
-    return profile.describe(I.rfm(s, sf), RFM_COLS)
+    return profile.describe(cut(I.rfm(s, sf)), RFM_COLS)
 
 
 @query(

@@ -44,11 +44,14 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--cpus", default="8")
+    ap.add_argument("--skip", default="")
     ap.add_argument("prefix", nargs="*")
     a = ap.parse_args()
     spark, con = build(cores=a.cpus), connect(a.sf)
     bad = 0
     for name, q in catalog.QUERIES.items():
+        if name in a.skip.split(","):
+            continue
         if a.prefix and not any(name.startswith(p) for p in a.prefix):
             continue
         t = time.time()
