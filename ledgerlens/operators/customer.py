@@ -325,8 +325,8 @@ def reference_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """Table-wide counts and dates, then mean, deviation and median per numeric column, in long form."""
     wide = df.agg(
         F.countDistinct(KEY).cast("double").alias("customers"),
-        F.unix_micros(F.min(TS)).cast("double").alias("first_us"),
-        F.unix_micros(F.max(TS)).cast("double").alias("last_us"),
+        (F.unix_micros(F.min(TS)) / 1e6).alias("first_second"),
+        (F.unix_micros(F.max(TS)) / 1e6).alias("last_second"),
         *[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("mean", F.avg), ("std", F.stddev))],
     )
     med = ordered.quantile_row(df, cols, [0.5])

@@ -297,7 +297,8 @@ def select_features(df: DataFrame, features: list[str], target: str, min_varianc
     losers = (
         pairs.join(one, "feature_1")
         .join(two, "feature_2")
-        .select(F.when(F.col("iv_1") < F.col("iv_2"), F.col("feature_1")).otherwise(F.col("feature_2")).alias("feature"))
+        # equal values up to rounding: the later feature goes
+        .select(F.when(F.col("iv_1") < F.col("iv_2") - 1e-9, F.col("feature_1")).otherwise(F.col("feature_2")).alias("feature"))
         .distinct()
         .withColumn("redundant", F.lit(True))
     )

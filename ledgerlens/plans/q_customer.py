@@ -367,8 +367,8 @@ _REF = ["Value", "Amount"]
     "a23_reference_stats",
     "metric:s value:2",
     "SELECT 'customers' AS metric, count(DISTINCT CustomerId)::DOUBLE AS value FROM ev "
-    "UNION ALL SELECT 'first_us', epoch_us(min(TransactionStartTime))::DOUBLE FROM ev "
-    "UNION ALL SELECT 'last_us', epoch_us(max(TransactionStartTime))::DOUBLE FROM ev "
+    "UNION ALL SELECT 'first_second', epoch_us(min(TransactionStartTime)) / 1e6 FROM ev "
+    "UNION ALL SELECT 'last_second', epoch_us(max(TransactionStartTime)) / 1e6 FROM ev "
     + " ".join(
         f"UNION ALL SELECT '{c}_{n}', {f}({c}) FROM ev" for c in _REF for n, f in (("mean", "avg"), ("std", "stddev"), ("median", "median"))
     ),

@@ -258,7 +258,7 @@ def wo6(s, sf):
     "feature:s variance:0 iv:6 redundant:b kept:b",
     f"""WITH x AS (SELECT Value, Value * 1.1e0 + PricingStrategy AS fee, PricingStrategy, FraudResult FROM od), {_raw_iv_sql([(c, c) for c in ('Value', 'fee', 'PricingStrategy')], 'x')},
         v AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, var_samp({c}) AS variance FROM x" for c in ('Value', 'fee', 'PricingStrategy'))}),
-        f AS (SELECT v.*, iv, v.feature = (SELECT CASE WHEN (SELECT iv FROM ivs WHERE feature = 'Value') < (SELECT iv FROM ivs WHERE feature = 'fee') THEN 'Value' ELSE 'fee' END)
+        f AS (SELECT v.*, iv, v.feature = (SELECT CASE WHEN (SELECT iv FROM ivs WHERE feature = 'Value') < (SELECT iv FROM ivs WHERE feature = 'fee') - 1e-9 THEN 'Value' ELSE 'fee' END)
               AND (SELECT abs(corr(Value, fee)) FROM x) > 0.85 AS redundant FROM v JOIN ivs USING (feature))
         SELECT *, variance > 0.01 AND NOT redundant AS kept FROM f""",
 )

@@ -116,8 +116,8 @@ def io08(s, sf):
 @query(
     "io09_json_metrics",
     "metric:s value:2",
-    """SELECT 'customers' AS metric, count(DISTINCT CustomerId)::DOUBLE AS value FROM od UNION ALL SELECT 'first_us', epoch_us(min(TransactionStartTime))::DOUBLE FROM od
-       UNION ALL SELECT 'last_us', epoch_us(max(TransactionStartTime))::DOUBLE FROM od UNION ALL SELECT 'Value_mean', avg(Value) FROM od
+    """SELECT 'customers' AS metric, count(DISTINCT CustomerId)::DOUBLE AS value FROM od UNION ALL SELECT 'first_second', epoch_us(min(TransactionStartTime)) / 1e6 FROM od
+       UNION ALL SELECT 'last_second', epoch_us(max(TransactionStartTime)) / 1e6 FROM od UNION ALL SELECT 'Value_mean', avg(Value) FROM od
        UNION ALL SELECT 'Value_std', stddev(Value) FROM od UNION ALL SELECT 'Value_median', median(Value) FROM od""",
 )
 def io09(s, sf):
