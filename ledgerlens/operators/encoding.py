@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
 
-from . import ordered
+from . import ordered, skew
 
 # --- bins ---------------------------------------------------------------------------------------
 
@@ -78,7 +78,7 @@ def label_encode(df: DataFrame, codes: DataFrame, col: str, unknown: str = "enco
         stray = df.where(F.col(col).isNotNull()).join(codes, col, "left_anti").limit(1).collect()
         if stray:
             raise ValueError(f"unknown category in column {col}")
-    joined = df.join(codes, col, "left")
+    joined = skew.lookup(df, codes, [col])
     fallback = codes.select(F.count(F.lit(1))).scalar() if unknown == "encode" else F.lit(-1)
     return joined.withColumn(code, F.when(F.col(col).isNull(), F.lit(-1)).otherwise(F.coalesce(code, fallback)))
 
@@ -91,7 +91,7 @@ def fit_frequencies(df: DataFrame, col: str) -> DataFrame:
 
 def frequency_encode(df: DataFrame, shares: DataFrame, col: str) -> DataFrame:
     """Share of each category at fit time; NULL and unknown give 0."""
-    joined = df.join(shares.select(col, f"{col}_freq"), col, "left")
+    joined = skew.lookup(df, shares.select(col, f"{col}_freq"), [col])
     return joined.withColumn(f"{col}_freq", F.coalesce(f"{col}_freq", F.lit(0.0)))
 
 
@@ -99,7 +99,7 @@ def binary_encode(df: DataFrame, codes: DataFrame, col: str) -> DataFrame:
     """Bits of the 1-based ordinal, highest first; NULL and unknown give zeros."""
     k = codes.count()
     width = max(1, int(k).bit_length())
-    joined = df.join(codes, col, "left").withColumn("__o", F.coalesce(F.col(f"{col}_code") + 1, F.lit(0)))
+    joined = skew.lookup(df, codes, [col]).withColumn("__o", F.coalesce(F.col(f"{col}_code") + 1, F.lit(0)))
     bits = {
         f"{col}_{i}": F.expr(f"cast(shiftright(__o, {width - 1 - i}) & 1 as int)") for i in range(width)
     }

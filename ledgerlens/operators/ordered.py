@@ -21,6 +21,8 @@ from pyspark.sql import Window as W
 
 from ledgerlens.session import cut
 
+from . import skew
+
 INF = float("inf")
 
 
@@ -200,7 +202,7 @@ def ranks_of(df: DataFrame, col: str, out: str, total: str | None = None, keys:
     r = average_ranks(binned, keys, col, f"{col}_bucket")
     names = {"avg_rank": out, "n": total or f"__n_{out}"}
     r = r.drop("cnt").withColumnsRenamed(names)
-    joined = df.join(r, [*keys, col], "left")
+    joined = skew.lookup(df, r, [*keys, col])
     return joined if total else joined.drop(f"__n_{out}")
 
 
@@ -233,27 +235,37 @@ def numbered(df: DataFrame, order: str, id_col: str, out: str, keys: Iterable[st
     )
 
 
-def previous_time(
-    df: DataFrame, key: str, ts: str, tie: str, out: str = "previous_ts", chunk_hours: int = 1
-) -> DataFrame:
-    """Attach the previous row's timestamp of the same key.
+def previous_time(df: DataFrame, key: str, ts: str, tie: str, out: str = "previous_ts") -> DataFrame:
+    """Attach the previous row's timestamp of the same key, in ``(ts, tie)`` order.
 
-    Rows are windowed per (key, time chunk), so a hot key is spread over many tasks; the first row
-    of a chunk takes the last timestamp of the key's previous non-empty chunk.
+    Rows are windowed per (key, time bucket), so a hot key is spread over many tasks; the first row
+    of a bucket takes the last timestamp of the key's previous non-empty bucket. Where single
+    (key, timestamp) pairs are heavy, equal times are collapsed first and looked up by a join.
     """
-    width = chunk_hours * 3_600_000_000
-    binned = df.withColumn("__chunk", F.floor(F.unix_micros(ts) / F.lit(width)).cast("bigint"))
-    inside = W.partitionBy(key, "__chunk").orderBy(ts, tie)
-    rows = binned.withColumn("__in", F.lag(ts).over(inside))
-    lasts = binned.groupBy(key, "__chunk").agg(F.max(ts).alias("__last"))
-    carried = lasts.select(
-        key, "__chunk", F.lag("__last").over(W.partitionBy(key).orderBy("__chunk")).alias("__carry")
+    timed = df.withColumn("__t", F.unix_micros(ts))
+    cut_rows = with_bucket(timed, ["__t"], splits(timed, ["__t"], keys=[key]))
+    chunk = [key, "__t_bucket"]
+    carry = lambda lasts: lasts.select(
+        *chunk, F.lag("__last").over(W.partitionBy(key).orderBy("__t_bucket")).alias("__carry")
     )
-    return (
-        rows.join(carried, [key, "__chunk"], "left")
-        .withColumn(out, F.coalesce("__in", "__carry"))
-        .drop("__in", "__carry", "__chunk")
+    if not skew.heavy_keys(timed, [key, "__t"]):
+        inside = W.partitionBy(*chunk).orderBy(ts, tie)
+        rows = cut_rows.withColumn("__in", F.lag(ts).over(inside))
+        carried = carry(cut_rows.groupBy(*chunk).agg(F.max(ts).alias("__last")))
+        return (
+            rows.join(carried, chunk, "left").withColumn(out, F.coalesce("__in", "__carry")).drop("__in", "__carry", "__t", "__t_bucket")
+        )
+    times = cut_rows.groupBy(*chunk, "__t").agg(F.min(tie).alias("__first"), F.max(ts).alias("__ts"))
+    inside = W.partitionBy(*chunk).orderBy("__t")
+    carried = carry(times.groupBy(*chunk).agg(F.max("__ts").alias("__last")))
+    known = (
+        times.withColumn("__in", F.lag("__ts").over(inside))
+        .join(carried, chunk, "left")
+        .select(key, "__t", "__first", F.coalesce("__in", "__carry").alias("__before"))
     )
+    joined = skew.lookup(timed, known, [key, "__t"], "inner")
+    first = F.col(tie) == F.col("__first")
+    return joined.withColumn(out, F.when(first, F.col("__before")).otherwise(F.col(ts))).drop("__t", "__first", "__before")
 
 
 def modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -300,7 +312,7 @@ def rank_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -
     for c in cols:
         binned = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())
         r = average_ranks(binned, keys, c, f"{c}_bucket").select(*keys, c, F.col("avg_rank").alias(f"{c}_rank"))
-        out = out.join(r, [*keys, c], "left")
+        out = skew.lookup(out, r, [*keys, c])
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions import scalars as X
 
-from . import ordered
+from . import ordered, skew
 
 FAMILIES = {
     "numeric": T.NumericType,
@@ -121,7 +121,7 @@ def histogram(df: DataFrame, col: str, bins: int, keys: list[str] = ()) -> DataF
     rows = df.where(F.col(col).isNotNull())
     if keys:
         span = rows.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
-        rows = rows.join(span, keys)
+        rows = skew.lookup(rows, span, keys, "inner")
         lo, hi = F.col("__lo"), F.col("__hi")
     else:
         span = rows.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).select(F.struct("lo", "hi")).scalar()

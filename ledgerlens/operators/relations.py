@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
 
-from . import rfm
+from . import rfm, skew
 
 
 def recent(df: DataFrame, days: int, ts: str = "TransactionStartTime") -> DataFrame:
@@ -65,9 +65,8 @@ def unmatched(features: DataFrame, target: DataFrame, key: str = "CustomerId") -
 
 
 def add_frequency(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Attach how often the row's key occurs. The join side has one row per key; a hot key's rows
-    are split by the adaptive skew join."""
-    return df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias(out)), key, "left")
+    """Attach how often the row's key occurs."""
+    return skew.lookup(df, df.groupBy(key).agg(F.count(F.lit(1)).alias(out)), [key])
 
 
 def top_k(df: DataFrame, measure: str, tie: str, k: int) -> DataFrame:

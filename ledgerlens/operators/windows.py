@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from ledgerlens.functions import scalars as X
 from ledgerlens.session import cut
 
-from . import ordered
+from . import ordered, skew
 
 KEY, TS = "CustomerId", "TransactionStartTime"
 
@@ -21,7 +21,7 @@ def last_rolling(df: DataFrame, windows: dict[str, int]) -> DataFrame:
     newer than ``last - days`` (left-open), not a sliding frame.
     """
     last = df.groupBy(KEY).agg(F.max(TS).alias("last_ts"))
-    rows = df.select(KEY, TS, "Value").join(last, KEY)
+    rows = skew.lookup(df.select(KEY, TS, "Value"), last, [KEY], "inner")
     aggs = []
     for name, days in windows.items():
         recent = F.col(TS) > F.col("last_ts") - F.expr(f"interval {days} days")
