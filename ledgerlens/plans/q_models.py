@@ -8,6 +8,7 @@ from ledgerlens.sources import files, tables
 from ledgerlens.streaming import jobs
 
 from . import flows, inputs as I
+from .q_customer import GAPS, HOUR_US
 from .registry import query
 
 # --- clustering -----------------------------------------------------------------------------------
@@ -174,7 +175,20 @@ def v07(s, sf):
     return V.business_report(V.metric_table(I.preds(s, sf)))
 
 
-@query("v08_model_metadata", "model:s roc_auc:6 fnr:6 compliant:b record:s")
+_RECORD = (
+    """'{"model":"by_recency","metrics":{"roc_auc":' || round(roc_auc, 6) || ',"f1":' || round(f1, 6) || ',"recall":' || round(recall, 6)
+    || ',"precision":' || round(precision, 6) || ',"fnr":' || round(fnr, 6) || '},"features":["""
+    + ",".join(f'"{f}"' for f in M.FEATURES)
+    + """],"compliant":' || CASE WHEN roc_auc >= 0.7 AND fnr <= 0.2 THEN 'true' ELSE 'false' END || '}'"""
+)
+
+
+@query(
+    "v08_model_metadata",
+    "model:s roc_auc:6 fnr:6 compliant:b record:s",
+    f"""WITH {METRICS} SELECT model, roc_auc, fnr, roc_auc >= 0.7 AND fnr <= 0.2 AS compliant, {_RECORD} AS record
+        FROM metric WHERE model = 'by_recency' AND split = 'test'""",
+)
 def v08(s, sf):
     metrics = V.metric_table(I.preds(s, sf))
     return M.metadata(metrics, "by_recency")
@@ -241,11 +255,26 @@ def sc5(s, sf):
 # --- learned imputation and outliers --------------------------------------------------------------
 
 
-@query("i03_knn_impute", "TransactionId:i Value:4")
+@query(
+    "i03_knn_impute",
+    "TransactionId:i Value:4",
+    """WITH t AS (SELECT TransactionId, Value, epoch_us(TransactionStartTime) / 1e6 AS x, PricingStrategy::DOUBLE AS p FROM evn),
+       z AS (SELECT TransactionId, Value, (x - mx) / sx AS zx, (p - mp) / sp AS zp FROM t,
+             (SELECT avg(x) mx, stddev_pop(x) sx, avg(p) mp, stddev_pop(p) sp FROM t)),
+       d AS (SELECT zx, zp, avg(Value) AS mean, count(*) AS w FROM z WHERE Value IS NOT NULL GROUP BY 1, 2),
+       pr AS (SELECT q.TransactionId, mean, w, sqrt(pow(q.zx - d.zx, 2) + pow(q.zp - d.zp, 2)) AS dist FROM z q, d WHERE q.Value IS NULL),
+       rk AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY TransactionId ORDER BY dist ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM pr),
+       f AS (SELECT TransactionId, sum(mean * least(w, 5 - seen)) / sum(least(w, 5 - seen)) AS fill FROM rk WHERE seen < 5 GROUP BY 1)
+       SELECT z.TransactionId, coalesce(Value, fill) AS Value FROM z LEFT JOIN f USING (TransactionId)""",
+)
 def i03(s, sf):
-    df = I.evn(s, sf).withColumn("tx_second", F.unix_seconds("TransactionStartTime").cast("double"))
-    df = df.select("TransactionId", "Value", "tx_second", F.col("PricingStrategy").cast("double").alias("PricingStrategy"))
-    return neighbours.knn_impute(df, "TransactionId", "Value", ["tx_second", "PricingStrategy"])
+    df = I.evn(s, sf).select(
+        "TransactionId",
+        "Value",
+        (F.unix_micros("TransactionStartTime") / 1e6).alias("second"),
+        F.col("PricingStrategy").cast("double").alias("PricingStrategy"),
+    )
+    return neighbours.knn_impute(df, "TransactionId", "Value", ["second", "PricingStrategy"])
 
 
 @query("i04_chained_impute", "TransactionId:i Value:4 Amount:4")
@@ -265,22 +294,68 @@ def o09(s, sf):
     return neighbours.local_outlier_factor(I.ev(s, sf), "TransactionId", ["Amount", "Value"])
 
 
+def _z(c):
+    return f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()"
+
+
+@query(
+    "o09_customer_outlier_factor",
+    "CustomerId:i lof:5 is_outlier:b",
+    f"""WITH z AS (SELECT CustomerId AS id, {', '.join(f'{_z(c)} AS z{i}' for i, c in enumerate(M.RFM))} FROM rfm),
+        pr AS (SELECT a.id AS q, b.id AS p, sqrt(pow(a.z0 - b.z0, 2) + pow(a.z1 - b.z1, 2) + pow(a.z2 - b.z2, 2)) AS d FROM z a JOIN z b ON a.id <> b.id),
+        nr AS (SELECT q, p, d FROM pr QUALIFY row_number() OVER (PARTITION BY q ORDER BY d) <= 20),
+        kd AS (SELECT q, max(d) AS k FROM nr GROUP BY q),
+        lr AS (SELECT n.q, 1 / (avg(greatest(d, k)) + 1e-10) AS lrd FROM nr n JOIN kd ON n.p = kd.q GROUP BY n.q),
+        lf AS (SELECT n.q AS CustomerId, avg(t.lrd) / any_value(o.lrd) AS lof FROM nr n JOIN lr t ON n.p = t.q JOIN lr o ON n.q = o.q GROUP BY n.q)
+        SELECT *, lof > (SELECT quantile_cont(lof, 0.9) FROM lf) AS is_outlier FROM lf""",
+)
+def o09b(s, sf):
+    return neighbours.local_outlier_factor(cut(I.rfm(s, sf)), "CustomerId", M.RFM)
+
+
 # --- feature flows --------------------------------------------------------------------------------
 
+_PL1 = ["total_transaction_amount", "transaction_hour_mean", "time_between_transactions_mean", "days_since_last_transaction"]
+_PL1_SQL = f"""WITH f AS (SELECT CustomerId, sum(Value) AS total_transaction_amount, avg(hour(TransactionStartTime)) AS transaction_hour_mean,
+   any_value(gm) AS time_between_transactions_mean, CAST((epoch_us((SELECT max(TransactionStartTime) FROM ev)) - epoch_us(max(TransactionStartTime)))
+   // 86400000000 AS DOUBLE) AS days_since_last_transaction
+   FROM ev JOIN (SELECT CustomerId, avg(gap) AS gm FROM ({GAPS.format(t='ev', u=HOUR_US)}) GROUP BY 1) g USING (CustomerId) GROUP BY CustomerId),
+  c AS (SELECT CustomerId, {', '.join(f'greatest(least({c}, (SELECT quantile_cont({c}, 0.99) FROM f)), (SELECT quantile_cont({c}, 0.01) FROM f)) AS {c}' for c in _PL1)} FROM f)
+  SELECT CustomerId, {', '.join(f'{_z(c)} AS {c}' for c in _PL1)} FROM c"""
 
-@query("pl1_full_feature_flow", "CustomerId:i total_transaction_amount:6 transaction_hour_mean:6 time_between_transactions_mean:6 days_since_last_transaction:6")
+
+@query("pl1_full_feature_flow", "CustomerId:i " + " ".join(f"{c}:5" for c in _PL1), _PL1_SQL)
 def pl1(s, sf):
     return flows.full_flow(I.ev(s, sf))
 
 
-@query("pl2_simple_feature_flow", "CustomerId:i total_transaction_amount:6 median_transaction_amount:6 is_weekend_mean:6")
+_PL2 = ["total_transaction_amount", "median_transaction_amount", "is_weekend_mean"]
+
+
+@query(
+    "pl2_simple_feature_flow",
+    "CustomerId:i " + " ".join(f"{c}:5" for c in _PL2),
+    f"""WITH f AS (SELECT CustomerId, sum(Value) AS total_transaction_amount, median(Value) AS median_transaction_amount,
+        avg(CASE WHEN isodow(TransactionStartTime) >= 6 THEN 1 ELSE 0 END) AS is_weekend_mean FROM ev GROUP BY 1)
+        SELECT CustomerId, {', '.join(f'{_z(c)} AS {c}' for c in _PL2)} FROM f""",
+)
 def pl2(s, sf):
     return flows.simple_flow(I.ev(s, sf))
 
 
-@query("pl3_preprocessor", "TransactionId:i low:6 high:6 width:i")
+@query(
+    "pl3_preprocessor",
+    "TransactionId:i width:i value_scaled:6 amount_scaled:6 no_category:i channel_c3:i",
+    """WITH f AS (SELECT TransactionId, coalesce(Value, (SELECT median(Value) FROM evn)) AS v, Amount AS a, ProductCategory AS c, ChannelId AS h FROM evn)
+       SELECT TransactionId, 12 AS width, (v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()) AS value_scaled,
+       (a - min(a) OVER ()) / (max(a) OVER () - min(a) OVER ()) AS amount_scaled, CASE WHEN c IS NULL THEN 1 ELSE 0 END AS no_category,
+       CASE WHEN h = 'C3' THEN 1 ELSE 0 END AS channel_c3 FROM f""",
+)
 def pl3(s, sf):
-    return flows.preprocessor(I.evn(s, sf), ["Value", "Amount"], ["ProductCategory", "ChannelId"], "TransactionId")
+    out = flows.preprocessor(I.evn(s, sf), ["Value", "Amount"], ["ProductCategory", "ChannelId"], "TransactionId")
+    v = F.col("features")
+    # positions: two numbers, the categories in alphabetical order, then the channels
+    return out.select("TransactionId", "width", v[0].alias("value_scaled"), v[1].alias("amount_scaled"), v[4].alias("no_category"), v[11].alias("channel_c3"))
 
 
 # --- streaming ------------------------------------------------------------------------------------

@@ -287,7 +287,23 @@ def s18(s, sf):
     return P.partial_correlation(numx_plain(s, sf), "Amount", "FraudResult", ["tx_hour"])
 
 
-@query("s18_partial_three_controls", "feature_1:s feature_2:s controls:s correlation:6")
+def _partial_sql(x, y, controls):
+    """Partial correlation by taking one control out at a time."""
+
+    def r(a, b, z):
+        if not z:
+            return f"corr({a}, {b})"
+        ab, ac, bc = r(a, b, z[:-1]), r(a, z[-1], z[:-1]), r(b, z[-1], z[:-1])
+        return f"(({ab}) - ({ac}) * ({bc})) / sqrt((1 - pow({ac}, 2)) * (1 - pow({bc}, 2)))"
+
+    return f"WITH x AS ({NUMX_SQL}) SELECT '{x}' AS feature_1, '{y}' AS feature_2, '{','.join(controls)}' AS controls, {r(x, y, controls)} AS correlation FROM x"
+
+
+@query(
+    "s18_partial_three_controls",
+    "feature_1:s feature_2:s controls:s correlation:6",
+    _partial_sql("Amount", "FraudResult", ["tx_hour", "tx_weekday", "customer_frequency"]),
+)
 def s18b(s, sf):
     return P.partial_correlation(numx(s, sf), "Amount", "FraudResult", ["tx_hour", "tx_weekday", "customer_frequency"])
 
