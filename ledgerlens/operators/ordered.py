@@ -116,6 +116,9 @@ def running_totals(
     ``bucket`` must be monotone in ``order``. ``<m>_before`` covers strictly lower values.
     """
     keys = list(keys)
+    # said here for both uses of ``values``, so that they plan alike and share one exchange
+    for c in [*keys, bucket]:
+        df = df.where(F.col(c).isNotNull())
     values = df.groupBy(*keys, bucket, order).agg(*[s.alias(m) for m, s in sums.items()])
     inside = W.partitionBy(*keys, bucket).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     local = values.withColumns({f"__in_{m}": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in sums})
