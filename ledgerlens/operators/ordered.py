@@ -315,7 +315,7 @@ def rank_columns(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -
     for c in cols:
         binned = with_bucket(df.select(*keys, c), [c], {c: edges[c]}).where(F.col(c).isNotNull())
         r = average_ranks(binned, keys, c, f"{c}_bucket").select(*keys, c, F.col("avg_rank").alias(f"{c}_rank"))
-        out = skew.lookup(out, r, [*keys, c])
+        out = skew.lookup(out, r, [*keys, c], look_at=df)
     return out
 
 

@@ -64,9 +64,12 @@ def unmatched(features: DataFrame, target: DataFrame, key: str = "CustomerId") -
     return missing.agg(F.count(F.lit(1)).alias("unmatched"))
 
 
-def add_frequency(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Attach how often the row's key occurs."""
-    return skew.lookup(df, df.groupBy(key).agg(F.count(F.lit(1)).alias(out)), [key])
+def add_frequencies(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Attach how often the row's value occurs, for several columns given as ``{column: new name}``."""
+    out = df
+    for key, name in names.items():
+        out = skew.lookup(out, df.groupBy(key).agg(F.count(F.lit(1)).alias(name)), [key], look_at=df)
+    return out
 
 
 def top_k(df: DataFrame, measure: str, tie: str, k: int) -> DataFrame:

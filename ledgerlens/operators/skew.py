@@ -32,15 +32,18 @@ def heavy_keys(df: DataFrame, keys: Sequence[str]) -> list:
     return counts.where(F.col("n") > HEAVY_SHARE * n).drop("n").collect()
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def lookup(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", look_at: DataFrame | None = None
+) -> DataFrame:
     """Join rows to a table with one row per key.
 
     The rows of a heavy key are dealt to ``SALTS`` groups by their hash and only that key's table
     row is repeated; all other rows join as they are. Rows without a key match nothing and are
-    dealt out too.
+    dealt out too. ``look_at`` names a cheaper table with the same keys to search for heavy ones,
+    such as the scan below earlier joins.
     """
     keys = list(keys)
-    heavy = heavy_keys(rows, keys)
+    heavy = heavy_keys(rows if look_at is None else look_at, keys)
     if not heavy:
         return rows.join(table, keys, how)
     schema = rows.select(*keys).schema

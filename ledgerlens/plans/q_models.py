@@ -369,14 +369,14 @@ def pl3(s, sf):
 )
 def st1(s, sf):
     schema = tables.table(s, sf, "events").schema
-    stream = jobs.source(s, sf, schema, "events.parquet")
+    stream = jobs.source(s, f"{sf}/events.parquet", schema)
     return jobs.drain(jobs.daily_totals(stream, "ts", "value"), "daily")
 
 
 @query("st2_stream_deduplication", "l_orderkey:i", "SELECT DISTINCT l_orderkey FROM lineitem")
 def st2(s, sf):
     schema = tables.table(s, sf, "lineitem").schema
-    stream = jobs.source(s, sf, schema, "lineitem.parquet")
+    stream = jobs.source(s, f"{sf}/lineitem.parquet", schema)
     return jobs.drain(jobs.unique_rows(stream, ["l_orderkey"], "l_shipdate").select("l_orderkey"), "unique")
 
 

@@ -21,7 +21,7 @@ NUMX = ["Value", "Amount", "PricingStrategy", "FraudResult", "tx_hour"]
 def numx(s, sf):
     df = I.ev(s, sf)
     df = df.withColumns({"tx_hour": F.hour("TransactionStartTime"), "tx_weekday": F.weekday("TransactionStartTime")})
-    return R.add_frequency(df, "CustomerId", "customer_frequency")
+    return R.add_frequencies(df, {"CustomerId": "customer_frequency"})
 
 
 def numx_plain(s, sf):

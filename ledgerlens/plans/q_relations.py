@@ -349,7 +349,7 @@ def j07(s, sf):
 def j08(s, sf):
     df = I.ev(s, sf).select("TransactionId", "CustomerId", "ProductCategory")
     total = df.select(F.count(F.lit(1))).scalar()
-    out = R.add_frequency(R.add_frequency(df, "CustomerId", "customer_frequency"), "ProductCategory", "n")
+    out = R.add_frequencies(df, {"CustomerId": "customer_frequency", "ProductCategory": "n"})
     return out.withColumn("category_share", X.ratio("n", total))
 
 

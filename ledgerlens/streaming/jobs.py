@@ -11,14 +11,13 @@ from ledgerlens.operators import evaluation, modeling
 from ledgerlens.sources import files
 
 
-def source(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files arriving in a folder; event times become ``timestamp`` (a watermark needs it)."""
+def source(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Parquet files arriving under a path; event times become ``timestamp`` (a watermark needs it)."""
     reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    df = reader.parquet(path)
+    # written as a pattern, a path may be a folder or one file
+    df = reader.parquet(f"{path[:-1]}[{path[-1]}]")
     plain = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in plain}) if plain else df
 

@@ -50,7 +50,7 @@ def results(df):
     return {
         "gaps": behaviour.gaps(known),
         "gap_stats": behaviour.gap_stats(known).select("CustomerId", F.round("gap_mean", 8).alias("m"), F.round("gap_std", 6).alias("s"), "gap_min", "gap_max"),
-        "frequency": relations.add_frequency(df, "CustomerId", "n"),
+        "frequency": relations.add_frequencies(df, {"CustomerId": "n", "Value": "m"}),
         "rolling": windows.last_rolling(known, {"D": 1}),
         "ranks": ordered.ranks_of(df, "Value", "r"),
         "histogram": profile.histogram(known, "Value", 4, ["CustomerId"]),
