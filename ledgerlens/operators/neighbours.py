@@ -16,10 +16,13 @@ from pyspark.sql import Window as W
 
 from ledgerlens.session import cut
 
-from . import cleaning, ordered
+from . import cleaning, ordered, skew
 
 INF = float("inf")
 
+#: Most queries one task searches a cell for.
+VISITORS = 20_000
+
 #: Most cells ever made: the cell borders are shipped to every task.
 MAX_CELLS = 250_000
 
@@ -127,7 +130,7 @@ def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, o
             if own is not None:
                 # a point is not its own neighbour, its copies are
                 w = np.where(ids == own[start + i], weight - 1, weight)
-            order = np.lexsort((ids, d[i]))
+            order = np.lexsort((*p.T[::-1], d[i]))
             order = order[w[order] > 0]
             used = np.minimum(w[order], np.maximum(0, k - (np.cumsum(w[order]) - w[order])))
             keep = used > 0
@@ -156,7 +159,7 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
 
     ``points`` has ``pid, weight`` and the coordinates, ``queries`` has ``qid`` and the coordinates.
     ``same`` says that both are one table (equal ids), so a point does not count itself. ``used`` is
-    how much of a point's weight falls within the ``k``; ties go to the smaller id.
+    how much of a point's weight falls within the ``k``; ties go to the smaller coordinates.
     """
     cells = build_cells(points, coords, per_cell)
     kind = ", ".join(f"`{c}` double" for c in coords)
@@ -172,19 +175,35 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
         found = _search(q[coords].to_numpy(float), p[coords].to_numpy(float), p["weight"].to_numpy(), ids, qids if same else None, k)
         return _hits(qids, found)
 
-    # no cell holds more than about per_cell distinct positions
-    first = asked.groupBy("cell").cogroup(placed.groupBy("cell")).applyInPandas(inside, HITS)
-    first = cut(first)
+    def search(visitors: DataFrame) -> DataFrame:
+        """Search each visitor's cell. A cell holds about ``per_cell`` positions at most; its
+        visitors are dealt to as many tasks as they need, each with a copy of those positions."""
+        sizes = visitors.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(VISITORS)).cast("int").alias("parts"))
+        dealt = visitors.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), "parts").cast("int")).drop("parts")
+        copies = placed.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        return dealt.groupBy("cell", "part").cogroup(copies.groupBy("cell", "part")).applyInPandas(inside, HITS)
+
+    first = cut(search(asked))
     bound = first.groupBy("qid").agg(
         F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius")
     )
     reach = asked.join(bound, "qid", "left").withColumn("radius", F.coalesce("radius", F.lit(INF)))
 
     low, high = np.array(cells.low), np.array(cells.high)
+    # a fixed number of points: the distance to the k-th of them bounds the distance to the k-th of all
+    some = placed.orderBy(F.xxhash64(*coords)).limit(1000).toPandas()
+    some_x, some_w, some_ids = some[coords].to_numpy(float), some["weight"].to_numpy(), some["pid"].to_numpy()
 
     def visit(batches):
         for pdf in batches:
-            x, r, home = pdf[coords].to_numpy(dtype=float), pdf["radius"].to_numpy(), pdf["cell"].to_numpy()
+            x, home = pdf[coords].to_numpy(dtype=float), pdf["cell"].to_numpy()
+            r, qids = pdf["radius"].to_numpy().copy(), pdf["qid"].to_numpy()
+            open_rows = np.flatnonzero(np.isinf(r))
+            if len(open_rows):
+                found = _search(x[open_rows], some_x, some_w, some_ids, qids[open_rows] if same else None, k)
+                for i, (_, distance, used) in zip(open_rows, found):
+                    if used.sum() >= k:
+                        r[i] = distance.max()
             crosses = ((x - r[:, None] <= low[home]) | (x + r[:, None] >= high[home])).any(axis=1)
             rows, where = [], []
             for i in np.flatnonzero(crosses):
@@ -194,22 +213,21 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
             if rows:
                 yield pdf.iloc[rows][["qid", *coords]].assign(cell=where)
 
-    guests = reach.mapInPandas(visit, f"qid bigint, {kind}, cell bigint")
-    second = guests.groupBy("cell").cogroup(placed.groupBy("cell")).applyInPandas(inside, HITS)
-    both = first.select("qid", "pid", "distance").unionByName(second.select("qid", "pid", "distance"))
-    joined = both.join(placed.select("pid", "weight"), "pid")
+    guests = cut(reach.mapInPandas(visit, f"qid bigint, {kind}, cell bigint"))
+    both = first.select("qid", "pid", "distance").unionByName(search(guests).select("qid", "pid", "distance"))
+    joined = both.join(placed.select("pid", "weight", *coords), "pid")
     own = F.when(F.col("qid") == F.col("pid"), F.col("weight") - 1).otherwise(F.col("weight")) if same else F.col("weight")
     # candidates of one query: k per visited cell
-    w = W.partitionBy("qid").orderBy("distance", "pid").rowsBetween(W.unboundedPreceding, -1)
+    w = W.partitionBy("qid").orderBy("distance", *coords).rowsBetween(W.unboundedPreceding, -1)
     counted = joined.withColumn("own", own).withColumn("before", F.coalesce(F.sum("own").over(w), F.lit(0)))
     used = F.least(F.col("own"), F.lit(k) - F.col("before"))
     return counted.withColumn("used", used).where(F.col("used") > 0).select("qid", "pid", "distance", F.col("used").cast("bigint").alias("used"))
 
 
 def _positions(df: DataFrame, coords: list[str], extra: list | None = None) -> DataFrame:
-    """Distinct positions with their weight and an id made from the position itself."""
+    """Distinct positions with their weight and a unique id, written once so that the ids stay."""
     g = df.groupBy(*coords).agg(F.count(F.lit(1)).alias("weight"), *(extra or []))
-    return cut(g.withColumn("pid", F.xxhash64(*coords)))
+    return cut(g.withColumn("pid", F.monotonically_increasing_id()))
 
 
 def _standard(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
@@ -236,7 +254,8 @@ def local_outlier_factor(df: DataFrame, key: str, cols: list[str], k: int = 20,
         .join(density, "qid")
         .select(F.col("qid").alias("pid"), (F.col("mean_their") / F.col("lrd")).alias("lof"))
     )
-    scored = cut(rows.withColumn("pid", F.xxhash64(*coords)).join(lof, "pid").select(key, "lof"))
+    at = points.join(lof, "pid").select(*coords, "lof")
+    scored = cut(skew.lookup(rows, at, coords, "inner").select(key, "lof"))
     limit = ordered.quantile_values(scored, ["lof"], [1 - contamination])["lof"][0]
     return scored.withColumn("is_outlier", F.col("lof") > F.lit(limit))
 
@@ -250,12 +269,14 @@ def knn_impute(df: DataFrame, key: str, target: str, cols: list[str], k: int = 5
     rows, coords = _standard(df.dropna(subset=cols), cols)
     rows = cut(rows)
     donors = _positions(rows.where(F.col(target).isNotNull()), coords, [F.avg(target).alias("mean")])
-    asking = rows.where(F.col(target).isNull()).select(F.xxhash64(*coords).alias("qid"), *coords).distinct()
+    asking = cut(
+        rows.where(F.col(target).isNull()).select(*coords).distinct().withColumn("qid", F.monotonically_increasing_id())
+    )
     near = nearest(donors, asking, coords, k, same=False, per_cell=per_cell)
     filled = (
         near.join(donors.select("pid", "mean"), "pid")
         .groupBy("qid")
         .agg((F.sum(F.col("mean") * F.col("used")) / F.sum("used")).alias("fill"))
     )
-    out = rows.withColumn("qid", F.when(F.col(target).isNull(), F.xxhash64(*coords))).join(filled, "qid", "left")
-    return out.withColumn(target, F.coalesce(target, "fill")).drop("qid", "fill", *coords)
+    at = asking.join(filled, "qid").select(*coords, "fill")
+    return skew.lookup(rows, at, coords).withColumn(target, F.coalesce(target, "fill")).drop("fill", *coords)

@@ -30,9 +30,10 @@ def brute_lof(x, k):
     return lrd[order].mean(1) / lrd
 
 
-@pytest.mark.parametrize("per_cell", [10_000, 40])
+@pytest.mark.parametrize("per_cell", [10_000, 40, 3])
 @pytest.mark.parametrize("cols", [["a", "b"], ["a", "b", "c"]])
-def test_neighbours_are_exact(spark, points, per_cell, cols):
+def test_neighbours_are_exact(spark, points, per_cell, cols, monkeypatch):
+    monkeypatch.setattr(neighbours, "VISITORS", 50)
     k = 7
     x = points[cols].to_numpy()
     p = spark.createDataFrame(points).groupBy(*cols).agg(F.count(F.lit(1)).alias("weight")).withColumn("pid", F.xxhash64(*cols))
@@ -151,3 +152,19 @@ def test_flow_switches(spark, small):
     weighed = flows.full_flow(ev, {"processing": {"woe": {"enabled": True, "min_iv": 0.0}}}, target)
     assert weighed.select("total_transaction_amount").distinct().count() <= 10
     assert flows.full_flow(ev).count() == ev.select("CustomerId").distinct().count()
+
+
+def test_code_travels_with_the_functions():
+    """A worker without the package can load what it is sent."""
+    import subprocess
+    import sys
+    import tempfile
+
+    from pyspark import cloudpickle
+
+    with tempfile.TemporaryDirectory() as elsewhere:
+        with open(f"{elsewhere}/f.pkl", "wb") as out:
+            cloudpickle.dump((forest.grow, neighbours.Cells(2)), out)
+        code = "import pickle; f, c = pickle.load(open('f.pkl', 'rb')); print(f.__name__, c.axis)"
+        done = subprocess.run([sys.executable, "-c", code], cwd=elsewhere, capture_output=True, text=True, timeout=60)
+    assert done.stdout.split() == ["grow", "[-1]"], done.stderr
