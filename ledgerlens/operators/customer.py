@@ -71,9 +71,13 @@ def sign_counts(df: DataFrame, value: str = "Value") -> DataFrame:
 def fill_with_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace NULL by the column's median over all rows; the table is written once, read twice."""
     df = cut(df)
-    med = ordered.quantile_row(df, cols, [0.5])
-    m = med.select(F.struct(*[f"{c}_q0" for c in cols])).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c), m[f"{c}_q0"]) for c in cols})
+    holes = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    open_cols = [c for c in cols if holes[c]]
+    if not open_cols:
+        return df
+    med = ordered.quantile_row(df, open_cols, [0.5])
+    m = med.select(F.struct(*[f"{c}_q0" for c in open_cols])).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), m[f"{c}_q0"]) for c in open_cols})
 
 
 def extended(df: DataFrame, value: str = "Value") -> DataFrame:

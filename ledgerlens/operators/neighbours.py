@@ -96,7 +96,7 @@ def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
         placed = points.select(*coords).mapInPandas(_placer(cells, coords), f"{kind}, cell bigint")
         probs = F.array(*[F.lit(i / fan) for i in range(1, fan)])
         rows = (
-            placed.where(F.col("cell").isin(list(crowded)))
+            placed.join(points.sparkSession.createDataFrame([(c,) for c in crowded], "cell bigint"), "cell", "left_semi")
             .groupBy("cell")
             .agg(F.percentile_approx(coords[axis], probs, 100 * fan).alias("e"), F.min(coords[axis]).alias("lo"))
             .collect()

@@ -210,15 +210,17 @@ def ranks_of(df: DataFrame, col: str, out: str, total: str | None = None, keys:
 
 
 def numbered(df: DataFrame, order: str, id_col: str, out: str, keys: Iterable[str] = (), *, descending: bool = False) -> DataFrame:
-    """Attach the 1-based position of each row by ``(order, id_col)`` and ``<out>_of``, the group size."""
+    """Attach the 1-based position of each row by ``(order, id_col)`` and ``<out>_of``, the group size.
+
+    Rows without an order value come last, as do rows of equal value with a higher id.
+    """
     keys = list(keys)
     # heavy ties on the order value are cut again by the id
-    edges = splits(df, [order, id_col])
-    binned = with_bucket(df, [order, id_col], edges)
+    binned = with_bucket(df, [order, id_col], splits(df, [order, id_col], keys=keys))
     ob, ib = f"{order}_bucket", f"{id_col}_bucket"
-    signed = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    signed = (lambda c: F.col(c).desc_nulls_last()) if descending else (lambda c: F.col(c).asc_nulls_last())
     chunk = [*keys, ob, order, ib]
-    # values: (order value, id bucket) pieces; rows inside one piece share the value
+    # one row per order value and id bucket
     tied = binned.groupBy(*chunk).agg(F.count(F.lit(1)).alias("__c"))
     in_bucket = W.partitionBy(*keys, ob).orderBy(signed(order), F.col(ib)).rowsBetween(W.unboundedPreceding, -1)
     pieces = tied.withColumn("__a", F.coalesce(F.sum("__c").over(in_bucket), F.lit(0)))
@@ -228,16 +230,25 @@ def numbered(df: DataFrame, order: str, id_col: str, out: str, keys: Iterable[st
     tops = tops.select(
         *keys, ob, F.coalesce(F.sum("__b").over(before), F.lit(0)).alias("__o"), F.sum("__b").over(by_key).alias(f"{out}_of")
     )
-    pieces = pieces.join(tops, [*keys, ob]).drop("__c")
+    pieces = _null_safe_join(pieces.drop("__c"), tops, [*keys, ob])
     inside = W.partitionBy(*chunk).orderBy(id_col)
     rows = binned.withColumn("__r", F.row_number().over(inside))
     return (
-        rows.join(pieces, chunk)
+        _null_safe_join(rows, pieces, chunk)
         .withColumn(out, F.col("__r") + F.col("__a") + F.col("__o"))
         .drop("__r", "__a", "__o", ob, ib)
     )
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which two NULL keys are equal; the key columns of the left side stay."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    return left.join(renamed, same).drop(*[f"__right_{k}" for k in keys])
+
+
 def previous_time(df: DataFrame, key: str, ts: str, tie: str, out: str = "previous_ts") -> DataFrame:
     """Attach the previous row's timestamp of the same key, in ``(ts, tie)`` order.
 

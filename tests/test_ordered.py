@@ -57,6 +57,14 @@ def test_positions_of_rows(sdf, skewed, descending):
     assert (got["pos_of"].to_numpy() == skewed.groupby("k")["id"].transform("count").to_numpy()).all()
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_rows_without_a_value_come_last(spark, descending):
+    df = spark.createDataFrame([(1, 1, 5.0), (2, 1, None), (3, 1, 7.0), (4, None, None), (5, 1, None)], "id int, k int, v double")
+    got = {r.id: (r.pos, r.pos_of) for r in ordered.numbered(df, "v", "id", "pos", ["k"], descending=descending).collect()}
+    first, second = (3, 1) if descending else (1, 3)
+    assert got == {first: (1, 4), second: (2, 4), 2: (3, 4), 5: (4, 4), 4: (1, 1)}
+
+
 def test_previous_time(sdf, skewed):
     got = ordered.previous_time(sdf, "k", "ts", "id").toPandas().sort_values("id")["previous_ts"].reset_index(drop=True)
     s = skewed.sort_values(["k", "ts", "id"])
