@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
 
-from . import ordered, rfm
+from . import ordered, relations, rfm
 
 
 def gaps(df: DataFrame, *, unit_seconds: float = 3600.0) -> DataFrame:
@@ -62,10 +62,8 @@ def flags(df: DataFrame) -> DataFrame:
 
 def spending_spike(df: DataFrame, days: int = 30, limit: float = 200.0) -> DataFrame:
     """Spending of the last ``days`` against the ``days`` before, in percent."""
-    mx = rfm.latest(df)
-    ts = F.col("TransactionStartTime")
-    recent = ts > mx - F.expr(f"interval {days} days")
-    window = df.where(ts > mx - F.expr(f"interval {2 * days} days"))
+    window = relations.recent(df, 2 * days)
+    recent = F.col("TransactionStartTime") > rfm.latest(window) - F.expr(f"interval {days} days")
     zero = F.lit(0.0)
     g = window.groupBy("CustomerId").agg(
         F.coalesce(F.sum(F.when(~recent, F.col("Amount"))), zero).alias("previous"),

@@ -9,12 +9,19 @@ from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
 
-from . import rfm, skew
+from . import skew
 
 
 def recent(df: DataFrame, days: int, ts: str = "TransactionStartTime") -> DataFrame:
-    """Rows of the last ``days`` of the table; the limit is a scalar subquery."""
-    return df.where(F.col(ts) > rfm.latest(df, ts) - F.expr(f"interval {days} days"))
+    """Rows of the last ``days`` of the table.
+
+    The limit is read first (one number), so the filter is a literal the file scan can skip row
+    groups by.
+    """
+    last = df.select(F.max(F.unix_micros(ts))).first()[0]
+    if last is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(ts) > F.timestamp_micros(F.lit(last - days * X.DAY_MICROS)))
 
 
 def validity(df: DataFrame, reference_time: str) -> DataFrame:

@@ -297,3 +297,13 @@ def test_rate_levels(spark):
 def test_stability_index_of_equal_samples(spark):
     df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("v"))
     assert profile.stability_index(df, df, "v").first().psi == pytest.approx(0.0)
+
+
+def test_recent_rows_filter_reaches_the_scan(spark):
+    df = tx(spark, [(i, 1, 24 * i, 1) for i in range(20)])
+    path = files.write(df, files.scratch(spark, "recent"))
+    got = relations.recent(spark.read.parquet(path), 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(TransactionStartTime" in plan
+    assert sorted(r.TransactionId for r in got.collect()) == [15, 16, 17, 18, 19]
+    assert relations.recent(df.where("false"), 5).count() == 0
