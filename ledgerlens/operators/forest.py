@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlens.functions import scalars as X
-from ledgerlens.session import cut
+from ledgerlens.session import cut, widen
 
 from . import ordered
 
@@ -29,19 +29,25 @@ def path_length(n: float) -> float:
 def tree_samples(df: DataFrame, key: str, cols: list[str], trees: int, size: int, seed: int) -> DataFrame:
     """``size`` rows per tree by hash order.
 
-    A large table gives each sampled row to one tree, so the scan keeps only the rows needed; a
-    table smaller than all samples together offers every row to every tree.
+    A small table offers every row to every tree. Otherwise about twice the rows needed are drawn:
+    each drawn row goes to as many trees as the table is too short for one tree each.
     """
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     n = rows.count()
     need = trees * size
     unit = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    if n > 4 * need:
-        share = min(1.0, 2.0 * need / n)
-        picked = rows.where(unit(F.lit(seed), F.col(key)) < share)
-        picked = picked.withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(trees)).cast("int"))
-    else:
+    if n <= 4 * size:
         picked = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        copies = min(trees, -(-2 * need // n))
+        share = min(1.0, 2.0 * need / (n * copies))
+        drawn = rows.where(unit(F.lit(seed), F.col(key)) < share) if share < 1 else rows
+        dealt = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        picked = (
+            dealt.withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.col("copy"), F.lit(seed)), F.lit(trees)).cast("int"))
+            .drop("copy")
+            .dropDuplicates(["tree", key])
+        )
     order = F.xxhash64(F.lit(seed), F.col("tree"), F.col(key))
     w = W.partitionBy("tree").orderBy("h", key)
     return picked.withColumn("h", order).withColumn("r", F.row_number().over(w)).where(F.col("r") <= size)
@@ -113,7 +119,7 @@ def isolation_scores(df: DataFrame, key: str, cols: list[str], trees: int = 100,
 
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     kind = dict(df.dtypes)[key]
-    return rows.mapInPandas(score, f"`{key}` {kind}, score double")
+    return widen(rows).mapInPandas(score, f"`{key}` {kind}, score double")
 
 
 def isolation_outliers(df: DataFrame, key: str, cols: list[str], contamination: float = 0.1, **options) -> DataFrame:

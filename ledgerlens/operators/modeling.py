@@ -128,7 +128,7 @@ SHARES = {"train": 70, "val": 15, "test": 15}
 
 def training_table(labelled: DataFrame, shares: dict[str, int] = SHARES) -> DataFrame:
     """Features, split and class weight per customer, written once for all fits."""
-    base = labelled.select(KEY, *RFM, F.col(LABEL).cast("double").alias(LABEL))
+    base = cut(labelled.select(KEY, *RFM, F.col(LABEL).cast("double").alias(LABEL)))
     split = evaluation.stratified_split(rfm.training_features(base), LABEL, KEY, shares)
     return cut(evaluation.class_weights(split, LABEL).drop("positive_scale"))
 

@@ -72,3 +72,9 @@ def cut(df: DataFrame) -> DataFrame:
     """
     durable_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a table of too few partitions over all cores before heavy Python work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -93,6 +93,8 @@ def test_isolation_samples_of_a_large_table(spark):
     df = spark.range(20000).select("id", (F.col("id") % 101).cast("double").alias("a"))
     s = forest.tree_samples(df, "id", ["a"], 5, 64, 1).groupBy("tree").count().toPandas()
     assert len(s) == 5 and (s["count"] == 64).all()
+    s = forest.tree_samples(df.limit(400), "id", ["a"], 50, 64, 1).groupBy("tree").agg(F.count("id"), F.countDistinct("id")).toPandas()
+    assert len(s) == 50 and (s.iloc[:, 1:] == 64).all().all()
 
 
 def test_chained_impute_recovers_a_line(spark):
