@@ -117,7 +117,7 @@ def encoding_plan(df: DataFrame, cols: list[str], max_one_hot: int = 15) -> Data
     k = F.col("distinct_values")
     strategy = F.when(k <= 2, "label").when(k <= max_one_hot, "onehot").otherwise("frequency")
     return profile.category_summary(df, cols).select(
-        "column", F.col("distinct_values").alias("n_unique"), strategy.alias("strategy"), "mode", "mode_pct"
+        "column", F.col("distinct_values").alias("n_unique"), strategy.alias("strategy"), "mode", "mode_freq"
     )
 
 
@@ -248,7 +248,7 @@ def woe_transform(df: DataFrame, bins: DataFrame, unseen: str = "null", min_iv:
     """Replace features by their weights; features below ``min_iv`` are dropped.
 
     The bin table (at most ten rows per feature) becomes CASE expressions. Values outside every bin
-    give NULL, the mean weight or the first bin's weight.
+    give NULL, the mean weight or the first bin's weight; NULL stays NULL.
     """
     rows = bins.select("feature", "bin", "lo", "hi", "binned", "woe", "iv").orderBy("feature", "bin").collect()
     by: dict[str, list] = {}
@@ -264,14 +264,14 @@ def woe_transform(df: DataFrame, bins: DataFrame, unseen: str = "null", min_iv:
         fallback = F.lit(other).cast("double")
         v = F.col(feature).cast("double")
         if parts[0].binned:
-            e = F.when(v.isNull() | (v < parts[0].lo) | (v > parts[-1].hi), fallback)
+            e = F.when((v < parts[0].lo) | (v > parts[-1].hi), fallback)
             for p in parts:
                 e = e.when(v <= p.hi, F.lit(p.woe))
         else:
-            e = F.when(v.isNull(), fallback)
-            for p in parts:
+            e = F.when(v == parts[0].lo, F.lit(parts[0].woe))
+            for p in parts[1:]:
                 e = e.when(v == p.lo, F.lit(p.woe))
-        made[feature] = e.otherwise(fallback)
+        made[feature] = F.when(v.isNotNull(), e.otherwise(fallback))
     return df.withColumns(made).drop(*drop)
 
 

@@ -91,13 +91,13 @@ def davies_bouldin(assigned: DataFrame, centers: list) -> float:
     return sum(worst) / len(worst)
 
 
-def k_sweep(df: DataFrame, ks=range(2, 9), logs: str | None = "log10", scaler: str = "robust") -> DataFrame:
-    """Inertia, silhouette and Davies-Bouldin index for several numbers of clusters."""
+def k_sweep(df: DataFrame, ks=range(2, 9), logs: str | None = "log10", scaler: str = "robust", starts: int = 1) -> DataFrame:
+    """Inertia, silhouette (squared distances, linear work) and Davies-Bouldin index per number of clusters."""
     vectors = cluster_vectors(df.drop("cluster"), logs, scaler)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     rows = []
     for k in ks:
-        model, cost = fit_kmeans(vectors, k)
+        model, cost = fit_kmeans(vectors, k, starts)
         assigned = model.transform(vectors)
         rows.append((k, float(cost), float(silhouette.evaluate(assigned)), float(davies_bouldin(assigned, model.clusterCenters()))))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double")

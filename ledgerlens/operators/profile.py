@@ -89,10 +89,12 @@ def shape_reading(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def category_summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct values, mode with its share, and entropy in bits per categorical column."""
+    """Distinct values, mode, its share of all rows (``mode_pct``) and of filled rows (``mode_freq``),
+    and entropy in bits per categorical column."""
     from . import relations
 
     counts = relations.value_counts(df, cols)
+    rows = df.select(F.count(F.lit(1))).scalar()
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     p = X.ratio("n", "total")
     return (
@@ -108,7 +110,8 @@ def category_summary(df: DataFrame, cols: list[str]) -> DataFrame:
             "column",
             "distinct_values",
             F.col("top.value").alias("mode"),
-            (X.ratio(-F.col("top.neg"), "total") * 100).alias("mode_pct"),
+            (X.ratio(-F.col("top.neg"), rows) * 100).alias("mode_pct"),
+            X.ratio(-F.col("top.neg"), "total").alias("mode_freq"),
             "entropy",
         )
     )

@@ -25,8 +25,10 @@ def rfm_table(
     snapshot: Column | None = None,
     snapshot_shift: str | None = None,
     spread: bool = False,
+    absolute: bool = True,
 ) -> DataFrame:
-    """One row per customer: days since the last transaction, count and absolute net amount.
+    """One row per customer: days since the last transaction, count and absolute net amount
+    (signed with ``absolute=False``).
 
     The snapshot defaults to the last timestamp; ``snapshot_shift`` (an interval such as ``1 day``)
     moves it. ``spread`` adds the mean and the sample deviation (0 for one transaction).
@@ -49,7 +51,7 @@ def rfm_table(
         key,
         X.whole_days(at, F.col("last_ts")).alias("recency_days"),
         "transaction_frequency",
-        F.abs("net_value").alias("total_monetary_value"),
+        (F.abs("net_value") if absolute else F.col("net_value")).alias("total_monetary_value"),
         *(["avg_transaction_value", "std_transaction_value"] if spread else []),
     )
 
@@ -191,7 +193,7 @@ def lifetime_value(df: DataFrame) -> DataFrame:
         F.max(ts).alias("last_ts"),
         F.min(ts).alias("first_ts"),
         F.count(F.lit(1)).alias("Frequency"),
-        F.abs(F.sum("Amount")).alias("Historical_CLV"),
+        F.sum("Amount").alias("Historical_CLV"),
         F.avg("Amount").alias("avg_transaction_value"),
     )
     at = latest(df) + F.expr("interval 1 day")

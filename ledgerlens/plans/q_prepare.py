@@ -111,10 +111,10 @@ _ENC = ["ProductCategory", "CountryCode", "ChannelId"]
 
 @query(
     "e05_encoding_plan",
-    "column:s n_unique:i strategy:s mode:s mode_pct:6",
+    "column:s n_unique:i strategy:s mode:s mode_freq:8",
     " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) AS n_unique, CASE WHEN count(*) <= 2 THEN 'label' WHEN count(*) <= 15 THEN 'onehot' ELSE 'frequency' END AS strategy,
-        arg_max(v, n * 1000000 - r) AS mode, max(n) / sum(n) * 100 AS mode_pct FROM (SELECT {c} AS v, count(*) AS n, row_number() OVER (ORDER BY {c}) AS r
+        arg_max(v, n * 1000000 - r) AS mode, max(n) / sum(n) AS mode_freq FROM (SELECT {c} AS v, count(*) AS n, row_number() OVER (ORDER BY {c}) AS r
         FROM odc GROUP BY {c})"""
         for c in _ENC
     ),

@@ -77,7 +77,7 @@ _CAT = ["ProductCategory", "ChannelId", "ProviderId"]
 
 def _cat_sql(t):
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) AS distinct_values, arg_max(v, n * 1000000 - r) AS mode, max(n) / sum(n) * 100 AS mode_pct,
+        f"""SELECT '{c}' AS "column", count(*) AS distinct_values, arg_max(v, n * 1000000 - r) AS mode, max(n) * 100 / (SELECT count(*) FROM {t}) AS mode_pct,
         -sum(n / tot * log2(n / tot + 1e-10)) AS entropy FROM (SELECT {c} AS v, count(*) AS n, sum(count(*)) OVER () AS tot,
         row_number() OVER (ORDER BY {c}) AS r FROM {t} WHERE {c} IS NOT NULL GROUP BY {c})"""
         for c in _CAT

@@ -10,12 +10,12 @@ from .registry import query
 
 TS = "TransactionStartTime"
 FRAUD_SQL = """SELECT *, coalesce(fraud_mean_amount / nullif(normal_mean_amount, 0), 0) AS amount_ratio FROM (
-  SELECT count(*) AS total_transactions, sum(FraudResult) AS fraud_transactions, avg(FraudResult) * 100 AS fraud_rate,
+  SELECT count(*) AS total_transactions, sum(FraudResult) AS fraud_transactions, count(*) FILTER (WHERE FraudResult = 0) AS non_fraud_transactions, avg(FraudResult) * 100 AS fraud_rate,
   coalesce(avg(Amount) FILTER (WHERE FraudResult = 1), 0) AS fraud_mean_amount,
   coalesce(avg(Amount) FILTER (WHERE FraudResult = 0), 0) AS normal_mean_amount FROM {t})"""
 
 
-@query("c01_fraud_overall", "total_transactions:i fraud_transactions:i fraud_rate:6", FRAUD_SQL.format(t="ev"))
+@query("c01_fraud_overall", "total_transactions:i fraud_transactions:i non_fraud_transactions:i fraud_rate:6", FRAUD_SQL.format(t="ev"))
 def c01(s, sf):
     return Rp.fraud_overall(I.ev(s, sf))
 

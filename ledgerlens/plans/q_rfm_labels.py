@@ -31,11 +31,11 @@ def r02(s, sf):
     "CustomerId:i recency_days:i transaction_frequency:i total_monetary_value:2 log_monetary:6",
     """SELECT CustomerId, (epoch_us((SELECT max(TransactionStartTime) FROM ev)) + 86400000000
               - epoch_us(max(TransactionStartTime))) // 86400000000 AS recency_days,
-              count(*) AS transaction_frequency, abs(sum(Amount)) AS total_monetary_value,
-              ln(1 + abs(sum(Amount))) AS log_monetary FROM ev GROUP BY CustomerId""",
+              count(*) AS transaction_frequency, sum(Amount) AS total_monetary_value,
+              CASE WHEN sum(Amount) > -1 THEN ln(1 + sum(Amount)) END AS log_monetary FROM ev GROUP BY CustomerId""",
 )
 def r03(s, sf):
-    t = rfm.rfm_table(I.ev(s, sf), snapshot_shift="1 day")
+    t = rfm.rfm_table(I.ev(s, sf), snapshot_shift="1 day", absolute=False)
     return t.withColumn("log_monetary", F.log1p("total_monetary_value"))
 
 
@@ -189,7 +189,7 @@ SELECT *, avg_transaction_value * monthly_frequency * expected_lifespan_months A
       SELECT CustomerId,
              (epoch_us((SELECT max(TransactionStartTime) FROM {t})) + 86400000000 - epoch_us(max(TransactionStartTime)))
                  // 86400000000 AS "Recency",
-             count(*) AS "Frequency", abs(sum(Amount)) AS "Historical_CLV", avg(Amount) AS avg_transaction_value,
+             count(*) AS "Frequency", sum(Amount) AS "Historical_CLV", avg(Amount) AS avg_transaction_value,
              greatest(1.0e0, ((epoch_us(max(TransactionStartTime)) - epoch_us(min(TransactionStartTime)))
                  // 86400000000) / 30.44e0) AS tenure_months
       FROM {t} GROUP BY CustomerId)))"""

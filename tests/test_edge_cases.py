@@ -185,7 +185,7 @@ def test_woe_transform_policies(spark):
     null = encoding.woe_transform(new, bins, "null", 0.0).collect()
     assert [r.v is None for r in null] == [True, True, True, False] and [r.d is None for r in null] == [False, True, True, False]
     first = encoding.woe_transform(new, bins, "first", 0.0).collect()
-    assert first[0].v == first[1].v == first[3].v
+    assert first[0].v == first[1].v == first[3].v and first[2].v is None and first[2].d is None
     assert "d" not in encoding.woe_transform(new, bins, "null", 0.02).columns
 
 
