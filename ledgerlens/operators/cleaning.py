@@ -91,14 +91,15 @@ def treat_outliers(df: DataFrame, bounds: dict[str, tuple[float, float]], strate
     return df.withColumns(made)
 
 
-def outlier_summary(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+def outlier_summary(df: DataFrame, bounds: dict[str, tuple[float, float]], *, of_filled: bool = False) -> DataFrame:
+    """Bounds, count, share and extremes per column; the share is of all rows, or of filled ones."""
     one = df.agg(
         *[
             e
             for c, b in bounds.items()
             for e in (
                 F.count_if(outside(c, b)).alias(f"{c}_n"),
-                F.count(c).alias(f"{c}_rows"),
+                F.count(c if of_filled else F.lit(1)).alias(f"{c}_rows"),
                 F.min(c).cast("double").alias(f"{c}_min"),
                 F.max(c).cast("double").alias(f"{c}_max"),
             )

@@ -355,11 +355,11 @@ def o01b(s, sf):
     return K.treat_outliers(df, K.percentile_bounds(df, ["Value"]), "remove")
 
 
-def _summary_sql(lo, hi):
+def _summary_sql(lo, hi, rows):
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS feature, any_value(lo) AS lower_bound, any_value(hi) AS upper_bound, count(*) FILTER (WHERE {c} < lo OR {c} > hi) AS outliers,
-        count(*) FILTER (WHERE {c} < lo OR {c} > hi) * 100 / count({c}) AS outlier_pct, min({c}) AS min, max({c}) AS max FROM ev,
-        (SELECT {lo.format(c=c)} AS lo, {hi.format(c=c)} AS hi FROM ev)"""
+        count(*) FILTER (WHERE {c} < lo OR {c} > hi) * 100 / {rows.format(c=c)} AS outlier_pct, min({c}) AS min, max({c}) AS max FROM evn,
+        (SELECT {lo.format(c=c)} AS lo, {hi.format(c=c)} AS hi FROM evn)"""
         for c in ("Value", "Amount")
     )
 
@@ -369,16 +369,16 @@ _IQR_LO = "quantile_cont({c}, 0.25) - 1.5e0 * (quantile_cont({c}, 0.75) - quanti
 _IQR_HI = "quantile_cont({c}, 0.75) + 1.5e0 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25))"
 
 
-@query("o02_outlier_summary", _SUM_OUT, _summary_sql("quantile_cont({c}, 0.01)", "quantile_cont({c}, 0.99)"))
+@query("o02_outlier_summary", _SUM_OUT, _summary_sql("quantile_cont({c}, 0.01)", "quantile_cont({c}, 0.99)", "count(*)"))
 def o02(s, sf):
-    df = I.ev(s, sf)
+    df = I.evn(s, sf)
     return K.outlier_summary(df, K.percentile_bounds(df, ["Value", "Amount"]))
 
 
-@query("o03_iqr", _SUM_OUT, _summary_sql(_IQR_LO, _IQR_HI))
+@query("o03_iqr", _SUM_OUT, _summary_sql(_IQR_LO, _IQR_HI, "count({c})"))
 def o03(s, sf):
-    df = I.ev(s, sf)
-    return K.outlier_summary(df, K.iqr_bounds(df, ["Value", "Amount"]))
+    df = I.evn(s, sf)
+    return K.outlier_summary(df, K.iqr_bounds(df, ["Value", "Amount"]), of_filled=True)
 
 
 _CNT_OUT = "feature:s method:s outliers:i outlier_pct:6"

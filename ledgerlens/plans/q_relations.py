@@ -145,7 +145,7 @@ def io10(s, sf):
     "io11_data_dictionary",
     "split:s records:i low_risk:i high_risk:i high_risk_rate:6 columns:s",
     """SELECT split, count(*) AS records, count(*) FILTER (WHERE is_high_risk = 0) AS low_risk,
-       sum(is_high_risk) AS high_risk, avg(is_high_risk) AS high_risk_rate,
+       sum(is_high_risk) AS high_risk, avg(is_high_risk) * 100 AS high_risk_rate,
        'CustomerId,is_high_risk,model,risk_score' AS columns FROM preds GROUP BY split""",
 )
 def io11(s, sf):

@@ -97,7 +97,7 @@ def require(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def data_dictionary(df: DataFrame, label: str = "is_high_risk") -> DataFrame:
-    """Per split: rows, column list, class counts and rate."""
+    """Per split: rows, column list, class counts and rate in percent."""
     y = F.col(label)
     cols = sorted(c for c in df.columns if c != "split")
     return (
@@ -106,7 +106,7 @@ def data_dictionary(df: DataFrame, label: str = "is_high_risk") -> DataFrame:
             F.count(F.lit(1)).alias("records"),
             F.count_if(y == 0).alias("low_risk"),
             F.count_if(y == 1).alias("high_risk"),
-            F.avg(y.cast("double")).alias("high_risk_rate"),
+            (F.avg(y.cast("double")) * 100).alias("high_risk_rate"),
         )
         .withColumn("columns", F.array(*[F.lit(c) for c in cols]))
     )
