@@ -453,7 +453,7 @@ _YJ = """CASE WHEN Amount >= 0 THEN CASE WHEN l = 0 THEN ln(1 + Amount) ELSE (po
 @query(
     "s29_power_transform",
     "method:s lambda:1 log_likelihood:3 best:b",
-    f"""WITH bc AS (SELECT 'box_cox' AS method, l AS lambda, CASE WHEN (SELECT min(Value) FROM ev) > 0 THEN (l - 1) * sum(ln(Value)) - count(*) / 2 * ln(var_pop({_BC})) END AS log_likelihood FROM (SELECT Value FROM ev WHERE (SELECT min(Value) FROM ev) > 0), {_GRID} GROUP BY l),
+    f"""WITH bc AS (SELECT 'box_cox' AS method, l AS lambda, CASE WHEN (SELECT min(Value) FROM ev) > 0 THEN (l - 1) * sum(ln(Value)) - count(*) / 2 * ln(var_pop({_BC})) END AS log_likelihood FROM (SELECT greatest(Value, 1e-9) AS Value FROM ev), {_GRID} GROUP BY l),
         yj AS (SELECT 'yeo_johnson' AS method, l AS lambda, (l - 1) * sum(sign(Amount) * ln(1 + abs(Amount))) - count(*) / 2 * ln(var_pop({_YJ})) AS log_likelihood
                FROM ev, {_GRID} GROUP BY l), g AS (SELECT * FROM bc UNION ALL SELECT * FROM yj)
         SELECT *, log_likelihood = max(log_likelihood) OVER (PARTITION BY method) AS best FROM g""",
