@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixing
+from . import bpe, exact, mixing, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -43,3 +43,13 @@ def op8(spark, sf_dir) -> DataFrame:
 @query("op10_mix_sources")
 def op10(spark, sf_dir) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_substring_dedup")
+def op3(spark, sf_dir) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op4_run_index_dedup")
+def op4(spark, sf_dir) -> DataFrame:
+    return runs.dedup(table(spark, sf_dir, "documents"))
