@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import sys
+import types
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -187,14 +188,12 @@ class Document:
         return [t for piece in self.tokens for t in piece]
 
 
-_CODERS: dict[tuple[str, str], tuple[Prefixes, regex.Pattern]] = {}
-
-
 def coder(path: str, pattern: str) -> tuple[Prefixes, regex.Pattern]:
-    """Encoder and splitter of this worker."""
-    if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = Prefixes(read_ranks(path)), splitter(pattern)
-    return _CODERS[path, pattern]
+    """Encoder and splitter of this worker: kept where the worker's later tasks find them, as functions travel anew with every task."""
+    held = sys.modules.setdefault("_prefix_coders", types.ModuleType("_prefix_coders")).__dict__
+    if (path, pattern) not in held:
+        held[path, pattern] = Prefixes(read_ranks(path)), splitter(pattern)
+    return held[path, pattern]
 
 
 def encode_text(text: str, prefixes: Prefixes, split: regex.Pattern) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, exact, mixing, runs, substrings
+from . import bpe, exact, jaccard, mixing, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -53,3 +53,8 @@ def op3(spark, sf_dir) -> DataFrame:
 @query("op4_run_index_dedup")
 def op4(spark, sf_dir) -> DataFrame:
     return runs.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_jaccard_join")
+def op2(spark, sf_dir) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"))
