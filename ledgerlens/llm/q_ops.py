@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, exact, jaccard, mixing, runs, substrings
+from . import bpe, chat, exact, jaccard, mixing, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -58,3 +58,16 @@ def op4(spark, sf_dir) -> DataFrame:
 @query("op2_jaccard_join")
 def op2(spark, sf_dir) -> DataFrame:
     return jaccard.linked_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_rules")
+def op5(spark, sf_dir) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op9_chat_format")
+def op9(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    return chat.formatted(rows.unionByName(extra), ranks_path(), pattern(), texts=False)
