@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, jaccard, mixing, quality, runs, substrings
+from . import bpe, chat, exact, jaccard, mixing, pages, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -71,3 +71,8 @@ def op9(spark, sf_dir) -> DataFrame:
     hard = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
     return chat.formatted(rows.unionByName(extra), ranks_path(), pattern(), texts=False)
+
+
+@query("op1_html_extract")
+def op1(spark, sf_dir) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
