@@ -206,31 +206,34 @@ def encode_text(text: str, prefixes: Prefixes, split: regex.Pattern) -> np.ndarr
     return np.array(ids, "<u4")
 
 
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
-DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())])
 #: Bytes of an outgoing batch.
 BATCH = 16 << 20
 
 
-def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False) -> DataFrame:
-    """doc_id, n_tokens and the ids (little-endian 32-bit) with the bytes decoded from them, or digests of both."""
+def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, digests of the ids (little-endian, 32 bits) and of the bytes decoded from them and, on request, the ids."""
+    schema = SCHEMA if with_ids else pa.schema(list(SCHEMA)[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes, split = coder(path, pattern)
-        schema = DIGESTS if digests else SCHEMA
         rows, size = [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 ids = encode_text(text.as_py(), prefixes, split)
-                raw, plain = ids.tobytes(), b"".join(map(prefixes.bytes_of.__getitem__, ids.tolist()))
-                pair = (hashlib.sha256(raw).hexdigest(), hashlib.sha256(plain).hexdigest()) if digests else (raw, plain)
-                rows.append((doc_id.as_py(), len(ids), *pair))
-                size += len(pair[0]) + len(pair[1]) + 16
+                raw, plain = ids.tobytes(), decode(ids, prefixes)
+                row = (doc_id.as_py(), len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(plain).hexdigest(), raw)
+                rows.append(row[: len(schema)])
+                size += 160 + len(raw) * with_ids
                 if size >= BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                     rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    ddl = "doc_id long, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded binary")
+    ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole().alias("text")).mapInArrow(run, ddl)
+
+
+def decode(ids: np.ndarray, prefixes: Prefixes) -> bytes:
+    return b"".join(map(prefixes.bytes_of.__getitem__, ids.tolist()))

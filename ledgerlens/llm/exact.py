@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import BLANKS, scratch, stored, whole
 
@@ -131,3 +132,17 @@ def _by_text(docs: DataFrame, lying: DataFrame) -> DataFrame:
     ).join(lying, "digest", "left_semi")
     best = rows.groupBy("body").agg(F.min(_best("length", "doc_id", "locator")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     return rows.drop("locator").join(best, "body").select("doc_id", F.col("best.id").alias("keep_id"), "group_size", "digest", F.col("best.at").alias("locator"))
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group."""
+    kept = stored(dedup(docs).where("kept").select(F.unhex("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")), "exact-kept")
+    twins = not kept.groupBy("_digest", "_keep").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    best = kept.distinct() if twins else kept
+    marked = docs.withColumn("_digest", digest()).withColumn("_length", F.char_length(whole()))
+    fits = (marked["_digest"] == best["_digest"]) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep"))
+    out = marked.join(best, fits, "left_semi")
+    if twins:
+        # the kept row is there more than once: the longest original, and one of equal ones
+        out = out.withColumn("_top", F.max("_length").over(Window.partitionBy("_digest"))).where("_length = _top").dropDuplicates(["_digest"])
+    return out.select(*(f"`{c}`" for c in docs.columns))

@@ -125,19 +125,43 @@ def round_units(units: DataFrame, seed: int = 17, fan_in: int = FAN_IN) -> DataF
     return final if settled is None else settled.unionByName(final)
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, ceiling: float = 2.0, seed: int = 17) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken."""
-    rows = stored(docs.select("doc_id", F.col("source").cast("string").alias("_src"), F.regexp_count(whole(), F.lit(WORD)).cast("long").alias("size")), "mix-sizes")
-    unit = F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("_src"), F.lit("")), F.col("_src").isNull(), "size")
-    units = rows.groupBy("doc_id", "_src", "size").agg(F.count(F.lit(1)).alias("_m"))
+def _unit(seed: int) -> Column:
+    """Number of a unit: rows with the same id, source and size are one."""
+    src = F.col("source").cast("string")
+    return F.xxhash64(F.lit(seed), "doc_id", F.coalesce(src, F.lit("")), src.isNull(), size())
+
+
+def size() -> Column:
+    return F.regexp_count(whole(), F.lit(WORD)).cast("long")
+
+
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return stored(docs.select("doc_id", F.col("source").cast("string").alias("_src"), size().alias("size"), _unit(seed).alias("unit")), "mix-sizes")
+
+
+def decide(rows: DataFrame, weights: tuple[float, ...], share: float, ceiling: float, seed: int) -> DataFrame:
+    """(unit, source_size, target, copies) of every unit of (doc_id, _src, size, unit) rows."""
+    units = stored(rows.groupBy("unit", "_src", "size").agg(F.count(F.lit(1)).alias("_m")), "mix-units")
     goal = stored(targets(units, weights, share, ceiling), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    named = goal.select(F.col("_src").alias("_gs"), "source_size", "target", rate.alias("_rate"))
     # next to whole rates are whole: no dust of floating point enters the duels
-    base = F.when(F.abs(F.col("_rate") - F.round("_rate")) < EPS, F.round("_rate")).otherwise(F.floor("_rate")).cast("int")
-    with_goal = lambda d: d.join(named, F.col("_src").eqNullSafe(F.col("_gs"))).drop("_gs").withColumn("_base", base).withColumn("unit", unit)
-    fraction = with_goal(units).withColumn("p", F.col("_rate") - F.col("_base")).where(F.col("p") > EPS)
-    won = round_units(fraction.groupBy("unit", "_src").agg(F.sum(F.col("size") * F.col("_m")).alias("size"), F.max("p").alias("p")), seed)
-    out = with_goal(rows).join(won, "unit", "left")
-    copies = (F.col("_base") + F.coalesce("taken", F.lit(0))).cast("long")
-    return out.select("doc_id", F.col("_src").alias("source"), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    floor = F.when(F.abs(F.col("_rate") - F.round("_rate")) < EPS, F.round("_rate")).otherwise(F.floor("_rate")).cast("int")
+    named = goal.select(F.col("_src").alias("_gs"), "source_size", "target", rate.alias("_rate")).withColumn("_base", floor)
+    wanted = units.join(named, F.col("_src").eqNullSafe(F.col("_gs"))).drop("_gs")
+    fraction = wanted.withColumn("p", F.col("_rate") - F.col("_base")).where(F.col("p") > EPS)
+    won = round_units(fraction.select("unit", "_src", (F.col("size") * F.col("_m")).alias("size"), "p"), seed)
+    return wanted.join(won, "unit", "left").select("unit", "source_size", "target", (F.col("_base") + F.coalesce("taken", F.lit(0))).cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, ceiling: float = 2.0, seed: int = 17) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken."""
+    rows = _sized(docs, seed)
+    out = rows.join(decide(rows, weights, share, ceiling, seed), "unit")
+    return out.select("doc_id", F.col("_src").alias("source"), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def apply(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, ceiling: float = 2.0, seed: int = 17) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it."""
+    chosen = decide(_sized(docs, seed), weights, share, ceiling, seed).where("copies > 0").select(F.col("unit").alias("_unit"), F.col("copies").alias("_copies"))
+    named = docs.withColumn("_unit", _unit(seed)).join(chosen, "_unit")
+    return named.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*(f"`{c}`" for c in docs.columns))

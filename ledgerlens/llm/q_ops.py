@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, jaccard, mixing, pages, quality, runs, substrings
+from . import bpe, chat, exact, jaccard, mixing, pages, pii, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -37,7 +37,7 @@ def op6(spark, sf_dir) -> DataFrame:
 
 @query("op8_byte_bpe")
 def op8(spark, sf_dir) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), ranks_path(), pattern(), digests=True)
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks_path(), pattern())
 
 
 @query("op10_mix_sources")
@@ -76,3 +76,8 @@ def op9(spark, sf_dir) -> DataFrame:
 @query("op1_html_extract")
 def op1(spark, sf_dir) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op7_personal_data")
+def op7(spark, sf_dir) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))

@@ -50,15 +50,20 @@ class Spec:
     first_stays: bool
 
 
-def named(docs: DataFrame) -> DataFrame:
-    """(doc, sub, text) of every row."""
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), whole().alias("text"))
-    again = base.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
+def numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with ``_doc`` and ``_sub``, and whether some id is repeated."""
+    base = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    again = base.groupBy("_doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_doc")
     again = stored(again, "windows-again")
     if again.isEmpty():
-        return base.select("doc", F.lit(0).cast("long").alias("sub"), "text")
-    marked = base.join(again.withColumn("many", F.lit(True)), "doc", "left")
-    return marked.select("doc", F.when(F.col("many"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("sub"), "text")
+        return base.withColumn("_sub", F.lit(0).cast("long")), False
+    marked = base.join(again.withColumn("_many", F.lit(True)), "_doc", "left")
+    return marked.withColumn("_sub", F.when(F.col("_many"), F.xxhash64(whole())).otherwise(F.lit(0)).cast("long")).drop("_many"), True
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """(doc, sub, text) of every row."""
+    return numbered(docs.select("doc_id", whole().alias("text")))[0].select(F.col("_doc").alias("doc"), F.col("_sub").alias("sub"), "text")
 
 
 def powers(n: int, base: int) -> np.ndarray:
