@@ -21,7 +21,11 @@ from pyspark.sql.window import Window
 
 from .common import BLANKS, scratch, stored, whole
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the state: on disk, without room reserved ahead, as there is one store per shuffle partition.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 RECORD = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -67,8 +71,9 @@ def run_stream(folder: str, docs: DataFrame, files_per_batch: int | None = None)
     """Stream a folder of records to its end; returns the state: digest, keep_id, keep_length, locator, group_size."""
     spark = docs.sparkSession
     state = scratch(spark, "exact-state")
-    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         reader = spark.readStream.schema(RECORD)
         if files_per_batch:
@@ -83,10 +88,11 @@ def run_stream(folder: str, docs: DataFrame, files_per_batch: int | None = None)
         )
         handle.awaitTermination()
     finally:
-        if provider is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     held = spark.read.format("statestore").load(state)
     names = held.schema["value"].dataType.names
     best, n = names[0], names[1]
