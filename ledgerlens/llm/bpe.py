@@ -20,6 +20,7 @@ import types
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import whole
 
-#: Pieces and pairs remembered per worker before the memory is emptied.
-REMEMBERED = 200_000
+#: Pieces (twice as many with the old ones) and pairs that a worker remembers.
+REMEMBERED = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,8 +39,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def splitter(pattern: str) -> regex.Pattern:
-    """The splitting pattern with letters and digits as the tokenizer's library knows them.
+def splitter(pattern: str) -> tuple[regex.Pattern, regex.Pattern]:
+    """The splitting pattern, as it is and with letters and digits as the tokenizer's library knows them.
 
     Libraries follow different versions of Unicode. Code points that Python does not know, or knows as unassigned,
     but the expression library takes for letters or digits, are asked of the tokenizer's library where it is installed.
@@ -47,7 +48,8 @@ def splitter(pattern: str) -> regex.Pattern:
     try:
         import tiktoken
     except ImportError:
-        return regex.compile(pattern)
+        return (regex.compile(pattern),) * 2
+    plain = regex.compile(pattern)
     byte = {bytes([i]): i for i in range(256)}
     for name in ("L", "N"):
         ours = regex.compile(rf"\p{{{name}}}")
@@ -63,7 +65,7 @@ def splitter(pattern: str) -> regex.Pattern:
         if unknown:
             # a nested set reads alike outside and inside another set
             pattern = pattern.replace(rf"\p{{{name}}}", rf"[\p{{{name}}}--[{unknown}]]")
-    return regex.compile(pattern, regex.V1)
+    return plain, regex.compile(pattern, regex.V1)
 
 
 class Prefixes:
@@ -73,13 +75,15 @@ class Prefixes:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        # lengths of tokens by their last two bytes, longest first: only these can end at a place
+        # lengths of tokens by their last three bytes, longest first, then two and one: only these can end at a place
         ends: dict[bytes, set[int]] = {}
         for t in ranks:
-            ends.setdefault(t[-2:], set()).add(len(t))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+            if len(t) > 2:
+                ends.setdefault(t[-3:], set()).add(len(t))
+        self.lengths = {k: (*sorted(v, reverse=True), 2, 1) for k, v in ends.items()}
+        self.pairs: dict[int, bool] = {}
+        self.known = _Known(self)
+        self.table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
 
     def merged(self, piece: bytes) -> list[int]:
         """Plain merging, lowest rank first; used on two tokens' bytes only."""
@@ -96,7 +100,8 @@ class Prefixes:
         return [self.ranks[p] for p in parts]
 
     def fits(self, left: int, right: int) -> bool:
-        key = (left, right)
+        """Whether two tokens may stand next to each other."""
+        key = left << 32 | right
         got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) >= REMEMBERED:
@@ -106,12 +111,16 @@ class Prefixes:
 
     def last(self, piece: bytes, end: int, lasts: list[int]) -> int:
         """Last token of the prefix that ends at ``end``, given those of all shorter prefixes."""
-        for n in (*self.lengths.get(piece[max(0, end - 2) : end], ()), 1):
-            if n > end:
-                continue
-            token = self.ranks.get(piece[end - n : end])
-            if token is not None and (n == end or self.fits(lasts[end - n - 1], token)):
-                return token
+        get, known = self.ranks.get, self.pairs.get
+        for n in self.lengths.get(piece[end - 3 : end] if end > 2 else b"", (2, 1)):
+            if n <= end:
+                token = get(piece[end - n : end])
+                if token is not None:
+                    if n == end:
+                        return token
+                    left = lasts[end - n - 1]
+                    if known(left << 32 | token) or self.fits(left, token):
+                        return token
         raise ValueError("no token ends here: the vocabulary lacks single bytes")
 
     def lasts(self, piece: bytes) -> list[int]:
@@ -148,22 +157,32 @@ class Prefixes:
         return out
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
-        got = self.known.get(piece)
-        if got is None:
-            whole_piece = self.ranks.get(piece)
-            got = (whole_piece,) if whole_piece is not None else tuple(self.walk(self.lasts(piece)))
-            if len(piece) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = got
+        token = self.ranks.get(piece)
+        return (token,) if token is not None else tuple(self.walk(self.lasts(piece)))
+
+
+class _Known(dict):
+    """Ids of pieces met before. A full memory becomes the old one, from which pieces still met return; long ones are not remembered."""
+
+    def __init__(self, coder: Prefixes):
+        super().__init__()
+        self.coder, self.old = coder, {}
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        got = self.old.get(piece) or self.coder.encode(piece.encode())
+        if len(piece) <= 64:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = got
         return got
 
 
 class Document:
     """A text with its pieces, encoded; appends and edits re-encode only the pieces they reach."""
 
-    def __init__(self, coder: Prefixes, split: regex.Pattern, text: str = ""):
-        self.coder, self.split = coder, split
+    def __init__(self, coder: Prefixes, split: tuple[regex.Pattern, regex.Pattern], text: str = ""):
+        self.coder, self.split = coder, split[1]
         self.text, self.starts, self.tokens = "", [], []
         self.replace(0, 0, text)
 
@@ -188,7 +207,7 @@ class Document:
         return [t for piece in self.tokens for t in piece]
 
 
-def coder(path: str, pattern: str) -> tuple[Prefixes, regex.Pattern]:
+def coder(path: str, pattern: str) -> tuple[Prefixes, tuple[regex.Pattern, regex.Pattern]]:
     """Encoder and splitter of this worker: kept where the worker's later tasks find them, as functions travel anew with every task."""
     held = sys.modules.setdefault("_prefix_coders", types.ModuleType("_prefix_coders")).__dict__
     if (path, pattern) not in held:
@@ -196,14 +215,15 @@ def coder(path: str, pattern: str) -> tuple[Prefixes, regex.Pattern]:
     return held[path, pattern]
 
 
-def encode_text(text: str, prefixes: Prefixes, split: regex.Pattern) -> np.ndarray:
+#: Bytes from which a text may hold code points that libraries know differently (all of them lie above U+0540).
+LATE = 0xD5
+
+
+def encode_text(text: str, prefixes: Prefixes, split: tuple[regex.Pattern, regex.Pattern]) -> np.ndarray:
     """Ids of a whole text."""
-    known, encode = prefixes.known, prefixes.encode
-    ids: list[int] = []
-    for m in split.finditer(text):
-        piece = m.group().encode()
-        ids.extend(known.get(piece) or encode(piece))
-    return np.array(ids, "<u4")
+    raw = np.frombuffer(text.encode(), np.uint8)
+    pattern = split[1] if len(raw) and raw.max() >= LATE else split[0]
+    return np.fromiter(chain.from_iterable(map(prefixes.known.__getitem__, pattern.findall(text))), "<u4")
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())])
@@ -236,4 +256,4 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
 
 
 def decode(ids: np.ndarray, prefixes: Prefixes) -> bytes:
-    return b"".join(map(prefixes.bytes_of.__getitem__, ids.tolist()))
+    return b"".join(map(prefixes.table.__getitem__, ids.tolist()))
