@@ -80,16 +80,23 @@ def _checks() -> tuple[tuple[str, Callable[[Column], Column]], ...]:
 
 
 _NONE = "cast(array() as array<struct<s:bigint,k:int,e:bigint>>)"
+_FOUND = "cast(array() as array<struct<s:bigint,k:int,e:bigint,value:string,pattern:string>>)"
+
+
+def _pattern(before: Column) -> Column:
+    """The two words before a place, lower case, numbers as 0."""
+    words = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+    return F.regexp_replace(F.regexp_replace(words, "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")
 
 
 def base(text: Column) -> Column:
-    """Sorted array of (s, k, e) of all base finds."""
+    """Sorted array of (s, k, e, value, pattern) of all base finds."""
     found = []
     for k, (expression, check) in enumerate(_checks()):
         good = F.filter(places(text, expression), lambda x: check(x["hit"]))
-        spans = F.transform(good, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e")))
+        spans = F.transform(good, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), F.lower(x["hit"]).alias("value"), _pattern(x["before"]).alias("pattern")))
         mark = ("@", ".", None, "+")[k]
-        found.append(F.when(F.contains(text, F.lit(mark)), spans).otherwise(F.expr(_NONE)) if mark else spans)
+        found.append(F.when(F.contains(text, F.lit(mark)), spans).otherwise(F.expr(_FOUND)) if mark else spans)
     return F.array_sort(F.concat(*found))
 
 
@@ -102,10 +109,8 @@ def candidates(text: Column) -> Column:
     def one(x: Column) -> Column:
         lead = F.char_length(F.regexp_extract(x["hit"], r"^[^A-Za-z0-9+]*+", 0))
         tail = F.char_length(F.regexp_extract(x["hit"], r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$|(?<=[A-Za-z0-9])[^A-Za-z0-9]++$", 0))
-        words = F.lower(F.regexp_extract(x["before"], r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
-        pattern = F.regexp_replace(F.regexp_replace(words, "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")
         value = F.lower(F.substring(x["hit"], lead + 1, F.char_length(x["hit"]) - lead - tail))
-        return F.struct((x["s"] + lead).alias("s"), (x["e"] - tail).alias("e"), value.alias("value"), pattern.alias("pattern"))
+        return F.struct((x["s"] + lead).alias("s"), (x["e"] - tail).alias("e"), value.alias("value"), _pattern(x["before"]).alias("pattern"))
 
     return F.filter(F.transform(near, one), lambda c: (c["value"] != "") & (c["pattern"] != ""))
 
@@ -149,17 +154,19 @@ def find(docs: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int
     text = whole()
     rows = docs.select(F.xxhash64("doc_id", text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), base(text).alias("base"), candidates(text).alias("cands"))
     rows = stored(rows, "pii-rows")
-    over = F.filter("base", lambda b: (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
-    seen = rows.select("key", "base", F.explode("cands").alias("c")).select("key", "c.*", F.get(over, F.lit(0))["k"].alias("k"))
-    scored = patterns(seen.select("pattern", "value", "k"), rounds)
+    seeds = rows.select(F.explode("base").alias("b")).select("b.pattern", "b.value", "b.k").where("pattern <> ''")
+    over = F.exists("base", lambda b: (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
+    unseen = rows.select("key", "base", F.explode("cands").alias("c")).where(~over).select("key", "c.*")
+    scored = patterns(seeds.unionByName(unseen.select("pattern", "value", F.lit(None).cast("int").alias("k"))), rounds)
     kind = F.lit(None).cast("int")
     for i, p in enumerate(SCORES):
         kind = F.when((F.col(p) >= sure) & (F.col(f"n{i}") >= support), F.lit(i)).otherwise(kind)
     good = scored.select("pattern", kind.alias("found")).where("found IS NOT NULL")
-    new = seen.where("k IS NULL").join(good, "pattern").select("key", F.col("s"), F.col("found").alias("k"), F.col("e")).distinct()
+    new = unseen.join(good, "pattern").select("key", F.col("s"), F.col("found").alias("k"), F.col("e")).distinct()
     added = new.groupBy("key").agg(F.collect_list(F.struct("s", "k", "e")).alias("added"))
     out = rows.select("key", "doc_id", "base").join(added, "key", "left")
-    every = F.array_sort(F.concat("base", F.coalesce("added", F.expr(_NONE))))
+    plain = F.transform("base", lambda b: F.struct(b["s"].alias("s"), b["k"].alias("k"), b["e"].alias("e")))
+    every = F.array_sort(F.concat(plain, F.coalesce("added", F.expr(_NONE))))
     count = lambda i: F.size(F.filter("base", lambda b: b["k"] == i)).cast("long")
     return out.select(
         "doc_id",
