@@ -46,13 +46,11 @@ def equal_width_bins(df: DataFrame, col: str, n: int, out: str = "bin") -> DataF
 
 # --- encoders -----------------------------------------------------------------------------------
 
-MAX_LISTED = 1000
-
-
-def categories(df: DataFrame, col: str, limit: int = MAX_LISTED) -> list:
-    """The sorted categories as a list; refuses columns with more than ``limit`` of them."""
-    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def categories(df: DataFrame, col: str, limit: int | None = None) -> list:
+    """The sorted categories as a list, one future column each; refuses more than ``limit`` of them if a caller sets one."""
+    found = df.select(col).where(F.col(col).isNotNull()).distinct()
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"{col} has more than {limit} categories; use frequency encoding")
     return sorted(r[0] for r in rows)
 

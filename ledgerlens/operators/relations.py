@@ -114,8 +114,9 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def without(df: DataFrame, flagged: DataFrame, key: str) -> DataFrame:
-    return df.join(flagged.select(key), key, "left_anti")
+def without(df: DataFrame, flagged: Column) -> DataFrame:
+    """Rows that are not flagged; a flag of NULL flags nothing."""
+    return df.where(~F.coalesce(flagged, F.lit(False)))
 
 
 def band_counts(df: DataFrame, value: str, limits: list[tuple[str, float, float]], extra: list[Column] = ()) -> DataFrame:

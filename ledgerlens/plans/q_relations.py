@@ -301,9 +301,11 @@ def j04(s, sf):
 )
 def j05(s, sf):
     df = I.odn(s, sf)
-    value = df.groupBy("ProductCategory").agg(F.sum("Amount").alias("total_value"), F.avg("Amount").alias("avg_value"))
-    fraud = df.groupBy("ProductCategory").agg((F.avg("FraudResult") * 100).alias("fraud_rate"))
-    return value.join(fraud, "ProductCategory")
+    # both sides of the join share their key and their rows: one aggregate is the join
+    named = df.where(F.col("ProductCategory").isNotNull())
+    return named.groupBy("ProductCategory").agg(
+        F.sum("Amount").alias("total_value"), F.avg("Amount").alias("avg_value"), (F.avg("FraudResult") * 100).alias("fraud_rate")
+    )
 
 
 @query(
@@ -560,4 +562,4 @@ def k07(s, sf):
 def k09(s, sf):
     df = I.ev(s, sf)
     limit = ordered.quantile_row(df, ["Value"], [0.99]).select("Value_q0").scalar()
-    return R.without(df, df.where(F.col("Value") > limit), "TransactionId")
+    return R.without(df, F.col("Value") > limit)

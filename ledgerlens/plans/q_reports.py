@@ -323,7 +323,7 @@ def m04(s, sf):
     "pattern:s n:i pct:6 null_columns:i",
     """SELECT pattern, n, n * 100 / (SELECT count(*) FROM evn) AS pct, length(replace(pattern, '0', '')) AS null_columns FROM (
        SELECT concat(CASE WHEN Value IS NULL THEN '1' ELSE '0' END, '0', CASE WHEN ProductCategory IS NULL THEN '1' ELSE '0' END) AS pattern, count(*) AS n
-       FROM evn GROUP BY 1) ORDER BY n DESC, pattern LIMIT 5""",
+       FROM evn GROUP BY 1)""",
 )
 def m05(s, sf):
     return Q.patterns(I.evn(s, sf), ["Value", "Amount", "ProductCategory"])

@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 from ledgerlens.session import durable_dir
 
 # Header words that mark a date column (fixed list).
-DATE_WORDS = ("date", "time", "timestamp")
+DATE_WORDS = ("time", "date", "timestamp", "start", "end", "created", "updated")
 
 # Accepted names of canonical columns, first match wins (fixed lists).
 ALIASES = {
     "CustomerId": ["CustomerId", "customer_id", "customerid", "AccountId", "user_id", "o_custkey"],
     "Amount": ["Amount", "amount", "TransactionAmount", "total_amount", "value", "o_totalprice"],
     "TransactionStartTime": ["TransactionStartTime", "TransactionDate", "transaction_date", "date", "ts", "o_orderdate"],
-    "is_high_risk": ["is_high_risk", "high_risk", "target", "risk_label", "default"],
+    "is_high_risk": ["is_high_risk", "target", "risk_flag", "default_flag", "label"],
 }
 
 
@@ -76,10 +76,11 @@ def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
 
 
 def canonical(df: DataFrame, aliases: dict[str, list[str]] = ALIASES) -> DataFrame:
-    """Rename the first alias present to its canonical name."""
+    """Rename the first alias present to its canonical name; without one, the first column whose name contains it."""
     renames = {}
     for name, options in aliases.items():
         found = next((o for o in options if o in df.columns), None)
+        found = found or next((c for c in df.columns if name.lower() in c.lower() and c not in renames), None)
         if found and found != name:
             renames[found] = name
     return df.withColumnsRenamed(renames)
