@@ -21,7 +21,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,29 +155,41 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-FITTED = "grp string, " + ", ".join(f"{n} double" for n in (*MEAN, *INVERSE))
+def _inverse(matrix: Column) -> Column:
+    """Inverse of a positive definite matrix given as a flat array: one in-place elimination per diagonal element."""
+
+    def pivot(m: Column, k: Column) -> Column:
+        at = lambda i, j: F.get(m, i * DIMS + j)
+        p = at(k, k)
+
+        def cell(old: Column, place: Column) -> Column:
+            i, j = F.floor(place / DIMS).cast("int"), place % DIMS
+            return (
+                F.when((i == k) & (j == k), 1.0 / p)
+                .when(i == k, old / p)
+                .when(j == k, -old / p)
+                .otherwise(old - at(i, k) * at(k, j) / p)
+            )
+
+        return F.transform(m, cell)
+
+    return F.aggregate(F.array(*(F.lit(k) for k in range(DIMS))), matrix, pivot)
 
 
 def _solve(sums: DataFrame, factor: float) -> DataFrame:
     """Mean and inverse covariance of each group's sums (one row per group)."""
+    n = F.col("n").cast("double")
+    known = sums.select("grp", *((F.col(f"s{i}") / n).alias(MEAN[i]) for i in range(DIMS)), *((F.col(f"p{i}{j}") / n).alias(f"p{i}{j}") for i, j in PAIRS))
+
+    def cell(i: int, j: int) -> Column:
+        cov = F.lit(factor) * (F.col(f"p{min(i, j)}{max(i, j)}") - F.col(MEAN[i]) * F.col(MEAN[j]))
+        # floors keep constant or nearly dependent statistics from blowing up distances
+        return F.greatest(cov, F.lit(FLOOR[i] ** 2)) + 1e-9 if i == j else cov
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for r in f.to_dict("records"):
-                n = r["n"]
-                mean = np.array([r[f"s{i}"] for i in range(DIMS)]) / n
-                cov = np.zeros((DIMS, DIMS))
-                for i, j in PAIRS:
-                    cov[i, j] = cov[j, i] = r[f"p{i}{j}"] / n - mean[i] * mean[j]
-                cov *= factor
-                # floors keep constant or nearly dependent statistics from blowing up distances
-                cov += np.diag([max(0.0, f * f - cov[i, i]) + 1e-9 for i, f in enumerate(FLOOR)])
-                inv = np.linalg.inv(cov)
-                rows.append((r["grp"], *np.round(mean, 9), *(float(np.round(inv[i, j], 6)) for i, j in PAIRS)))
-            yield pd.DataFrame(rows, columns=["grp", *MEAN, *INVERSE])
-
-    return sums.mapInPandas(run, FITTED)
+    inverse = _inverse(F.array(*(cell(i, j) for i in range(DIMS) for j in range(DIMS)))).alias("inverse")
+    return known.select("grp", *(F.round(m, 9).alias(m) for m in MEAN), inverse).select(
+        "grp", *MEAN, *(F.round(F.get("inverse", F.lit(i * DIMS + j)), 6).alias(f"w{i}{j}") for i, j in PAIRS)
+    )
 
 
 def _sums() -> list[Column]:
