@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import numpy as np
 import pytest
 import tiktoken
 
@@ -94,6 +95,38 @@ def test_run_index(docs, texts, crowd, monkeypatch):
 @pytest.mark.parametrize("pairs", [8, 2])
 def test_jaccard(docs, texts, pairs, monkeypatch):
     monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    assert linked(docs) == shingle_components(texts)
+
+
+@pytest.mark.parametrize("pairs", [2, 4])
+def test_jaccard_in_large_families(spark, pairs, monkeypatch):
+    """Near copies of which many are too far from the most linked text but similar to one another."""
+    monkeypatch.setattr(jaccard, "PAIRS", pairs)
+    rng = random.Random(11)
+    make = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, passage = make(150), make(40)
+    family = [list(base)]
+    for i in range(160):
+        copy = list(rng.choice(family) if i % 2 else base)
+        for _ in range(rng.randint(1, 6)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randint(0, 1)] = make(rng.randint(0, 1)) or ["gone"]
+        family.append(copy)
+    family += [make(rng.randint(3, 15)) + passage + make(rng.randint(3, 15)) for _ in range(60)]
+    rng.shuffle(family)
+    texts = [" ".join(f) for f in family]
+    got = linked(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    want = shingle_components(texts)
+    assert got == want
+    assert 1 < len({c for _, c in want.values()}) < len(texts)
+
+
+def linked(docs):
+    return {i: (r.n_shingles, r.component_id) for i, r in by_id(jaccard.linked_documents(docs)).items()}
+
+
+def shingle_components(texts):
+    """Per text its number of shingles and its component, from all pairs."""
     low = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
     sets = []
     for t in texts:
@@ -112,8 +145,7 @@ def test_jaccard(docs, texts, pairs, monkeypatch):
             if both and 100 * both >= 80 * (len(a) + len(sets[j]) - both):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
-    got = by_id(jaccard.linked_documents(docs))
-    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(s), find(i)) for i, s in enumerate(sets)}
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
 def test_exact(docs, texts):
@@ -140,6 +172,18 @@ def test_quality_counts(docs, texts):
         assert r.base_failed == (len(w) < 20 or 100 * len(twice) > 30 * len(w)) and not (r.base_failed and r.kept)
 
 
+def test_covariances_are_inverted(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, quality.DIMS)) * [1, 0.2, 0.01, 0.3, 0.1]
+    x[:, 4] += x[:, 0]
+    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "grp string, " + ", ".join(f"{c} double" for c in quality.X))
+    got = quality._solve(rows.groupBy("grp").agg(*quality._sums()), 1.2).first()
+    cov = np.cov(x.T, bias=True) * 1.2
+    np.fill_diagonal(cov, np.maximum(np.diag(cov), np.square(quality.FLOOR)))
+    want = np.linalg.inv(cov)
+    assert all(abs(got[f"w{i}{j}"] - want[i, j]) < 1e-3 * max(1, abs(want[i, j])) for i, j in quality.PAIRS)
+
+
 def test_quality_rejects_outliers(spark):
     rng = random.Random(3)
     words = ["lorem", "ipsum", "dolor", "sit", "amet", "consec", "elit", "sed", "do", "eius"]
