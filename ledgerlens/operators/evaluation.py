@@ -138,11 +138,11 @@ def business_report(metrics: DataFrame) -> DataFrame:
 
 
 def risk_levels(df: DataFrame, score: str = "risk_score") -> DataFrame:
-    """LOW below 0.3, MEDIUM below 0.7, else HIGH; confidence is the larger class probability."""
+    """LOW below 0.3, MEDIUM below 0.7, else HIGH; confidence is the larger class probability. All are NULL without a score."""
     p = F.col(score)
     return df.withColumns(
         {
-            "risk_level": X.bands(p, [(0.3, "LOW"), (0.7, "MEDIUM")], "HIGH", closed="left"),
+            "risk_level": F.when(p.isNotNull(), X.bands(p, [(0.3, "LOW"), (0.7, "MEDIUM")], "HIGH", closed="left")),
             "confidence": F.greatest(p, 1 - p),
             "predicted_high_risk": p >= 0.5,
         }

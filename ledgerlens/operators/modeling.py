@@ -13,10 +13,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import PCA, RobustScaler, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, RobustScaler, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
@@ -129,8 +129,15 @@ SHARES = {"train": 70, "val": 15, "test": 15}
 def training_table(labelled: DataFrame, shares: dict[str, int] = SHARES) -> DataFrame:
     """Features, split and class weight per customer, written once for all fits."""
     base = cut(labelled.select(KEY, *RFM, F.col(LABEL).cast("double").alias(LABEL)))
-    split = evaluation.stratified_split(rfm.training_features(base), LABEL, KEY, shares)
-    return cut(evaluation.class_weights(split, LABEL).drop("positive_scale"))
+    split = evaluation.stratified_split(base, LABEL, KEY, shares)
+    made = rfm.training_features(split, _largest(split))
+    return cut(evaluation.class_weights(made, LABEL).drop("positive_scale"))
+
+
+def _largest(table: DataFrame) -> float:
+    """Largest monetary value of the training split, which scored customers are put in relation to as well."""
+    top = table.where(F.col("split") == "train").agg(F.max("total_monetary_value")).first()[0]
+    return 0.0 if top is None else float(top)
 
 
 def classifier(name: str, rows: int = 1, **options):
@@ -150,21 +157,39 @@ def classifier(name: str, rows: int = 1, **options):
 
 def feature_steps(features: list[str] = FEATURES, scaled: bool = True) -> list:
     out = "raw" if scaled else "features"
-    steps = [VectorAssembler(inputCols=features, outputCol=out, handleInvalid="skip")]
+    steps = [VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep")]
     if scaled:
         steps.append(StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True))
     return steps
 
 
 def fit(table: DataFrame, name: str, features: list[str] = FEATURES, **options) -> PipelineModel:
-    train = table.where(F.col("split") == "train")
+    """Classifier fitted on the training rows without a missing feature.
+
+    The largest monetary value of the training split goes into the model, so that scores do not depend on who is scored together.
+    """
+    train = table.where((F.col("split") == "train") & _complete(features))
     rows = train.count() if name == "logistic_regression" else 1
-    return Pipeline(stages=[*feature_steps(features), classifier(name, rows, **options)]).fit(train)
+    first = [] if "value_concentration" not in features else [SQLTransformer(statement=f"SELECT * EXCEPT (value_concentration), {_CONCENTRATION.format(top=_largest(table))} AS value_concentration FROM __THIS__")]
+    return Pipeline(stages=[*first, *feature_steps(features), classifier(name, rows, **options)]).fit(train)
+
+
+_CONCENTRATION = "coalesce(try_divide(CAST(total_monetary_value AS DOUBLE), CAST('{top!r}' AS DOUBLE)), 0D)"
+
+
+def _complete(features: list[str]) -> Column:
+    return F.forall(F.array(*[F.col(c).cast("double") for c in features]), lambda v: v.isNotNull())
+
+
+def inputs(model: PipelineModel) -> list[str]:
+    """Feature columns of a fitted model, in its order."""
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    """Probability of the risky class next to the kept columns."""
-    return model.transform(df).select(*keep, vector_to_array("probability")[1].alias("risk_score"))
+    """Probability of the risky class next to the kept columns, for every row; NULL where a feature is missing."""
+    known = F.when(_complete(inputs(model)), vector_to_array("probability")[1])
+    return model.transform(df).select(*keep, known.alias("risk_score"))
 
 
 def predictions(table: DataFrame, names: list[str], features: list[str] = FEATURES, **options) -> DataFrame:
@@ -240,9 +265,14 @@ def load(path: str) -> PipelineModel:
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Bulk scoring: shared features, probability, class, level and confidence."""
-    p = predict(model, rfm.training_features(df.select(KEY, *RFM)), [KEY, *RFM])
-    return evaluation.risk_levels(p).withColumn("is_high_risk", F.col("predicted_high_risk"))
+    """Bulk scoring: shared features, probability, class, level and confidence of every row.
+
+    ``refused`` names the missing inputs of a row without a score, else it is NULL.
+    """
+    # the model puts its own maximum in place of this one
+    p = predict(model, rfm.training_features(df.select(KEY, *RFM), 1.0), [KEY, *RFM])
+    missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in RFM])
+    return evaluation.risk_levels(p).withColumns({"is_high_risk": F.col("predicted_high_risk"), "refused": F.nullif(missing, F.lit(""))})
 
 
 # --- scoring inputs -------------------------------------------------------------------------------

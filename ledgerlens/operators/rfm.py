@@ -146,10 +146,10 @@ TRAINING_COLUMNS = [
 ]
 
 
-def training_features(df: DataFrame) -> DataFrame:
-    """Feature set the classifiers are trained on; undefined ratios become 0."""
+def training_features(df: DataFrame, top: float | None = None) -> DataFrame:
+    """Feature set the classifiers are trained on; undefined ratios become 0. ``top`` is the monetary value others are put in relation to (default: the largest)."""
+    top = df.select(F.max("total_monetary_value")).scalar() if top is None else F.lit(top)
     r, f, m = (F.col(c).cast("double") for c in ("recency_days", "transaction_frequency", "total_monetary_value"))
-    top = df.select(F.max("total_monetary_value")).scalar()
     recency = 1 / (1 + r)
     frequency = F.log1p(f)
     per = m / (f + 1)

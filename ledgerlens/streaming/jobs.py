@@ -22,19 +22,24 @@ def source(spark: SparkSession, path: str, schema: T.StructType, files_per_batch
     return df.withColumns({c: F.col(c).cast("timestamp") for c in plain}) if plain else df
 
 
-def daily_totals(stream: DataFrame, ts: str, value: str, delay: str = "1 hour") -> DataFrame:
-    """Count, sum and mean per day; rows later than the watermark are dropped."""
+def daily_totals(stream: DataFrame, ts: str, value: str) -> DataFrame:
+    """Count, sum, mean and latest time per day. The state is one row per day, so days are kept and late rows count; drain in ``complete`` mode."""
     return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"))
-        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n", "total", "mean")
+        stream.groupBy(F.window(ts, "1 day").alias("w"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"), F.avg(value).alias("mean"), F.max(ts).alias("latest"))
+        .select(F.col("w.end").alias("ends"), F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n", "total", "mean", "latest")
     )
 
 
-def unique_rows(stream: DataFrame, keys: list[str], ts: str, delay: str = "1 day") -> DataFrame:
-    """First row per key among rows that arrive within the delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+def mark_open(days: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Drained days; ``open`` says that rows of the day may still come within the delay after the latest row of all."""
+    latest = days.select(F.max("latest") - F.expr(f"INTERVAL {delay}")).scalar()
+    return days.select("day", "n", "total", "mean", (F.col("ends") > latest).alias("open"))
+
+
+def unique_rows(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """First row per key. Keys do not expire, however late a row comes."""
+    return stream.dropDuplicates(keys)
 
 
 def scored(stream: DataFrame, model: PipelineModel) -> DataFrame:
@@ -43,16 +48,23 @@ def scored(stream: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Process everything available into a parquet folder and read it back."""
+    """Process everything available into a parquet folder and read it back; in ``complete`` mode the table as of the last batch."""
     spark = stream.sparkSession
     out, state = files.scratch(spark, f"{name}-out"), files.scratch(spark, f"{name}-state")
-    handle = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", state)
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-    )
-    handle.awaitTermination()
+    # keys that never expire must not have to fit in an executor's memory
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    writer = stream.writeStream.option("checkpointLocation", state).outputMode(mode).trigger(availableNow=True)
+    done: list[str] = []
+    if mode == "complete":
+
+        def write(batch: DataFrame, number: int) -> None:
+            done.append(f"{out}/{number}")
+            batch.write.mode("overwrite").parquet(done[-1])
+
+        writer = writer.foreachBatch(write)
+    else:
+        writer = writer.format("parquet").option("path", out)
+    writer.start().awaitTermination()
+    if mode == "complete":
+        return spark.read.schema(stream.schema).parquet(done[-1]) if done else spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(out)

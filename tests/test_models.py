@@ -127,6 +127,14 @@ def test_model_round_trip_and_scores(spark, table, small):
     a = modeling.score(model, rfm).orderBy("CustomerId").toPandas()
     b = modeling.score(modeling.load(path), rfm).orderBy("CustomerId").toPandas()
     assert a.equals(b) and set(a["risk_level"]) <= {"LOW", "MEDIUM", "HIGH"} and (a["confidence"] >= 0.5).all()
+    # a score does not depend on who is scored with the customer, and no row is lost
+    half = modeling.score(model, rfm.where("CustomerId % 2 = 0 AND total_monetary_value < 1000")).toPandas()
+    both = half.merge(a, on="CustomerId")
+    assert 0 < len(both) == len(half) and (both["risk_score_x"] == both["risk_score_y"]).all()
+    gaps = rfm.withColumn("recency_days", F.when(F.col("CustomerId") % 3 > 0, F.col("recency_days")))
+    marked = modeling.score(model, gaps)
+    assert marked.count() == len(a)
+    assert marked.where("(refused IS NULL) <> (risk_score IS NOT NULL) OR (refused = 'recency_days') <> (CustomerId % 3 = 0)").isEmpty()
     top = modeling.importances(model, spark).collect()
     assert [r.position for r in top] == list(range(1, len(top) + 1))
 
