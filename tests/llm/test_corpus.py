@@ -121,6 +121,35 @@ def test_jaccard_in_large_families(spark, pairs, monkeypatch):
     assert 1 < len({c for _, c in want.values()}) < len(texts)
 
 
+def test_jaccard_bounds_of_differences():
+    """Similar sets share a difference from any hub that both look up, at places and with parities that allow a link."""
+    rng = np.random.default_rng(5)
+    seen = 0
+    for _ in range(3000):
+        hub = np.unique(rng.integers(0, 1 << 60, rng.integers(5, 120)).astype(np.uint64))
+        edit = lambda s, most: np.unique(np.concatenate((rng.permutation(s)[rng.integers(0, most) :], rng.integers(0, 1 << 60, rng.integers(0, most)).astype(np.uint64))))
+        x = edit(hub, max(2, len(hub) // 2))
+        y = edit(x, max(2, len(x) // 7))
+        if not len(x) or not len(y) or not jaccard.similar(x, y):
+            continue
+        d = [np.concatenate((np.setdiff1d(s, hub), np.setdiff1d(hub, s))) for s in (x, y)]
+        if (len(d[0]), 0) < (len(d[1]), 1):
+            x, y, d = y, x, d[::-1]
+        # x is the farther one now; links to the hub need no second look
+        if jaccard.similar(x, hub):
+            continue
+        seen += 1
+        close = jaccard.similar(y, hub)
+        lead = jaccard._front(len(d[1]), len(y), len(hub))
+        lead = lead if close else min(lead, len(y) // 8 + 1)
+        whole = d[0][: jaccard._front(len(d[0]), len(x), len(hub), whole=True)]
+        apart = len(np.setxor1d(x, y))
+        places = [(p, d[1][:lead].tolist().index(v)) for p, v in enumerate(whole.tolist()) if v in set(d[1][:lead].tolist())]
+        assert places and min(p + q + abs((len(d[0]) - p) - (len(d[1]) - q)) for p, q in places) <= apart
+        assert sum(int(v).bit_count() for v in (jaccard.parity(x) ^ jaccard.parity(y)).view(np.uint64)) <= apart
+    assert seen > 100
+
+
 def linked(docs):
     return {i: (r.n_shingles, r.component_id) for i, r in by_id(jaccard.linked_documents(docs)).items()}
 
