@@ -121,6 +121,29 @@ def test_jaccard_in_large_families(spark, pairs, monkeypatch):
     assert 1 < len({c for _, c in want.values()}) < len(texts)
 
 
+@pytest.mark.parametrize("sets", [1024, 7])
+def test_jaccard_counts_all_links(spark, sets, monkeypatch):
+    """Families of more near copies than a meeting place gives pairs of, in one block and in several."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", sets)
+    monkeypatch.setattr(jaccard, "LISTED", 50)
+    rng = random.Random(3)
+    texts = []
+    for size, most in ((150, 3), (60, 12), (9, 1)):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for _ in range(60):
+            copy = list(base) + [f"e{rng.randrange(10**6)}" for _ in range(rng.randint(0, most))]
+            for _ in range(rng.randint(0, 2) if size > 9 else 0):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    sets_of = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+    distinct = list({frozenset(s) for s in sets_of})
+    alike = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    want = [sum(alike(s, o) for o in distinct) - 1 for s in sets_of]
+    got = by_id(jaccard.linked_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [got[i].links for i in range(len(texts))] == want
+    assert max(want) > 3 * jaccard.PAIRS and {i: (r.n_shingles, r.component_id) for i, r in got.items()} == shingle_components(texts)
+
+
 def test_jaccard_bounds_of_differences():
     """Similar sets share a difference from any hub that both look up, at places and with parities that allow a link."""
     rng = np.random.default_rng(5)
