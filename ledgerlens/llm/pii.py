@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction (native).
 
 Seeds are the base finds: addresses, numbers and telephone numbers that match fixed expressions and their checks. Words
-that look like identifiers are *instances*, and the two words before them are their lexical *pattern*. Spark scores the
+that look like identifiers are *instances*, and the two words of the text before the word they begin in are their lexical *pattern*, whatever
+those words are (earlier finds and numbers too). Spark scores the
 graph of patterns and instances iteratively: a pattern is as sure of a kind as the instances it introduces are, on
 average, and an instance that is no seed is as sure as its best pattern. Patterns that end up sure of one
 kind, and have introduced enough different seeds of it, discover unseen identifiers: instances behind them that no
@@ -33,13 +34,14 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = r"0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 #: A word with a digit or an at sign; what looks like an identifier is decided on the word.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*+"
-LONGEST = 64
+#: The end of a text from the second last complete word on, with what stands behind it of the next word.
+TAIL = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){0,2}[^\x20\x09-\x0D]*+\z"
 #: Rounds of scoring, sureness of a pattern, and different seeds it must have introduced.
 ROUNDS, SURE, SUPPORT = 3, 0.8, 3
 
 
 def places(text: Column, expression: str) -> Column:
-    """Array of (s, e, hit) of the leftmost matches that do not overlap."""
+    """Array of (s, e, hit, before) of the leftmost matches that do not overlap; before: the two words in front of the word a match begins in, and that word's beginning."""
     gaps = F.split(text, expression, -1)
     hits = F.regexp_extract_all(text, F.lit(expression), F.lit(0))
     pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("g"), h.alias("h")))
@@ -48,7 +50,10 @@ def places(text: Column, expression: str) -> Column:
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + F.char_length(x["g"])
         e = s + F.char_length(x["h"])
-        one = F.struct(s.alias("s"), e.alias("e"), x["h"].alias("hit"), F.right(x["g"], F.lit(2 * LONGEST)).alias("before"))
+        # words before the match may stand before earlier matches or be such
+        last = F.try_element_at(acc["out"], F.lit(-1))
+        before = F.regexp_extract(F.concat(F.coalesce(last["before"], F.lit("")), F.coalesce(last["hit"], F.lit("")), x["g"]), TAIL, 0)
+        one = F.struct(s.alias("s"), e.alias("e"), x["h"].alias("hit"), before.alias("before"))
         return F.struct(F.coalesce(e, acc["at"]).alias("at"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
 
     return F.aggregate(pairs, start, step, lambda a: a["out"])
@@ -85,7 +90,7 @@ _FOUND = "cast(array() as array<struct<s:bigint,k:int,e:bigint,value:string,patt
 
 def _pattern(before: Column) -> Column:
     """The two words before a place, lower case, numbers as 0."""
-    words = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+    words = F.lower(F.regexp_extract(before, r"^([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]++[^\x20\x09-\x0D]*+\z", 1))
     return F.regexp_replace(F.regexp_replace(words, "[0-9]+", "0"), r"[\x20\x09-\x0D]+", " ")
 
 
@@ -103,7 +108,7 @@ def base(text: Column) -> Column:
 def candidates(text: Column) -> Column:
     """Array of (s, e, value, pattern) of the words that look like identifiers, without marks around them."""
     near = F.filter(
-        places(text, CANDIDATE), lambda x: (F.char_length(x["hit"]) <= LONGEST) & ((F.char_length(_digits(x["hit"])) >= 5) | F.contains(x["hit"], F.lit("@")))
+        places(text, CANDIDATE), lambda x: (F.char_length(_digits(x["hit"])) >= 5) | F.contains(x["hit"], F.lit("@"))
     )
 
     def one(x: Column) -> Column:

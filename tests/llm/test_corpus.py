@@ -328,6 +328,27 @@ def test_personal_data(spark):
     assert got[30].n_phone == 0 and got[30].spans == "phone:32:46"
 
 
+def test_personal_data_after_words_with_digits(spark):
+    """Patterns hold the words of the text, also numbers, finds and long words, for seeds and for what they discover."""
+    long = "w" * 300
+    rows = [(i, f"order {i} call +1 (504) 555-{2000 + i} now") for i in range(5)]
+    rows += [(10 + i, f"write first@x{i}.co or second@y{i}.co please") for i in range(5)]
+    rows += [(20 + i, f"{long} dial +1 (504) 555-{3000 + i} now") for i in range(5)]
+    rows += [(30, "order 77 call 0044/777123456 now"), (31, f"x {long} dial {'7' * 80}"), (32, "9 9 call 123456 8 call 234567")]
+    got = by_id(pii.find(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[30].spans == "phone:14:28"
+    assert got[31].spans == "phone:308:388"
+    assert got[32].spans == "phone:9:15,phone:23:29"
+    words = re.compile(r"[^\x20\x09-\x0D]+")
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = table.select("text", pii.base(table.text).alias("b"), pii.candidates(table.text).alias("c")).collect()
+    for r in found:
+        for x in (*r.b, *r.c):
+            i = max(j for j, w in enumerate(words.finditer(r.text)) if w.start() <= x.s)
+            before = words.findall(r.text)[:i][-2:]
+            assert x.pattern == (re.sub("[0-9]+", "0", " ".join(before).lower()) if len(before) == 2 else "")
+
+
 OPERATORS = {
     "substrings": substrings.dedup,
     "runs": runs.dedup,
