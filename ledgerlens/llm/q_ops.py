@@ -1,11 +1,11 @@
-"""The queries of the ten operators."""
+"""The queries of the numbered operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, jaccard, mixing, pages, pii, quality, runs, substrings
+from . import audit, bpe, chat, exact, jaccard, mixing, pages, pii, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -81,3 +81,8 @@ def op1(spark, sf_dir) -> DataFrame:
 @query("op7_personal_data")
 def op7(spark, sf_dir) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit", audit.SQL)
+def op11(spark, sf_dir) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
