@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, exact, jaccard, mixing, pages, pii, quality, runs, substrings
+from . import audit, bpe, chat, exact, jaccard, merkle, mixing, pages, pii, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -86,3 +86,8 @@ def op7(spark, sf_dir) -> DataFrame:
 @query("op11_filter_audit", audit.SQL)
 def op11(spark, sf_dir) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_merkle_manifest")
+def op13(spark, sf_dir) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents"))
