@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, exact, jaccard, merkle, mixing, pages, pii, quality, runs, substrings
+from . import audit, bpe, chat, exact, jaccard, language, merkle, mixing, pages, pii, quality, runs, substrings
 from .common import table
 from .registry import QUERIES, SQL, query  # noqa: F401
 
@@ -91,3 +91,8 @@ def op11(spark, sf_dir) -> DataFrame:
 @query("op13_merkle_manifest")
 def op13(spark, sf_dir) -> DataFrame:
     return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+@query("op12_language_id")
+def op12(spark, sf_dir) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
