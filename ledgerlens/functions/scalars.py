@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -154,3 +156,73 @@ def corr(a: Column | str, b: Column | str) -> Column:
     sx = F.stddev_pop(F.when(y.isNotNull(), x))
     sy = F.stddev_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), sx * sy)
+
+
+def normal_p(z: Column | str) -> Column:
+    """Two-sided tail of the standard normal law beyond ``|z|``.
+
+    A series of positive terms near the middle, a continued fraction from its far end in the tail.
+    """
+    x = F.abs(col(z)) / F.lit(math.sqrt(2.0))
+    terms = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)),
+        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
+        lambda s, k: F.struct((s["term"] * x * x * 2.0 / (k * 2.0 + 1.0)).alias("term"), (s["total"] + s["term"] * x * x * 2.0 / (k * 2.0 + 1.0)).alias("total")),
+        lambda s: s["total"],
+    )
+    near = 1.0 - terms * x * F.exp(-x * x) * F.lit(2.0 / math.sqrt(math.pi))
+    fraction = F.aggregate(F.sequence(F.lit(60), F.lit(1)), x, lambda f, k: x + k / 2.0 / f)
+    far = F.exp(-x * x) / (fraction * F.lit(math.sqrt(math.pi)))
+    return F.when(x < 2.0, near).otherwise(far)
+
+
+#: Degrees of freedom from which Student's law is read as a normal one of a transformed value.
+MANY_DEGREES = 20_000
+
+
+def correlation_p(r: Column | str, n: Column | str) -> Column:
+    """Two-sided p-value of a correlation ``r`` of ``n`` pairs under Student's law with ``n - 2`` degrees of freedom.
+
+    It is the regularised incomplete beta function at 1 - r**2 with parameters (n - 2) / 2 and 1 / 2, by its continued
+    fraction on the side where that converges. NULL below three pairs.
+    """
+    v, degrees = col(r), (col(n) - 2).cast("double")
+    a = degrees / 2.0
+    rr = F.least(v * v, F.lit(1.0))
+    x = 1.0 - rr
+    # gamma(a + 1/2) / gamma(a), from its series 16 places further up
+    up = a + 16.0
+    step = F.sqrt(up) * (1.0 - 1.0 / (up * 8.0) + 1.0 / (up * up * 128.0) + 5.0 / (up * up * up * 1024.0) - 21.0 / (up * up * up * up * 32768.0))
+    gammas = F.aggregate(F.sequence(F.lit(0), F.lit(15)), step, lambda g, k: g * (a + k) / (a + k + 0.5))
+    front = F.pow(x, a) * F.sqrt(rr) * gammas / F.lit(math.sqrt(math.pi))
+    left = x < (a + 1.0) / (a + 2.5)
+    p, q, at = F.when(left, a).otherwise(0.5), F.when(left, 0.5).otherwise(a), F.when(left, x).otherwise(rr)
+    tail = front * _beta_fraction(p, q, at) / p
+    # for many degrees: the square of the normal value is the logarithm of the likelihood ratio, with a small correction
+    z = F.sqrt(-F.log(x) * degrees) * (degrees * 8.0 + 1.0) / (degrees * 8.0 + 3.0)
+    exact = F.when(left, tail).otherwise(1.0 - tail)
+    known = F.when(degrees >= MANY_DEGREES, F.when(x > 0, normal_p(z)).otherwise(0.0)).otherwise(F.when(rr == 0, 1.0).when(x == 0, 0.0).otherwise(exact))
+    return F.when((degrees >= 1) & v.isNotNull(), F.least(F.greatest(known, F.lit(0.0)), F.lit(1.0)))
+
+
+def _beta_fraction(a: Column, b: Column, x: Column, steps: int = 300) -> Column:
+    """Continued fraction of the incomplete beta function, two terms a step."""
+    tiny = F.lit(1e-300)
+    safe = lambda v: F.when(F.abs(v) < tiny, tiny).otherwise(v)
+    d0 = 1.0 / safe(1.0 - (a + b) * x / (a + 1.0))
+    start = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(False).alias("done"))
+
+    def half(s: Column, term: Column) -> Column:
+        d = 1.0 / safe(1.0 + term * s["d"])
+        c = safe(1.0 + term / s["c"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"), (F.abs(d * c - 1.0) < 1e-15).alias("done"))
+
+    def even(s: Column, m: Column) -> Column:
+        return F.when(s["done"], s).otherwise(half(s, m * (b - m) * x / ((a + m * 2.0 - 1.0) * (a + m * 2.0))))
+
+    def odd(s: Column, m: Column) -> Column:
+        return F.when(s["done"], s).otherwise(half(s, -(a + m) * (a + b + m) * x / ((a + m * 2.0) * (a + m * 2.0 + 1.0))))
+
+    # whole steps are odd entries of the list, half steps even ones
+    both = F.transform(F.sequence(F.lit(2), F.lit(2 * steps + 1)), lambda i: F.struct((i % 2 == 0).alias("even"), F.floor(i / 2).cast("double").alias("m")))
+    return F.aggregate(both, start, lambda s, i: F.when(i["even"], even(s, i["m"])).otherwise(odd(s, i["m"])), lambda s: s["h"])

@@ -6,6 +6,7 @@ projection or a join on that table.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -46,12 +47,16 @@ def equal_width_bins(df: DataFrame, col: str, n: int, out: str = "bin") -> DataF
 
 # --- encoders -----------------------------------------------------------------------------------
 
-def categories(df: DataFrame, col: str, limit: int | None = None) -> list:
-    """The sorted categories as a list, one future column each; refuses more than ``limit`` of them if a caller sets one."""
+#: Most categories that become a column each.
+MOST_COLUMNS = 1000
+
+
+def categories(df: DataFrame, col: str, limit: int = MOST_COLUMNS) -> list:
+    """The sorted categories as a list, one future column each; more than ``limit`` belong into ``sparse_one_hot``."""
     found = df.select(col).where(F.col(col).isNotNull()).distinct()
-    rows = (found if limit is None else found.limit(limit + 1)).collect()
-    if limit is not None and len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} categories; use frequency encoding")
+    rows = found.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has more than {limit} categories; use sparse_one_hot")
     return sorted(r[0] for r in rows)
 
 
@@ -63,6 +68,40 @@ def one_hot(df: DataFrame, fitted: dict[str, list]) -> DataFrame:
     return df.withColumns(made).drop(*fitted)
 
 
+def one_hot_places(df: DataFrame, codes: dict[str, DataFrame], out: str = "places") -> tuple[DataFrame, int]:
+    """Where the ones of a row's 0/1 vector stand (ascending array), and the vector's length.
+
+    ``codes`` holds the table of ``fit_labels`` for each column: a category's place is its rank, found by a distributed sort, behind
+    the categories of the columns before. Rows meet their places by a join and no list of categories exists anywhere. Unknown and
+    NULL have no place.
+    """
+    joined, width = df, 0
+    for col, table in codes.items():
+        # one number per column
+        size = table.agg(F.max(f"{col}_code")).first()[0]
+        joined = skew.lookup(joined, table, [col]).withColumn(f"{col}_code", F.col(f"{col}_code") + F.lit(width))
+        width += 0 if size is None else int(size) + 1
+    places = F.array_compact(F.array(*[F.col(f"{c}_code").cast("int") for c in codes]))
+    return joined.withColumn(out, places).drop(*[f"{c}_code" for c in codes], *codes), width
+
+
+def sparse_one_hot(df: DataFrame, codes: dict[str, DataFrame], out: str = "one_hot") -> DataFrame:
+    """The same as sparse vectors for MLlib, one for all encoded columns, however many categories they have."""
+    joined, parts = df, []
+    for col, table in codes.items():
+        size = table.agg(F.max(f"{col}_code")).first()[0]
+        size = 0 if size is None else int(size) + 1
+        joined = skew.lookup(joined, table, [col])
+        # the encoder drops the place after the last, so that what has no code gives zeros
+        joined = joined.withColumn(f"__{col}", F.coalesce(F.col(f"{col}_code").cast("double"), F.lit(float(size)))).drop(f"{col}_code")
+        joined = joined.withMetadata(f"__{col}", {"ml_attr": {"type": "nominal", "num_vals": size + 1}})
+        parts.append(f"__{col}")
+    encoder = OneHotEncoder(inputCols=parts, outputCols=[f"{p}_v" for p in parts], dropLast=True)
+    made = encoder.fit(joined).transform(joined)
+    packed = VectorAssembler(inputCols=[f"{p}_v" for p in parts], outputCol=out).transform(made)
+    return packed.drop(*parts, *[f"{p}_v" for p in parts], *codes)
+
+
 def fit_labels(df: DataFrame, col: str) -> DataFrame:
     """Alphabetical code per category."""
     known = df.select(col).where(F.col(col).isNotNull()).distinct()

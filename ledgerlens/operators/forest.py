@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from ledgerlens.functions import scalars as X
 from ledgerlens.session import cut, widen
 
-from . import ordered
+from . import cleaning, neighbours, ordered
 
 EULER = 0.5772156649015329
 NODES = "tree int, node int, feature int, threshold double, low int, high int, size int"
@@ -29,25 +29,17 @@ def path_length(n: float) -> float:
 def tree_samples(df: DataFrame, key: str, cols: list[str], trees: int, size: int, seed: int) -> DataFrame:
     """``size`` rows per tree by hash order.
 
-    A small table offers every row to every tree. Otherwise about twice the rows needed are drawn:
-    each drawn row goes to as many trees as the table is too short for one tree each.
+    About twice the rows needed are drawn. A drawn row goes to as many trees in a row as the table is too short
+    for one tree each, starting at its hash; of the rows of a tree the first ``size`` by another hash stay.
     """
-    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    n = rows.count()
-    need = trees * size
-    unit = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    if n <= 4 * size:
-        picked = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    else:
-        copies = min(trees, -(-2 * need // n))
-        share = min(1.0, 2.0 * need / (n * copies))
-        drawn = rows.where(unit(F.lit(seed), F.col(key)) < share) if share < 1 else rows
-        dealt = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-        picked = (
-            dealt.withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.col("copy"), F.lit(seed)), F.lit(trees)).cast("int"))
-            .drop("copy")
-            .dropDuplicates(["tree", key])
-        )
+    rows = df.select(key, *cols)
+    need = 2 * trees * size
+    n = max(1, rows.count())
+    copies = min(trees, -(-need // n))
+    unit = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = rows.where(unit * F.lit(float(n * copies)) <= F.lit(float(need)))
+    start = F.xxhash64(F.col(key), F.lit(seed + 1))
+    picked = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn("tree", F.pmod(F.pmod(start, F.lit(trees)) + F.col("tree"), F.lit(trees)).cast("int"))
     order = F.xxhash64(F.lit(seed), F.col("tree"), F.col(key))
     w = W.partitionBy("tree").orderBy("h", key)
     return picked.withColumn("h", order).withColumn("r", F.row_number().over(w)).where(F.col("r") <= size)
@@ -81,8 +73,14 @@ def grow(sample: pd.DataFrame, cols: list[str], seed: int) -> pd.DataFrame:
 
 
 def isolation_scores(df: DataFrame, key: str, cols: list[str], trees: int = 100, size: int = 256, seed: int = 42) -> DataFrame:
-    """Anomaly score of every row, near 1 for points that are easy to isolate."""
-    samples = tree_samples(df, key, cols, trees, size, seed)
+    """Anomaly score of every row, near 1 for points that are easy to isolate.
+
+    Columns are standardised; a missing value counts as its column's mean, so that every row gets a score.
+    """
+    rows = neighbours.filled_with_means(df.select(key, *cols), cols)
+    params = cleaning.fit_scaler(rows, cols)
+    rows = rows.withColumns({c: (F.col(c) - F.lit(float(params[c][0] or 0.0))) / F.lit(float(params[c][1])) for c in cols})
+    samples = tree_samples(rows, key, cols, trees, size, seed)
     grown = samples.groupBy("tree").applyInPandas(lambda part: grow(part, cols, seed), NODES)
     # at most trees * 2 * size rows
     nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
@@ -117,7 +115,6 @@ def isolation_scores(df: DataFrame, key: str, cols: list[str], trees: int = 100,
             mean = (depth + m["rest"][at]).mean(axis=1)
             yield pdf[[key]].assign(score=np.power(2.0, -mean / norm))
 
-    rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     kind = dict(df.dtypes)[key]
     return widen(rows).mapInPandas(score, f"`{key}` {kind}, score double")
 

@@ -1,16 +1,24 @@
 """Exact nearest neighbours without comparing all pairs, and what is built on them.
 
-Points are collapsed to distinct positions with a weight, so any number of copies is one point.
-Positions are cut into cells of bounded size, coordinate after coordinate, at quantiles; only cells
-that are still too large are cut again. A first round searches the own cell and yields an upper
-bound of each point's k-distance; a second round visits only the cells that bound can reach.
+Points are collapsed to distinct positions with a weight, so any number of copies is one point. A
+tree of cells is grown as tables: every cell that holds more than its bound is cut again at
+quantiles of the coordinate that divides it best, until none is left, whatever the number of points. Borders come
+from a sample of bounded size per cell; they shape the work and never the result. A first
+round searches the own cell and yields an upper bound of each point's k-distance; a second round
+walks the tree down to the cells that bound can reach.
+
+NULL coordinates are handled by pattern: rows are searched in the coordinates that they and the donors
+share, and distances are scaled to the full number of coordinates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -23,100 +31,87 @@ INF = float("inf")
 #: Most queries one task searches a cell for.
 VISITORS = 20_000
 
-#: Most cells ever made: the cell borders are shipped to every task.
-MAX_CELLS = 250_000
+#: Most children of a cell, and about how many of its positions their borders are taken from.
+FAN = 32
+BORDER_SAMPLE = 4096
+
+#: Name of the cell that holds everything; children add a dot and their number.
+ROOT = "c"
+
 
+def borders(sample: pd.DataFrame, coords: Sequence[str], fan: int) -> tuple[int, list[float]]:
+    """Coordinate and borders that leave the smallest largest child; a child starts at its border."""
+    best: tuple[int, int, list[float]] | None = None
+    for axis, c in enumerate(coords):
+        v = np.sort(sample[c].to_numpy(dtype=float))
+        edges = np.unique(v[[len(v) * i // fan for i in range(1, fan)]])
+        edges = edges[edges > v[0]]
+        if not len(edges):
+            edges = v[v > v[0]][:1]
+        if len(edges):
+            largest = int(np.bincount(np.searchsorted(edges, v, side="right")).max())
+            if best is None or largest < best[0]:
+                best = (largest, axis, [float(e) for e in edges])
+    return (0, []) if best is None else best[1:]
 
+
+@dataclass
 class Cells:
-    """Nested quantile borders: an inner node cuts one coordinate, a leaf is a numbered cell."""
-
-    def __init__(self, dims: int):
-        self.axis: list[int] = [-1]
-        self.edges: list[np.ndarray] = [np.array([])]
-        self.children: list[list[int]] = [[]]
-        self.low: list[np.ndarray] = [np.full(dims, -INF)]
-        self.high: list[np.ndarray] = [np.full(dims, INF)]
-
-    def cut(self, leaf: int, axis: int, edges: list[float]) -> None:
-        self.axis[leaf], self.edges[leaf] = axis, np.array(edges)
-        limits = [-INF, *edges, INF]
-        for lo, hi in zip(limits[:-1], limits[1:]):
-            low, high = self.low[leaf].copy(), self.high[leaf].copy()
-            low[axis], high[axis] = max(low[axis], lo), min(high[axis], hi)
-            self.children[leaf].append(len(self.axis))
-            self.axis.append(-1)
-            self.edges.append(np.array([]))
-            self.children.append([])
-            self.low.append(low)
-            self.high.append(high)
-
-    def place(self, x: np.ndarray) -> np.ndarray:
-        """Cell of every position."""
-        at = np.zeros(len(x), dtype=np.int64)
-        while True:
-            moved = False
-            for node in np.unique(at):
-                if self.axis[node] < 0:
-                    continue
-                rows = at == node
-                child = np.searchsorted(self.edges[node], x[rows, self.axis[node]], side="right")
-                at[rows] = np.array(self.children[node])[child]
-                moved = True
-            if not moved:
-                return at
-
-    def reach(self, x: np.ndarray, radius: float) -> list[int]:
-        """Cells a ball can touch."""
-        out, todo = [], [0]
-        while todo:
-            node = todo.pop()
-            axis = self.axis[node]
-            if axis < 0:
-                out.append(node)
-                continue
-            first = int(np.searchsorted(self.edges[node], x[axis] - radius, side="left"))
-            last = int(np.searchsorted(self.edges[node], x[axis] + radius, side="right"))
-            todo += self.children[node][first : last + 1]
+    """The tree as a table (cell, axis, edges) of the cells that were cut, and its depth."""
+
+    table: DataFrame | None
+    depth: int
+    coords: list[str]
+
+    def step(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        """Move rows whose cell was cut into the child that holds them."""
+        x = F.element_at(F.array(*[F.col(c) for c in self.coords]), F.col("axis") + 1)
+        child = F.concat(F.col("cell"), F.lit("."), F.size(F.filter("edges", lambda e: e <= x)).cast("string"))
+        return rows.join(table, "cell", "left").withColumn("cell", F.when(F.col("axis").isNull(), F.col("cell")).otherwise(child)).drop("axis", "edges")
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        """Attach the cell of every position."""
+        out = rows.withColumn("cell", F.lit(ROOT))
+        for _ in range(self.depth):
+            out = self.step(out, self.table)
+        return out
+
+    def reach(self, rows: DataFrame, radius: str) -> DataFrame:
+        """One row for every cell that the ball of ``radius`` around a row can touch."""
+        x = F.element_at(F.array(*[F.col(c) for c in self.coords]), F.col("axis") + 1)
+        first = F.size(F.filter("edges", lambda e: e < x - F.col(radius)))
+        last = F.size(F.filter("edges", lambda e: e <= x + F.col(radius)))
+        inner = F.transform(F.sequence(first, last), lambda i: F.concat(F.col("cell"), F.lit("."), i.cast("string")))
+        out = rows.withColumn("cell", F.lit(ROOT))
+        for _ in range(self.depth):
+            met = out.join(self.table, "cell", "left")
+            out = met.withColumn("cell", F.explode(F.when(F.col("axis").isNull(), F.array("cell")).otherwise(inner))).drop("axis", "edges")
         return out
 
 
 def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
-    """Cut at quantiles until no cell holds more than ``per_cell`` positions (one job per cut level)."""
-    n = points.count()
-    per_cell = max(per_cell, -(-n // MAX_CELLS))
-    cells = Cells(len(coords))
-    kind = ", ".join(f"`{c}` double" for c in coords)
-    crowded = {0: n} if n > per_cell else {}
-    for level in range(3 * len(coords)):
-        if not crowded:
-            break
-        axis = level % len(coords)
-        left = max(1, len(coords) - level)
-        fan = max(2, min(256, int(np.ceil((max(crowded.values()) / per_cell) ** (1.0 / left)))))
-        placed = points.select(*coords).mapInPandas(_placer(cells, coords), f"{kind}, cell bigint")
-        probs = F.array(*[F.lit(i / fan) for i in range(1, fan)])
-        rows = (
-            placed.join(points.sparkSession.createDataFrame([(c,) for c in crowded], "cell bigint"), "cell", "left_semi")
-            .groupBy("cell")
-            .agg(F.percentile_approx(coords[axis], probs, 100 * fan).alias("e"), F.min(coords[axis]).alias("lo"))
-            .collect()
-        )
-        for r in rows:
-            edges = sorted({float(v) for v in r["e"] if v > r["lo"]})
-            if edges:
-                cells.cut(int(r["cell"]), axis, edges)
-        placed = points.select(*coords).mapInPandas(_placer(cells, coords), f"{kind}, cell bigint")
-        sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_cell).collect()
-        crowded = {int(r["cell"]): int(r["n"]) for r in sizes}
-    return cells
-
-
-def _placer(cells: Cells, coords: list[str]):
-    def place(batches):
-        for pdf in batches:
-            yield pdf.assign(cell=cells.place(pdf[coords].to_numpy(dtype=float)))
-
-    return place
+    """Cut cells until none holds more than ``per_cell`` positions (three small jobs per level)."""
+    cells = Cells(None, 0, list(coords))
+    placed = points.select("pid", *coords).withColumn("cell", F.lit(ROOT))
+    kind = "cell string, axis int, edges array<double>"
+
+    def split(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        axis, edges = borders(part, coords, FAN)
+        return pd.DataFrame({"cell": [key[0]], "axis": [axis], "edges": [edges]}).iloc[: 1 if edges else 0]
+
+    while True:
+        crowded = cut(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_cell))
+        if crowded.isEmpty():
+            return cells
+        # about BORDER_SAMPLE positions of each crowded cell
+        unit = F.pmod(F.xxhash64("pid", F.lit(cells.depth)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        drawn = placed.join(crowded, "cell").where(unit * F.col("n") < F.lit(float(BORDER_SAMPLE))).drop("n", "pid")
+        new = cut(drawn.groupBy("cell").applyInPandas(split, kind))
+        if new.isEmpty():
+            return cells
+        placed = cut(cells.step(placed, new))
+        cells.table = new if cells.table is None else cells.table.unionByName(new)
+        cells.depth += 1
 
 
 def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int):
@@ -163,9 +158,8 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
     """
     cells = build_cells(points, coords, per_cell)
     kind = ", ".join(f"`{c}` double" for c in coords)
-    place = _placer(cells, coords)
-    placed = cut(points.select("pid", "weight", *coords).mapInPandas(place, f"pid bigint, weight bigint, {kind}, cell bigint"))
-    asked = cut(queries.select("qid", *coords).mapInPandas(place, f"qid bigint, {kind}, cell bigint"))
+    placed = _anew(cut(cells.place(points.select("pid", F.col("weight").cast("bigint").alias("weight"), *coords))))
+    asked = _anew(cut(cells.place(queries.select("qid", *coords))))
 
     def inside(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         ids = p["pid"].to_numpy()
@@ -176,7 +170,7 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
         return _hits(qids, found)
 
     def search(visitors: DataFrame) -> DataFrame:
-        """Search each visitor's cell. A cell holds about ``per_cell`` positions at most; its
+        """Search each visitor's cell. A cell holds ``per_cell`` positions at most; its
         visitors are dealt to as many tasks as they need, each with a copy of those positions."""
         sizes = visitors.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(VISITORS)).cast("int").alias("parts"))
         dealt = visitors.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), "parts").cast("int")).drop("parts")
@@ -184,44 +178,45 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
         return dealt.groupBy("cell", "part").cogroup(copies.groupBy("cell", "part")).applyInPandas(inside, HITS)
 
     first = cut(search(asked))
-    bound = first.groupBy("qid").agg(
-        F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius")
-    )
-    reach = asked.join(bound, "qid", "left").withColumn("radius", F.coalesce("radius", F.lit(INF)))
-
-    low, high = np.array(cells.low), np.array(cells.high)
-    # a fixed number of points: the distance to the k-th of them bounds the distance to the k-th of all
-    some = placed.orderBy(F.xxhash64(*coords)).limit(1000).toPandas()
-    some_x, some_w, some_ids = some[coords].to_numpy(float), some["weight"].to_numpy(), some["pid"].to_numpy()
-
-    def visit(batches):
-        for pdf in batches:
-            x, home = pdf[coords].to_numpy(dtype=float), pdf["cell"].to_numpy()
-            r, qids = pdf["radius"].to_numpy().copy(), pdf["qid"].to_numpy()
-            open_rows = np.flatnonzero(np.isinf(r))
-            if len(open_rows):
-                found = _search(x[open_rows], some_x, some_w, some_ids, qids[open_rows] if same else None, k)
-                for i, (_, distance, used) in zip(open_rows, found):
-                    if used.sum() >= k:
-                        r[i] = distance.max()
-            crosses = ((x - r[:, None] <= low[home]) | (x + r[:, None] >= high[home])).any(axis=1)
-            rows, where = [], []
-            for i in np.flatnonzero(crosses):
-                others = [c for c in cells.reach(x[i], r[i]) if c != home[i]]
-                rows += [i] * len(others)
-                where += others
-            if rows:
-                yield pdf.iloc[rows][["qid", *coords]].assign(cell=where)
-
-    guests = cut(reach.mapInPandas(visit, f"qid bigint, {kind}, cell bigint"))
-    both = first.select("qid", "pid", "distance").unionByName(search(guests).select("qid", "pid", "distance"))
-    joined = both.join(placed.select("pid", "weight", *coords), "pid")
+    found = first.select("qid", "pid", "distance")
+    if cells.depth:
+        bound = first.groupBy("qid").agg(F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius"))
+        reach = asked.withColumnRenamed("cell", "home").join(bound, "qid", "left").withColumn("radius", F.coalesce("radius", F.lit(INF)))
+        # a fixed number of points: the distance to the k-th of them bounds the distance to the k-th of all
+        some = placed.orderBy(F.xxhash64(*coords)).limit(max(1000, k + 1)).toPandas()
+        some_x, some_w, some_ids = some[coords].to_numpy(float), some["weight"].to_numpy(), some["pid"].to_numpy()
+
+        def bounded(batches):
+            for pdf in batches:
+                r, qids = pdf["radius"].to_numpy().copy(), pdf["qid"].to_numpy()
+                open_rows = np.flatnonzero(np.isinf(r))
+                if len(open_rows):
+                    x = pdf[coords].to_numpy(dtype=float)[open_rows]
+                    for i, (_, distance, used) in zip(open_rows, _search(x, some_x, some_w, some_ids, qids[open_rows] if same else None, k)):
+                        if used.sum() >= k:
+                            r[i] = distance.max()
+                yield pdf.assign(radius=r)
+
+        # the bound is widened by a hair, so that a point at exactly its distance beyond a border counts
+        reach = reach.mapInPandas(bounded, f"qid bigint, {kind}, home string, radius double").withColumn("radius", F.col("radius") * (1 + 1e-9))
+        guests = cut(cells.reach(reach, "radius").where(F.col("cell") != F.col("home")).select("qid", *coords, "cell"))
+        found = found.unionByName(search(guests).select("qid", "pid", "distance"))
+    joined = found.join(placed.select("pid", "weight", *coords), "pid")
     own = F.when(F.col("qid") == F.col("pid"), F.col("weight") - 1).otherwise(F.col("weight")) if same else F.col("weight")
-    # candidates of one query: k per visited cell
-    w = W.partitionBy("qid").orderBy("distance", *coords).rowsBetween(W.unboundedPreceding, -1)
-    counted = joined.withColumn("own", own).withColumn("before", F.coalesce(F.sum("own").over(w), F.lit(0)))
+    return _first_k(joined.withColumn("own", own), k, ["distance", *coords]).select("qid", "pid", "distance", "used")
+
+
+def _anew(df: DataFrame) -> DataFrame:
+    """The same columns under identities of their own, so that the table can meet what it was made from."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
+def _first_k(found: DataFrame, k: int, order: Sequence[str | Column]) -> DataFrame:
+    """Of each query's candidates (at most ``k`` for each cell it visited), the first ``k`` by weight ``own``."""
+    w = W.partitionBy("qid").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    counted = found.withColumn("before", F.coalesce(F.sum("own").over(w), F.lit(0)))
     used = F.least(F.col("own"), F.lit(k) - F.col("before"))
-    return counted.withColumn("used", used).where(F.col("used") > 0).select("qid", "pid", "distance", F.col("used").cast("bigint").alias("used"))
+    return counted.withColumn("used", used.cast("bigint")).where(F.col("used") > 0).drop("before", "own")
 
 
 def _positions(df: DataFrame, coords: list[str], extra: list | None = None) -> DataFrame:
@@ -231,15 +226,26 @@ def _positions(df: DataFrame, coords: list[str], extra: list | None = None) -> D
 
 
 def _standard(df: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """Scaled copies of the columns under new names; a NULL stays NULL."""
     params = cleaning.fit_scaler(df, cols)
     names = [f"z{i}" for i in range(len(cols))]
-    made = {n: (F.col(c) - F.lit(float(params[c][0]))) / F.lit(float(params[c][1])) for n, c in zip(names, cols)}
+    made = {n: (F.col(c) - F.lit(float(params[c][0] or 0.0))) / F.lit(float(params[c][1])) for n, c in zip(names, cols)}
     return df.withColumns(made), names
 
 
+def filled_with_means(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns as doubles with their mean in place of NULL or NaN (0 where there is no value)."""
+    plain = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    means = df.select(*[v.alias(c) for c, v in plain.items()]).agg(*[F.avg(c).alias(c) for c in cols]).first()
+    return df.withColumns({c: F.coalesce(v, F.lit(0.0 if means[c] is None else float(means[c]))) for c, v in plain.items()})
+
+
 def local_outlier_factor(df: DataFrame, key: str, cols: list[str], k: int = 20, contamination: float = 0.1, per_cell: int = 2000) -> DataFrame:
-    """Local outlier factor on standardised columns; the top ``contamination`` share is flagged."""
-    rows, coords = _standard(df.select(key, *cols).dropna(), cols)
+    """Local outlier factor on standardised columns of every row; the top ``contamination`` share is flagged.
+
+    A missing value counts as its column's mean.
+    """
+    rows, coords = _standard(filled_with_means(df.select(key, *cols), cols), cols)
     points = _positions(rows, coords)
     near = cut(nearest(points, points.select(F.col("pid").alias("qid"), *coords), coords, k, same=True, per_cell=per_cell))
     k_distance = near.groupBy("qid").agg(F.max("distance").alias("kd"))
@@ -261,22 +267,50 @@ def local_outlier_factor(df: DataFrame, key: str, cols: list[str], k: int = 20,
 
 
 def knn_impute(df: DataFrame, key: str, target: str, cols: list[str], k: int = 5, per_cell: int = 2000) -> DataFrame:
-    """Fill NULLs of ``target`` with the mean of the ``k`` nearest donors in the other columns.
+    """Fill NULLs of ``target`` with the mean of the ``k`` nearest donors in the other columns; every row comes back.
 
-    Donors at one position stand for their mean; a position that only partly fits into ``k`` counts
-    with that part.
+    Where coordinates are missing, the distance of two rows is taken over those both have and scaled by
+    the share that is. Rows are therefore searched per pattern: one index over the donors for every set
+    of coordinates that a pattern of gaps shares with a pattern of donors. A row that shares none with any donor takes
+    the mean of all donors. Donors at one position stand for their mean; a position that only partly
+    fits into ``k`` counts with that part. Equal distances: more shared coordinates first, then smaller ones.
     """
-    rows, coords = _standard(df.dropna(subset=cols), cols)
-    rows = cut(rows)
-    donors = _positions(rows.where(F.col(target).isNotNull()), coords, [F.avg(target).alias("mean")])
-    asking = cut(
-        rows.where(F.col(target).isNull()).select(*coords).distinct().withColumn("qid", F.monotonically_increasing_id())
-    )
-    near = nearest(donors, asking, coords, k, same=False, per_cell=per_cell)
-    filled = (
-        near.join(donors.select("pid", "mean"), "pid")
-        .groupBy("qid")
-        .agg((F.sum(F.col("mean") * F.col("used")) / F.sum("used")).alias("fill"))
-    )
-    at = asking.join(filled, "qid").select(*coords, "fill")
-    return skew.lookup(rows, at, coords).withColumn(target, F.coalesce(target, "fill")).drop("fill", *coords)
+    rows, coords = _standard(df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}), cols)
+    mask = F.lit(0)
+    for i, c in enumerate(coords):
+        mask = mask + F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    rows = cut(rows.withColumn("known", mask))
+    donors = rows.where(F.col(target).isNotNull()).select(target, "known", *coords)
+    asking = rows.where(F.col(target).isNull()).select("known", *coords).distinct()
+    asking = cut(asking.withColumn("qid", F.monotonically_increasing_id()))
+    # at most two to the number of coordinates, each
+    gaps = sorted(r[0] for r in asking.select("known").distinct().collect())
+    given = sorted(r[0] for r in donors.select("known").distinct().collect())
+    found = None
+    for a in gaps:
+        for shared in sorted({a & d for d in given} - {0}):
+            axes = [c for i, c in enumerate(coords) if shared >> i & 1]
+            mine = donors.where(F.col("known").bitwiseAND(F.lit(a)) == shared)
+            points = _positions(mine, axes, [F.avg(target).alias("mean")])
+            near = nearest(points, asking.where(F.col("known") == a), axes, k, same=False, per_cell=per_cell)
+            wide = float(np.sqrt(len(coords) / len(axes)))
+            hits = near.join(points.select("pid", "mean", *axes), "pid").select(
+                "qid",
+                (F.col("distance") * F.lit(wide)).alias("distance"),
+                F.lit(-len(axes)).alias("fewer"),
+                F.lit(shared).alias("shared"),
+                F.array(*axes).alias("at"),
+                F.col("used").alias("own"),
+                "mean",
+            )
+            found = hits if found is None else found.unionByName(hits)
+    overall = F.coalesce(F.lit(donors.agg(F.avg(target)).first()[0]).cast("double"), F.lit(None).cast("double"))
+    if found is None:
+        return rows.withColumn(target, F.coalesce(F.col(target).cast("double"), overall)).drop("known", *coords)
+    best = _first_k(found, k, ["distance", "fewer", "shared", "at"])
+    fills = best.groupBy("qid").agg((F.sum(F.col("mean") * F.col("used")) / F.sum("used")).alias("fill"))
+    at = asking.join(fills, "qid").select("known", *coords, "fill")
+    # a missing coordinate is no key, so it meets as 0 next to the pattern
+    keys = {c: F.coalesce(c, F.lit(0.0)) for c in coords}
+    joined = skew.lookup(rows.withColumns(keys), at.withColumns(keys), ["known", *coords])
+    return joined.withColumn(target, F.coalesce(F.col(target).cast("double"), "fill", overall)).drop("fill", "known", *coords)

@@ -4,7 +4,7 @@ A window without a partition key, or over one hot key, runs on a single task, an
 ``percentile`` aggregate keeps every distinct value of a group in memory. The helpers here do the
 same work in bounded pieces:
 
-1. approximate edges of the ordering column are read once (a few dozen numbers per column);
+1. approximate edges of the ordering column are read once, from a bounded sample of its distinct values;
 2. rows are collapsed to distinct values, so heavy ties become one row, and cut into buckets;
 3. running totals are taken inside each (key, bucket) and shifted by the totals of lower buckets,
    a table with at most one row per key and bucket.
@@ -12,6 +12,7 @@ same work in bounded pieces:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -32,40 +33,47 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 #: Distinct values one bucket may hold without a second look at where the edges lie.
-BUCKET_VALUES = 5_000
-EASY_DISTINCT = 1_000_000
+BUCKET_VALUES = 50_000
+
+#: Sampled distinct values per bucket that an edge is taken from.
+EDGE_SAMPLE = 32
+
+#: Rows of one group whose exact quantiles one aggregate takes; larger groups are cut into buckets.
+GROUP_ROWS = 1_000_000
 
 
 def splits(df: DataFrame, cols: Sequence[str], n: int | None = None, keys: Sequence[str] = ()) -> dict[str, list[float]]:
-    """Approximate bucket edges per column: one aggregate, at most ``n`` numbers per column.
+    """Approximate bucket edges per column, at most ``n`` numbers per column.
 
-    Few distinct values need few buckets. With very many, edges by row count could leave most
-    distinct values between two of them (when a few values hold most rows), so they are taken from
-    a hash sample of distinct values, which keeps or drops all copies of a value together.
+    The number of buckets follows from the number of distinct values, counted by sketches. Edges cut a
+    hash sample of the distinct values, which keeps or drops all copies of a value together, so
+    neither heavy ties nor the number of rows move them and no task sees more than the sample.
     """
     most = n or bucket_count(df.sparkSession)
-    probs = F.array(*[F.lit(i / most) for i in range(1, most)]) if most > 1 else F.array(F.lit(0.5))
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(c).cast("double")
-        aggs += [
-            F.percentile_approx(v, probs, 10 * most).alias(f"e{i}"),
-            F.approx_count_distinct(F.struct(*keys, v) if keys else v).alias(f"d{i}"),
-        ]
+    values = [F.col(c).cast("double") for c in cols]
+    count = lambda *v: F.approx_count_distinct(v[0] if len(v) == 1 else F.struct(*v))
+    aggs = [count(v).alias(f"v{i}") for i, v in enumerate(values)]
+    if keys:
+        aggs += [count(*[F.col(k) for k in keys], v).alias(f"d{i}") for i, v in enumerate(values)]
     row = df.agg(*aggs).first()
-    out = {}
+    wanted = {}
     for i, c in enumerate(cols):
-        edges, distinct = row[f"e{i}"] or [], row[f"d{i}"] or 0
-        if distinct > EASY_DISTINCT:
-            v = F.col(c).cast("double")
-            share = max(1, distinct // 100_000)
-            kept = df.select(*keys, v.alias("v")).where(F.pmod(F.xxhash64(*keys, "v"), F.lit(share)) == 0).distinct()
-            edges = kept.agg(F.percentile_approx("v", probs, 10 * most)).first()[0] or edges
-        wanted = most if n else max(1, min(most, distinct // BUCKET_VALUES))
-        if wanted < len(edges):
-            edges = [edges[int(len(edges) * j / wanted)] for j in range(1, wanted)]
-        inner = sorted({float(x) for x in edges if x == x and abs(x) != INF})
-        out[c] = [-INF, *(inner or [0.0]), INF]
+        distinct = row[f"d{i}" if keys else f"v{i}"] or 0
+        wanted[c] = most if n else max(1, min(most, distinct // BUCKET_VALUES))
+    out = {c: [-INF, 0.0, INF] for c in cols}
+    cells = []
+    for i, c in enumerate(cols):
+        if wanted[c] > 1:
+            share = min(1.0, EDGE_SAMPLE * wanted[c] / max(1, row[f"v{i}"]))
+            drawn = F.pmod(F.xxhash64(values[i]), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+            cells.append(F.struct(F.lit(i).alias("i"), F.when(drawn, values[i]).alias("v")))
+    if cells:
+        # about EDGE_SAMPLE numbers per bucket and column
+        drawn = df.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull() & ~F.isnan("v")).distinct().collect()
+        for i, c in enumerate(cols):
+            mine = sorted(r["v"] for r in drawn if r["i"] == i and abs(r["v"]) != INF)
+            inner = sorted({mine[len(mine) * j // wanted[c]] for j in range(1, wanted[c])}) if mine else []
+            out[c] = [-INF, *(inner or [0.0]), INF]
     return out
 
 
@@ -141,11 +149,63 @@ def running_totals(
 def quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles: ``(keys, feature, n, q0, q1, ...)`` in the order of ``probs``."""
+    """Exact linear-interpolation quantiles: ``(keys, feature, n, q0, q1, ...)`` in the order of ``probs``.
+
+    Of whole columns, rows are counted per bucket first and only buckets that hold a wanted rank are looked into. Groups
+    of keys take theirs from one aggregate, but for those of more than ``GROUP_ROWS`` rows, which go through the buckets.
+    """
     keys = list(keys)
-    long = long_form(df, cols, keys)
-    ranked = running_totals(long, [*keys, "feature"], "value", "bucket", {"cnt": F.count(F.lit(1))})
-    return pick_quantiles(ranked, [*keys, "feature"], "value", probs)
+    if not keys:
+        return _column_quantiles(df, cols, probs)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > GROUP_ROWS)
+    large = cut(sizes.drop("__n"))
+    if large.isEmpty():
+        return _small_group_quantiles(df, cols, probs, keys)
+    # at most one row per GROUP_ROWS rows; NULL keys are a group as well
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    named = large.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    hot = df.join(named, match, "left_semi")
+    rest = df.join(named, match, "left_anti")
+    ranked = running_totals(long_form(hot, cols, keys), [*keys, "feature"], "value", "bucket", {"cnt": F.count(F.lit(1))})
+    return _small_group_quantiles(rest, cols, probs, keys).unionByName(pick_quantiles(ranked, [*keys, "feature"], "value", probs))
+
+
+def _small_group_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.percentile(v, wanted).alias(f"p{i}")]
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"p{i}").alias("p")) for i, c in enumerate(cols)])
+    known = df
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    long = known.groupBy(*keys).agg(*aggs).select(*keys, F.inline(cells)).where(F.col("n") > 0)
+    return long.select(*keys, "feature", "n", *[F.col("p")[i].alias(f"q{i}") for i in range(len(probs))])
+
+
+def _column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    long = long_form(df, cols)
+    # one number per column and bucket
+    counts: dict[str, dict[int, int]] = {}
+    for r in long.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r["feature"], {})[r["bucket"]] = r["n"]
+    wanted = []
+    for feature, held in counts.items():
+        total, below = sum(held.values()), 0
+        ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+        for bucket in sorted(held):
+            if any(below <= r < below + held[bucket] for r in ranks):
+                wanted.append((feature, bucket, below, total))
+            below += held[bucket]
+    # at most two rows per column and probability
+    look = df.sparkSession.createDataFrame(wanted, "feature string, bucket int, below bigint, cnt_total bigint")
+    values = long.join(F.broadcast(look), ["feature", "bucket"]).groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("cnt"), F.first("below").alias("below"), F.first("cnt_total").alias("cnt_total"))
+    inside = W.partitionBy("feature", "bucket").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    ranked = values.withColumn("cnt_before", F.col("below") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+    return pick_quantiles(ranked, ["feature"], "value", probs)
 
 
 def pick_quantiles(ranked: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:

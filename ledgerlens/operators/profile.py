@@ -199,31 +199,54 @@ def with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     return one.select(F.inline(F.array(*cells)))
 
 
-# Two-sided normal limits of the 5 %, 1 % and 0.1 % levels (fixed values).
-Z_LEVELS = (1.959963984540054, 2.5758293035489004, 3.2905267314919255)
+def stars(p: Column | str) -> Column:
+    p = X.col(p)
+    return F.when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("")
 
 
-def significance(df: DataFrame, cols: list[str], target: str) -> DataFrame:
-    """Spearman correlation with the target, pairwise complete, with Fisher's z and its stars.
+def significance(df: DataFrame, cols: list[str], target: str, method: str = "spearman") -> DataFrame:
+    """Correlation with the target, pairwise complete, with its two-sided p-value and stars, one row per feature.
 
-    The p-value is the normal approximation of z, computed on the one row per feature.
+    ``pearson`` and ``spearman`` (of average ranks) are tested by Student's law, ``kendall`` (tau-b) by the normal law with the
+    variance that ties leave. ``z`` is Fisher's transform of the first two, tau over its deviation of the third.
     """
+    if method == "kendall":
+        return _kendall_significance(df, cols, target)
     cells = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"), F.col(target).cast("double").alias("y")) for c in cols]
     )
     both = df.select(F.inline(cells)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    ranked = ordered.rank_columns(both, ["x", "y"], ["feature"])
-    out = ranked.groupBy("feature").agg(X.corr("x_rank", "y_rank").alias("correlation"), F.count(F.lit(1)).alias("n"))
-    z = F.atanh("correlation") * F.sqrt(F.col("n") - 3.0)
-    out = out.withColumn("z", z)
-
-    @F.pandas_udf("double")
-    def two_sided(zs: pd.Series) -> pd.Series:
-        return zs.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)), na_action="ignore")
-
-    size = F.abs("z")
-    stars = F.when(size > Z_LEVELS[2], "***").when(size > Z_LEVELS[1], "**").when(size > Z_LEVELS[0], "*").otherwise("")
-    return out.withColumns({"p_value": two_sided("z"), "significance": stars})
+    x, y = "x", "y"
+    if method == "spearman":
+        both, x, y = ordered.rank_columns(both, ["x", "y"], ["feature"]), "x_rank", "y_rank"
+    elif method != "pearson":
+        raise ValueError(method)
+    out = both.groupBy("feature").agg(X.corr(x, y).alias("correlation"), F.count(F.lit(1)).alias("n"))
+    z = F.atanh("correlation") * F.sqrt(F.greatest(F.col("n") - 3.0, F.lit(0.0)))
+    out = out.withColumns({"z": z, "p_value": X.correlation_p("correlation", "n")})
+    return out.withColumns({"significance": stars("p_value"), "method": F.lit(method)})
+
+
+def _kendall_significance(df: DataFrame, cols: list[str], target: str) -> DataFrame:
+    out = None
+    for c in cols:
+        both = df.where(F.col(c).isNotNull() & F.col(target).isNotNull()).select(F.col(c).cast("double").alias("x"), F.col(target).cast("double").alias("y"))
+        ties = lambda v, name: both.groupBy(v).agg(F.count(F.lit(1)).cast("double").alias("t")).agg(
+            F.sum(F.col("t") * (F.col("t") - 1)).alias("pairs"), F.sum(F.col("t") * (F.col("t") - 1) * (F.col("t") - 2)).alias("triples"),
+            F.sum(F.col("t") * (F.col("t") - 1) * (F.col("t") * 2 + 5)).alias("five"),
+        ).select(F.struct("pairs", "triples", "five").alias(name)).scalar()
+        row = ordered.concordance(both, "x", "y").withColumns({"a": ties("x", "a"), "b": ties("y", "b"), "feature": F.lit(c)})
+        out = row if out is None else out.unionByName(row)
+    n = F.col("rows")
+    m = n * (n - 1)
+    gap = F.col("concordant") - F.col("discordant")
+    a, b = F.col("a"), F.col("b")
+    spread = (m * (n * 2 + 5) - a["five"] - b["five"]) / 18 + X.ratio(a["pairs"] * b["pairs"], m * 2) + F.coalesce(X.ratio(a["triples"] * b["triples"], m * (n - 2) * 9), F.lit(0.0))
+    out = out.select(
+        "feature", X.ratio(gap, F.sqrt((m / 2 - a["pairs"] / 2) * (m / 2 - b["pairs"] / 2))).alias("correlation"), F.round(n).cast("bigint").alias("n"), X.ratio(gap, F.sqrt(spread)).alias("z")
+    )
+    out = out.withColumn("p_value", X.normal_p("z"))
+    return out.withColumns({"significance": stars("p_value"), "method": F.lit("kendall")})
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]):

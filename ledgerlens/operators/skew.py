@@ -1,7 +1,7 @@
 """Joins and groups in which single keys hold a large part of all rows.
 
-Heavy keys are looked for in a sample; a key is heavy from one thousandth of the rows on, so there
-can only be about a thousand of them. What is found changes the layout of the work, never its
+Heavy keys are looked for in a sample of fixed share: those with about ``HEAVY_ROWS`` rows or more, the heaviest
+``HEAVY_MOST`` of them; any other key then holds less than that part of the rows. What is found changes the layout of the work, never its
 result.
 """
 
@@ -12,24 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Tables smaller than this are not looked at; one task handles any key in them.
-HEAVY_FLOOR = 1_000_000
-HEAVY_SHARE = 0.001
-SAMPLE_ROWS = 2_000_000
+#: Rows from which a key is dealt out, the most keys dealt out, the share of rows looked at, and the groups a key is dealt to.
+HEAVY_ROWS = 100_000
+HEAVY_MOST = 1000
+SAMPLE_SHARE = 1 / 64
 SALTS = 64
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str]) -> list:
-    """Key rows holding more than about a thousandth of a large table (at most about a thousand)."""
-    n = df.count()
-    if n < HEAVY_FLOOR:
-        return []
-    narrow = df.select(*keys)
-    if n > SAMPLE_ROWS:
-        narrow = narrow.sample(fraction=SAMPLE_ROWS / n, seed=11)
-        n = SAMPLE_ROWS
-    counts = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > HEAVY_SHARE * n).drop("n").collect()
+    """Keys with about ``HEAVY_ROWS`` rows or more, at most ``HEAVY_MOST`` of them."""
+    drawn = df.select(*keys)
+    if SAMPLE_SHARE < 1:
+        drawn = drawn.sample(fraction=SAMPLE_SHARE, seed=11)
+    counts = drawn.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= HEAVY_ROWS * SAMPLE_SHARE)
+    return counts.orderBy(F.desc("__n"), *keys).limit(HEAVY_MOST).drop("__n").collect()
 
 
 def lookup(
@@ -47,7 +43,7 @@ def lookup(
     if not heavy:
         return rows.join(table, keys, how)
     schema = rows.select(*keys).schema
-    # about a thousand rows at most
+    # HEAVY_MOST rows at most
     hot = rows.sparkSession.createDataFrame(heavy, schema).withColumn("__hot", F.lit(True))
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
     no_key = F.lit(False)

@@ -39,8 +39,10 @@ def last_rolling(df: DataFrame, windows: dict[str, int]) -> DataFrame:
 def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str = TS) -> DataFrame:
     """Correlation of two columns over the trailing ``days`` at every distinct timestamp.
 
-    Each row enters the window at its time and leaves it ``days`` later, so the window's sums are
-    running totals over entries and exits: linear work, in time buckets, whatever the window holds.
+    Each row enters the window at its time and leaves it ``days`` later. Time is cut into chunks as long as the window, so that a
+    row leaves in the chunk after its own: a window's sums are those of the previous chunk, plus entries and less exits of
+    its own. Sums therefore start anew with every chunk and never carry the rounding of a longer history. Linear work, in time
+    buckets, whatever the window holds.
     """
     width = days * X.DAY_MICROS
     xv, yv = F.col(x).cast("double"), F.col(y).cast("double")
@@ -49,14 +51,14 @@ def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str =
     )
     mid = rows.agg(F.avg("x").alias("mx"), F.avg("y").alias("my")).select(F.struct("mx", "my")).scalar()
     # centring keeps the sums of squares well conditioned
-    rows = rows.withColumns({"x": F.col("x") - mid["mx"], "y": F.col("y") - mid["my"]})
+    rows = rows.withColumns({"x": F.col("x") - mid["mx"], "y": F.col("y") - mid["my"], "chunk": F.floor(F.col("t") / F.lit(width)).cast("bigint")})
     moves = rows.select(
         "x",
         "y",
         F.inline(
             F.array(
-                F.struct(F.col("t").alias("at"), F.lit(1.0).alias("sign")),
-                F.struct((F.col("t") + F.lit(width)).alias("at"), F.lit(-1.0).alias("sign")),
+                F.struct(F.col("chunk"), F.col("t").alias("at"), F.lit(1.0).alias("sign")),
+                F.struct((F.col("chunk") + 1).alias("chunk"), (F.col("t") + F.lit(width)).alias("at"), F.lit(-1.0).alias("sign")),
             )
         ),
     )
@@ -72,8 +74,14 @@ def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str =
         "sxy": F.sum(sg * a * b),
         "entries": F.count_if(sg > 0),
     }
-    t = ordered.running_totals(moves, [], "at", "at_bucket", sums)
-    now = t.where("entries > 0").select("at", *[(F.col(f"{m}_before") + F.col(m)).alias(m) for m in sums if m != "entries"])
+    measures = [m for m in sums if m != "entries"]
+    t = ordered.running_totals(moves, ["chunk"], "at", "at_bucket", sums)
+    # what was inside when the chunk began: the rows of the chunk before
+    whole = {"n": F.lit(1.0), "sx": a, "sy": b, "sxx": a * a, "syy": b * b, "sxy": a * b}
+    base = rows.groupBy((F.col("chunk") + 1).alias("chunk")).agg(*[F.sum(v).alias(f"{m}_base") for m, v in whole.items()])
+    now = skew.lookup(t.where("entries > 0"), base, ["chunk"]).select(
+        "at", *[(F.coalesce(f"{m}_base", F.lit(0.0)) + F.col(f"{m}_before") + F.col(m)).alias(m) for m in measures]
+    )
     n = F.col("n")
     vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = n * F.col("syy") - F.col("sy") * F.col("sy")

@@ -277,6 +277,31 @@ def i03(s, sf):
     return neighbours.knn_impute(df, "TransactionId", "Value", ["second", "PricingStrategy"])
 
 
+def _gaps_at(df):
+    """Coordinates with gaps of their own, every fourth asking row without any."""
+    i = F.col("TransactionId")
+    second = F.when((i % 11 != 0) & (i % 68 != 0), F.unix_micros("TransactionStartTime") / 1e6)
+    return df.select("TransactionId", "Value", second.alias("second"), F.when((i % 7 != 0) & (i % 68 != 0), F.col("PricingStrategy").cast("double")).alias("PricingStrategy"))
+
+
+@query(
+    "i03_knn_impute_with_gaps",
+    "TransactionId:i Value:4",
+    """WITH t AS (SELECT TransactionId, Value, CASE WHEN TransactionId % 11 <> 0 AND TransactionId % 68 <> 0 THEN epoch_us(TransactionStartTime) / 1e6 END AS x,
+         CASE WHEN TransactionId % 7 <> 0 AND TransactionId % 68 <> 0 THEN PricingStrategy::DOUBLE END AS p FROM evn),
+       z AS (SELECT TransactionId, Value, (x - mx) / sx AS zx, (p - mp) / sp AS zp FROM t, (SELECT avg(x) mx, stddev_pop(x) sx, avg(p) mp, stddev_pop(p) sp FROM t)),
+       s AS (SELECT q.TransactionId, CASE WHEN q.zx IS NOT NULL AND d.zx IS NOT NULL THEN d.zx END AS sx, CASE WHEN q.zp IS NOT NULL AND d.zp IS NOT NULL THEN d.zp END AS sp, q.zx, q.zp,
+             avg(d.Value) AS mean, count(*) AS w FROM z q, z d WHERE q.Value IS NULL AND d.Value IS NOT NULL GROUP BY ALL),
+       pr AS (SELECT *, CASE WHEN sx IS NULL THEN 0 ELSE 1 END AS hx, CASE WHEN sp IS NULL THEN 0 ELSE 1 END AS hp FROM s WHERE sx IS NOT NULL OR sp IS NOT NULL),
+       di AS (SELECT *, sqrt((CASE WHEN hx = 1 THEN pow(zx - sx, 2) ELSE 0 END + CASE WHEN hp = 1 THEN pow(zp - sp, 2) ELSE 0 END) * 2 / (hx + hp)) AS dist FROM pr),
+       rk AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY TransactionId ORDER BY dist, hx + hp DESC, hx + 2 * hp, coalesce(sx, sp), sp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM di),
+       f AS (SELECT TransactionId, sum(mean * least(w, 5 - seen)) / sum(least(w, 5 - seen)) AS fill FROM rk WHERE seen < 5 GROUP BY 1)
+       SELECT z.TransactionId, coalesce(Value, fill, (SELECT avg(Value) FROM evn)) AS Value FROM z LEFT JOIN f USING (TransactionId)""",
+)
+def i03_gaps(s, sf):
+    return neighbours.knn_impute(_gaps_at(I.evn(s, sf)), "TransactionId", "Value", ["second", "PricingStrategy"])
+
+
 @query("i04_chained_impute", "TransactionId:i Value:4 Amount:4")
 def i04(s, sf):
     df = I.evn(s, sf).withColumn("Amount", F.when(F.col("TransactionId") % 19 != 0, F.col("Amount")))
@@ -284,6 +309,38 @@ def i04(s, sf):
     return chained.chained_impute(df, ["Value", "Amount", "PricingStrategy", "tx_hour"])
 
 
+def _chained_sql(rounds):
+    """Two columns with gaps, filled in turn; the one with fewer gaps first."""
+    steps = [
+        """m AS (SELECT avg(v) AS mv, avg(a) AS ma FROM b), r0 AS (SELECT TransactionId, v, a, coalesce(v, mv) AS fv, coalesce(a, ma) AS fa FROM b, m)"""
+    ]
+    for k in range(1, rounds + 1):
+        steps.append(
+            f"""c{k} AS (SELECT regr_slope(a, fv) AS s, regr_intercept(a, fv) AS i FROM r{k - 1} WHERE a IS NOT NULL),
+            h{k} AS (SELECT TransactionId, v, a, fv, CASE WHEN a IS NULL THEN s * fv + i ELSE fa END AS fa FROM r{k - 1}, c{k}),
+            d{k} AS (SELECT regr_slope(v, fa) AS s, regr_intercept(v, fa) AS i FROM h{k} WHERE v IS NOT NULL),
+            r{k} AS (SELECT TransactionId, v, a, CASE WHEN v IS NULL THEN s * fa + i ELSE fv END AS fv, fa FROM h{k}, d{k})"""
+        )
+    return f"""WITH b AS (SELECT TransactionId, Value AS v, CASE WHEN TransactionId % 19 <> 0 THEN Amount + TransactionId % 5 END AS a FROM evn), {", ".join(steps)}
+        SELECT TransactionId, fv AS Value, fa AS Amount FROM r{rounds}"""
+
+
+def _chained(s, sf, rounds):
+    amount = F.when(F.col("TransactionId") % 19 != 0, F.col("Amount") + F.col("TransactionId") % 5)
+    df = I.evn(s, sf).select("TransactionId", "Value", amount.alias("Amount"))
+    return chained.chained_impute(df, ["Value", "Amount"], rounds=rounds, tol=0.0)
+
+
+@query("i04_chained_one_round", "TransactionId:i Value:4 Amount:4", _chained_sql(1))
+def i04_one(s, sf):
+    return _chained(s, sf, 1)
+
+
+@query("i04_chained_three_rounds", "TransactionId:i Value:4 Amount:4", _chained_sql(3))
+def i04_three(s, sf):
+    return _chained(s, sf, 3)
+
+
 @query("o08_isolation_forest", "TransactionId:i score:6 is_outlier:b")
 def o08(s, sf):
     return forest.isolation_outliers(I.ev(s, sf), "TransactionId", ["Amount", "Value"])
@@ -294,6 +351,11 @@ def o09(s, sf):
     return neighbours.local_outlier_factor(I.ev(s, sf), "TransactionId", ["Amount", "Value"])
 
 
+@query("o08_isolation_forest_with_gaps", "TransactionId:i score:6 is_outlier:b")
+def o08_gaps(s, sf):
+    return forest.isolation_outliers(I.evn(s, sf), "TransactionId", ["Amount", "Value"])
+
+
 def _z(c):
     return f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()"
 
@@ -313,6 +375,27 @@ def o09b(s, sf):
     return neighbours.local_outlier_factor(cut(I.rfm(s, sf)), "CustomerId", M.RFM)
 
 
+# at most one gap a row and none in the money, so that no two distances are equal
+_FILLED = ", ".join(f"CASE WHEN CustomerId % 15 <> {k} THEN {c}::DOUBLE END AS {c}" for k, c in zip((0, 1, 99), M.RFM))
+
+
+@query(
+    "o09_outlier_factor_with_gaps",
+    "CustomerId:i lof:5 is_outlier:b",
+    f"""WITH g AS (SELECT CustomerId, {_FILLED} FROM rfm), f AS (SELECT CustomerId, {', '.join(f'coalesce({c}, avg({c}) OVER ()) AS {c}' for c in M.RFM)} FROM g),
+        z AS (SELECT CustomerId AS id, {', '.join(f'{_z(c)} AS z{i}' for i, c in enumerate(M.RFM))} FROM f),
+        pr AS (SELECT a.id AS q, b.id AS p, sqrt(pow(a.z0 - b.z0, 2) + pow(a.z1 - b.z1, 2) + pow(a.z2 - b.z2, 2)) AS d FROM z a JOIN z b ON a.id <> b.id),
+        nr AS (SELECT q, p, d FROM pr QUALIFY row_number() OVER (PARTITION BY q ORDER BY d) <= 20),
+        kd AS (SELECT q, max(d) AS k FROM nr GROUP BY q),
+        lr AS (SELECT n.q, 1 / (avg(greatest(d, k)) + 1e-10) AS lrd FROM nr n JOIN kd ON n.p = kd.q GROUP BY n.q),
+        lf AS (SELECT n.q AS CustomerId, avg(t.lrd) / any_value(o.lrd) AS lof FROM nr n JOIN lr t ON n.p = t.q JOIN lr o ON n.q = o.q GROUP BY n.q)
+        SELECT *, lof > (SELECT quantile_cont(lof, 0.9) FROM lf) AS is_outlier FROM lf""",
+)
+def o09_gaps(s, sf):
+    rows = I.rfm(s, sf).select("CustomerId", *[F.when(F.col("CustomerId") % 15 != k, F.col(c).cast("double")).alias(c) for k, c in zip((0, 1, 99), M.RFM)])
+    return neighbours.local_outlier_factor(cut(rows), "CustomerId", M.RFM)
+
+
 # --- feature flows --------------------------------------------------------------------------------
 
 _PL1 = ["total_transaction_amount", "transaction_hour_mean", "time_between_transactions_mean", "days_since_last_transaction"]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
 from ledgerlens.operators import cleaning as K, encoding as E
+from ledgerlens.sources import tables
 
 from . import inputs as I
 from .q_reports import resample_sql
@@ -68,6 +69,24 @@ def e01(s, sf):
     return E.one_hot(df, {"ProductCategory": E.categories(df, "ProductCategory")})
 
 
+@query(
+    "e01_sparse_one_hot",
+    "l_orderkey:i l_linenumber:i width:i part_at:i flag_at:i ones:i",
+    """WITH p AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS at FROM (SELECT DISTINCT l_partkey AS v FROM lineitem WHERE l_partkey % 7 <> 0)),
+       f AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS at FROM (SELECT DISTINCT l_returnflag AS v FROM lineitem)), n AS (SELECT count(*) AS k FROM p)
+       SELECT l_orderkey, l_linenumber, k + (SELECT count(*) FROM f) AS width, p.at AS part_at, k + f.at AS flag_at,
+       CASE WHEN p.at IS NULL THEN 0 ELSE 1 END + 1 AS ones FROM lineitem LEFT JOIN p ON l_partkey = p.v JOIN f ON l_returnflag = f.v, n""",
+)
+def e01_sparse(s, sf):
+    df = tables.table(s, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    known = df.where(F.col("l_partkey") % 7 != 0)
+    codes = {"l_partkey": E.fit_labels(known, "l_partkey"), "l_returnflag": E.fit_labels(df, "l_returnflag")}
+    out, width = E.one_hot_places(df, codes)
+    at = F.col("places")
+    part = F.when(F.size(at) == 2, at[0])
+    return out.select("l_orderkey", "l_linenumber", F.lit(width).alias("width"), part.alias("part_at"), F.element_at(at, -1).alias("flag_at"), F.size(at).alias("ones"))
+
+
 @query(
     "e02_label_encode",
     "TransactionId:i ProductCategory_code:i",

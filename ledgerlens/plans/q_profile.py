@@ -238,21 +238,58 @@ def s15(s, sf):
     return t.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.abs("correlation").desc())))
 
 
-@query(
-    "s16_correlation_significance",
-    "feature:s correlation:6 n:i z:4 significance:s",
-    "WITH t AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, corr({c}, FraudResult) AS correlation, count(*) AS n FROM (SELECT {_ranks([c, 'FraudResult'])} FROM evn WHERE {c} IS NOT NULL)"
-        for c in NUM[:3]
-    )
-    + f""") SELECT *, CASE WHEN abs(z) > {P.Z_LEVELS[2]} THEN '***' WHEN abs(z) > {P.Z_LEVELS[1]} THEN '**' WHEN abs(z) > {P.Z_LEVELS[0]}
-     THEN '*' ELSE '' END AS significance FROM (SELECT *, atanh(correlation) * sqrt(n - 3) AS z FROM t)""",
+# Student's tail by Simpson's rule over the angle asin(r); the normal one over z
+_STUDENT = """CASE WHEN abs(correlation) >= 1 THEN 0 ELSE (SELECT 1 - 2 * exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt(pi()) * asin(abs(correlation)) / 12000
+   * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(cos(asin(abs(correlation)) * i / 4000.0), n - 3)) FROM range(4001) AS g(i)) END"""
+_NORMAL = """(SELECT 1 - 2 / sqrt(2 * pi()) * least(abs(z), 12.0) / 12000
+   * sum(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * exp(-pow(least(abs(z), 12.0) * i / 4000.0, 2) / 2)) FROM range(4001) AS g(i))"""
+_STARS = "CASE WHEN p_value < 0.001 THEN '***' WHEN p_value < 0.01 THEN '**' WHEN p_value < 0.05 THEN '*' ELSE '' END"
+_SPEARMAN = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, corr({c}, FraudResult) AS correlation, count(*) AS n FROM (SELECT {_ranks([c, 'FraudResult'])} FROM evn WHERE {c} IS NOT NULL)" for c in NUM[:3]
 )
+_PEARSON = " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, FraudResult) AS correlation, count(*) AS n FROM evn WHERE {c} IS NOT NULL" for c in NUM[:3])
+
+
+def _tested(rows, p, z="atanh(correlation) * sqrt(n - 3)"):
+    return f"SELECT *, {_STARS} AS significance FROM (SELECT *, {p} AS p_value FROM (SELECT *, {z} AS z FROM ({rows})))"
+
+
+@query("s16_correlation_significance", "feature:s correlation:6 n:i z:4 p_value:6 significance:s", _tested(_SPEARMAN, _STUDENT))
 def s16(s, sf):
     return P.significance(I.evn(s, sf), NUM[:3], "FraudResult")
 
 
+def _kendall_test_sql(c, y):
+    g = f"g{c}"
+    five = "sum(t * (t - 1) * (2 * t + 5))"
+    sums = f"SELECT sum(t * (t - 1)) AS pairs, sum(t * (t - 1) * (t - 2)) AS triples, {five} AS five FROM (SELECT sum(n) AS t FROM {g} GROUP BY"
+    return f"""SELECT '{c}' AS feature, s / sqrt((m / 2 - a.pairs / 2) * (m / 2 - b.pairs / 2)) AS correlation, CAST(k AS BIGINT) AS n,
+       s / sqrt((m * (2 * k + 5) - a.five - b.five) / 18 + a.pairs * b.pairs / (2 * m) + a.triples * b.triples / (9 * m * (k - 2))) AS z
+       FROM (SELECT (SELECT sum(p.n * q.n * sign(q.y - p.y)) FROM {g} p JOIN {g} q ON p.x < q.x) AS s, k, k * (k - 1) AS m FROM (SELECT sum(n) AS k FROM {g})),
+       ({sums} x)) AS a, ({sums} y)) AS b"""
+
+
+_KT = ["PricingStrategy", "Value"]
+
+
+@query(
+    "s16_three_tests",
+    "method:s feature:s correlation:6 n:i p_value:6 significance:s",
+    "WITH "
+    + ", ".join(f"g{c} AS (SELECT CAST({c} AS DOUBLE) AS x, CAST(FraudResult AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS n FROM evn WHERE {c} IS NOT NULL GROUP BY 1, 2)" for c in _KT)
+    + f""" SELECT 'pearson' AS method, feature, correlation, n, p_value, significance FROM ({_tested(_PEARSON, _STUDENT)})
+    UNION ALL SELECT 'spearman', feature, correlation, n, p_value, significance FROM ({_tested(_SPEARMAN, _STUDENT)})
+    UNION ALL SELECT 'kendall', feature, correlation, n, p_value, significance FROM ({_tested(" UNION ALL ".join(_kendall_test_sql(c, "FraudResult") for c in _KT), _NORMAL, "z")})""".replace("*, z AS z FROM", "* FROM"),
+)
+def s16_three(s, sf):
+    df = I.evn(s, sf)
+    tests = [P.significance(df, NUM[:3], "FraudResult", m) for m in ("pearson", "spearman")] + [P.significance(df, _KT, "FraudResult", "kendall")]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out.unionByName(t)
+    return out
+
+
 def _vif3(a, b, c):
     return f"""1 / (1 - (pow(corr({a},{b}), 2) + pow(corr({a},{c}), 2) - 2 * corr({a},{b}) * corr({a},{c}) * corr({b},{c}))
       / (1 - pow(corr({b},{c}), 2)))"""

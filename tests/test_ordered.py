@@ -27,6 +27,7 @@ def sdf(spark, skewed):
 def buckets(request, monkeypatch):
     if request.param:
         monkeypatch.setattr(ordered, "BUCKET_VALUES", request.param)
+        monkeypatch.setattr(ordered, "GROUP_ROWS", 20 * request.param)
 
 
 def test_group_quantiles(sdf, skewed):
@@ -113,9 +114,35 @@ def test_rolling_window_is_left_open(spark):
 
 def test_edges_follow_distinct_values(spark, monkeypatch):
     """Nearly all rows share one value; the rest must still be spread over the buckets."""
-    monkeypatch.setattr(ordered, "EASY_DISTINCT", 100)
     monkeypatch.setattr(ordered, "BUCKET_VALUES", 10)
     df = spark.range(20000).select(F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(0).alias("v"))
     edges = ordered.splits(df, ["v"])["v"]
     counts = ordered.with_bucket(df.distinct(), ["v"], {"v": edges}).groupBy("v_bucket").count().toPandas()["count"]
     assert counts.max() < 0.2 * counts.sum()
+
+
+def test_no_task_sees_all_values(sdf, monkeypatch):
+    """Edges come from bounded samples; no aggregate sketches or sorts a whole column."""
+
+    def refuse(*_, **__):
+        raise AssertionError("a whole column in one aggregate")
+
+    monkeypatch.setattr(F, "percentile_approx", refuse)
+    monkeypatch.setattr(F, "approx_percentile", refuse)
+    plans = []
+    real = ordered.pick_quantiles
+    monkeypatch.setattr(ordered, "pick_quantiles", lambda ranked, *a: plans.append(ranked) or real(ranked, *a))
+    assert ordered.quantiles(sdf, ["v", "w"], [0.5, 0.9]).count() == 2
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in text and "SinglePartition" not in text
+
+
+def test_only_buckets_with_a_wanted_rank_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BUCKET_VALUES", 100)
+    df = spark.range(40_000).select(((F.col("id") * 7919) % 40_000).cast("double").alias("v"))
+    seen = []
+    real = ordered.pick_quantiles
+    monkeypatch.setattr(ordered, "pick_quantiles", lambda ranked, *a: seen.append(ranked) or real(ranked, *a))
+    row = ordered.quantiles(df, ["v"], [0.25, 0.999]).first()
+    assert (row.q0, row.q1, row.n) == (pytest.approx(9999.75), pytest.approx(39959.001), 40_000)
+    assert seen[0].count() < 8_000

@@ -9,8 +9,8 @@ from ledgerlens.operators import behaviour, encoding, ordered, profile, relation
 @pytest.fixture()
 def watched(monkeypatch):
     """Treat small tables as large ones, so that the heavy-key paths run."""
-    monkeypatch.setattr(skew, "HEAVY_FLOOR", 10)
-    monkeypatch.setattr(skew, "HEAVY_SHARE", 0.05)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 150)
+    monkeypatch.setattr(skew, "SAMPLE_SHARE", 1.0)
     monkeypatch.setattr(ordered, "BUCKET_VALUES", 20)
 
 
@@ -60,8 +60,8 @@ def results(df):
 
 def test_operators_agree_with_and_without_heavy_paths(hot, monkeypatch):
     plain = {k: v.toPandas() for k, v in results(hot).items()}
-    monkeypatch.setattr(skew, "HEAVY_FLOOR", 10)
-    monkeypatch.setattr(skew, "HEAVY_SHARE", 0.05)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 150)
+    monkeypatch.setattr(skew, "SAMPLE_SHARE", 1.0)
     monkeypatch.setattr(ordered, "BUCKET_VALUES", 20)
     for name, df in results(hot).items():
         a = plain[name].sort_values(sorted(plain[name].columns), ignore_index=True)[sorted(plain[name].columns)]
