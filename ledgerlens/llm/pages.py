@@ -1,22 +1,28 @@
 """HTML extraction with a host suffix array.
 
-A page is read into blocks of text in page order, each with the part of the page it stands in: *main* (inside
+A page is read once into blocks of text in page order, each with the part of the page it stands in: *main* (inside
 ``article`` or ``main``), *chrome* (navigation, page header and footer, sidebars, notices, adverts, forms, comments, told by element, role or
-class) or *open* (neither). The blocks outside main parts are the host's token streams: stretches of them
-travel by host and anchor (see ``windows``), and a suffix array over each group's streams finds substrings of ``LENGTH`` or
-more tokens that are repeated on distinct pages of the host. What they cover is boilerplate.
+class) or *open* (neither). Chrome goes. The main and open blocks of a host's distinct pages are its token streams; a substring is
+``LENGTH`` tokens of a block, or a whole shorter block. A suffix array over streams that share an anchor counts on how many distinct
+pages each substring stands. Substrings on at least ``PAGES`` of them and on a large share of the host's (``SHARE``) are boilerplate. A block that
+they cover as a whole goes, all others stay as they are: ordinary phrases, passages that some pages share and copies of an article are no
+boilerplate, and a page of which nothing would be left keeps everything.
 
-The text of a page with a main part is that part's blocks. On other pages it is the open blocks without their covered runs: unique
-runs are kept. Main parts are not cut by repeats: a copied article is still the page's article.
+The text of a page with a main part is what stays of that part, on other pages what stays of the open blocks.
+
+What travels is kept small: first only one anchor hash for every stretch of tokens, counted per host; then the token hashes of stretches whose anchor
+stands on enough pages, summed up where they are equal. Anchors with very many different stretches (``CROWD``) are counted
+by single substrings instead. A host's list of substrings is bounded by the length of its pages: each counts on a share of all pages.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page
-order by a line feed. Defined cases: NULL and empty pages, and pages without text, have empty text; NULL or odd
-addresses share the empty host; repeated rows (same ``page_id`` and page) are one page for the suffix array, so a page is not its own
-repeat; broken and unclosed markup is read as far as it goes; an empty table gives an empty result; other columns are ignored.
+order by a line feed. Defined cases: NULL and empty pages, and pages without text, have empty text; pages with NULL or odd
+addresses have no host and nothing of them is boilerplate by repeats; repeated rows, and pages of a host with the same blocks, are one
+distinct page; broken and unclosed markup is read as far as it goes; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -27,12 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, mix64, word_hashes, words_of
-from .windows import Spec, in_groups, stretches
+from .common import MIX, gram_hashes, mix64, stored, word_hashes, words_of
+from .windows import Spec, stretches
 
 #: Tokens of a repeated substring, and of its anchor.
-LENGTH, GRAM = 6, 3
+LENGTH, GRAM = 8, 3
 SPEC = Spec("word", LENGTH, GRAM, False)
+#: Distinct pages of a host that boilerplate stands on at least, and the share of them by the part of the page.
+PAGES, SHARE = 3, {"open": 0.5, "main": 0.8}
+#: Different stretches of one anchor beyond which its substrings are counted one by one.
+CROWD = 20_000
+#: Bytes of stretches a suffix array is built over at once, as far as whole groups allow.
+GROUP = 1 << 20
 
 #: Element names of the markup language and words of class names that tell the part of a page.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
@@ -152,39 +164,125 @@ def host(url: str | None) -> str:
         return ""
 
 
-STREAM = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("sub", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("body", pa.binary())])
-STREAM_DDL = "key long, doc long, sub long, start long, n int, body binary"
+#: Stands behind the tokens of a block shorter than a substring.
+_END = np.uint64(0x2545F4914F6CDD1D)
+
+
+def _salt(name: str) -> np.uint64:
+    raw = name.encode()
+    return word_hashes(raw, np.array([0]), np.array([len(raw)]))[0] * MIX
+
+
+def streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of blocks that follow each other, filled up to a substring's length, and where each block ends."""
+    values, ends, n = [], [], 0
+    for t in texts:
+        raw = t.encode()
+        start, end = words_of(raw)
+        v = word_hashes(raw, start, end)
+        if len(v) < LENGTH:
+            v = np.append(v, np.full(LENGTH - len(v), _END))
+        n += len(v)
+        values.append(v)
+        ends.append(n)
+    return (np.concatenate(values), np.array(ends)) if values else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def _inner(n: int, ends: np.ndarray) -> np.ndarray:
+    """Which of the substrings lie inside one block."""
+    ok = np.ones(max(0, n - LENGTH + 1), bool)
+    for e in ends[:-1]:
+        ok[max(0, e - LENGTH + 1) : e] = False
+    return ok
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Host, digest and blocks (parts as letters) of every page; chrome is left out."""
+    for batch in batches:
+        cols: list[list] = [[], [], [], []]
+        for url, markup in zip(batch.column(1).to_pylist(), batch.column(2)):
+            found = [(p, t) for p, t in blocks(markup.as_py()) if p != "chrome"]
+            name, texts, parts = host(url), [t for _, t in found], "".join(p[0] for p, _ in found)
+            digest = hashlib.blake2b("\n".join([parts, *texts]).encode(), digest_size=16).digest()
+            for c, v in zip(cols, (name, digest, parts, texts)):
+                c.append(v)
+        made = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.string(), pa.list_(pa.string())))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["page_id", "url", "host", "digest", "parts", "texts"])
+
+
+KEYS = pa.schema([("host", pa.string()), ("key", pa.int64())])
+
+
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different anchors of every page."""
+    for batch in batches:
+        hosts, keys, size = [], [], 0
+        for name, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values, ends = streams(texts)
+            if not len(values):
+                continue
+            own = np.unique(mix64(stretches(values, ends, SPEC)[0] ^ _salt(name))).view(np.int64)
+            hosts.append((name, len(own)))
+            keys.append(own)
+            size += len(own)
+            if size > 1 << 17:
+                yield pa.RecordBatch.from_arrays([pa.array([h for h, n in hosts for _ in range(n)], pa.string()), pa.array(np.concatenate(keys))], schema=KEYS)
+                hosts, keys, size = [], [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, n in hosts for _ in range(n)], pa.string()), pa.array(np.concatenate(keys))], schema=KEYS)
 
 
-def outside(found: list[tuple[str, str]]) -> str:
-    """The token stream of a page: its blocks outside main parts, in page order."""
-    return "\n".join(t for p, t in found if p != "main")
+STRETCH = pa.schema([("host", pa.string()), ("key", pa.int64()), ("body", pa.binary()), ("first", pa.binary())])
+STRETCH_DDL = "host string, key long, body binary, first binary"
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of the pages' streams, keyed by host and anchor."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Token hashes of the stretches whose anchor is in the host's list, with a mask of substrings that the page has not had before."""
     for batch in batches:
         rows: list[tuple] = []
         size = 0
-        for url, page, markup in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-            raw = outside(blocks(markup.as_py())).encode()
-            start, end = words_of(raw)
-            if len(start) < LENGTH:
+        for name, texts, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            values, ends = streams(texts)
+            if not len(values):
                 continue
-            h = word_hashes(raw, start, end)
-            key, _, first, n = stretches(h, np.array([len(h)]), SPEC)
-            name = np.frombuffer(host(url).encode() or b"\0", np.uint8)
-            salt = word_hashes(name.tobytes(), np.array([0]), np.array([len(name)]))
-            key = mix64(key ^ (salt * MIX)).view(np.int64)
-            for k, a, m in zip(key.tolist(), first.tolist(), n.tolist()):
-                body = raw[start[a] : end[a + m - 2 + LENGTH]]
-                rows.append((k, page, 0, a, m, body))
-                size += len(body) + 60
+            key, _, first, n = stretches(values, ends, SPEC)
+            key = mix64(key ^ _salt(name)).view(np.int64)
+            wanted = np.sort(keys.values.to_numpy(zero_copy_only=False))
+            grams = gram_hashes(values, LENGTH)
+            new = np.zeros(len(grams), bool)
+            inside = np.flatnonzero(_inner(len(values), ends))
+            new[inside[np.unique(grams[inside], return_index=True)[1]]] = True
+            for i in np.flatnonzero(np.isin(key, wanted)).tolist():
+                a, m = int(first[i]), int(n[i])
+                rows.append((name, int(key[i]), values[a : a + m - 1 + LENGTH].tobytes(), np.packbits(new[a : a + m]).tobytes()))
+                size += 8 * (m + LENGTH)
             if size >= 4 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STREAM)], schema=STREAM)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRETCH)], schema=STRETCH)
                 rows, size = [], 0
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STREAM)], schema=STREAM)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), STRETCH)], schema=STRETCH)
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of crowded anchors as single substrings, keyed by their whole content."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for name, body, first, pages in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            values = np.frombuffer(body, np.uint64)
+            m = len(values) - LENGTH + 1
+            key = mix64(gram_hashes(values, LENGTH) ^ _salt(name)).view(np.int64)
+            for i in np.flatnonzero(np.unpackbits(np.frombuffer(first, np.uint8))[:m]).tolist():
+                rows.append((name, int(key[i]), values[i : i + LENGTH].tobytes(), b"\x80", pages))
+            if len(rows) > 1 << 16:
+                yield _rows(rows)
+                rows = []
+        if rows:
+            yield _rows(rows)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    schema = pa.schema([*STRETCH, ("pages", pa.int64())])
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
 def suffix_array(ids: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,106 +297,126 @@ def suffix_array(ids: np.ndarray, starts: np.ndarray, group: np.ndarray, depth:
     return order, agrees
 
 
-def _repeated(rows: list[tuple]) -> np.ndarray:
-    """Windows that are repeated on distinct pages of the host."""
-    values = []
-    for r in rows:
-        s, e = words_of(r[5])
-        values.append(word_hashes(r[5], s, e))
+def _counted(rows: list[tuple]) -> pa.RecordBatch:
+    """(host, substring, pages) of the substrings of whole groups that stand on enough pages."""
+    values = [np.frombuffer(r[2], np.uint64) for r in rows]
     lens = np.array([len(v) for v in values])
     begin = np.cumsum(lens) - lens
-    _, ids = np.unique(np.concatenate(values), return_inverse=True)
-    n = np.array([r[4] for r in rows])
+    flat = np.concatenate(values)
+    _, ids = np.unique(flat, return_inverse=True)
+    n = lens - LENGTH + 1
     owner = np.repeat(np.arange(len(rows)), n)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    _, group = np.unique(np.array([r[0] for r in rows]), return_inverse=True)
-    page = np.array([r[1] for r in rows], np.int64)[owner]
-    order, agrees = suffix_array(ids, begin[owner] + at, group[owner], LENGTH)
-    run = np.cumsum(~agrees) - 1
-    sorted_page = page[order]
-    low = np.full(run[-1] + 1, np.iinfo(np.int64).max)
-    high = np.full(run[-1] + 1, np.iinfo(np.int64).min)
-    np.minimum.at(low, run, sorted_page)
-    np.maximum.at(high, run, sorted_page)
-    out = np.zeros(len(order), bool)
-    out[order] = (low < high)[run]
-    return out
+    new = np.concatenate([np.unpackbits(np.frombuffer(r[3], np.uint8))[:m] for r, m in zip(rows, n)]).astype(np.int64)
+    _, group = np.unique(np.array([r[1] for r in rows]), return_inverse=True)
+    starts = begin[owner] + at
+    order, agrees = suffix_array(ids, starts, group[owner], LENGTH)
+    head = np.flatnonzero(~agrees)
+    weight = (new * np.array([r[4] for r in rows])[owner])[order]
+    pages = np.add.reduceat(weight, head)
+    often = np.flatnonzero(pages >= PAGES)
+    place = starts[order[head[often]]]
+    content = gram_hashes(flat, LENGTH)[place].view(np.int64)
+    hosts = [rows[i][0] for i in owner[order[head[often]]]]
+    return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(content), pa.array(pages[often], pa.int64())], names=["host", "content", "pages"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffix arrays over whole groups. Of equal stretches in a row, three pages' are enough to know all others repeated."""
+    """Suffix arrays over whole groups of stretches with one anchor, several small groups at once."""
     rows: list[tuple] = []
     size = 0
-    inner = in_groups(_repeated, SPEC, 0)
-
-    def decide(part: list[tuple]) -> Iterator[pa.RecordBatch]:
-        yield from inner(iter([pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), STREAM)], schema=STREAM)]))
-
     for batch in batches:
-        spans = []
-        for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            if rows and row[0] != rows[-1][0] and size >= 1 << 20:
-                yield from decide(rows)
+        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if rows and row[1] != rows[-1][1] and size >= GROUP:
+                yield _counted(rows)
                 rows, size = [], 0
-            if len(rows) > 1 and row[0] == rows[-1][0] == rows[-2][0] and row[5] == rows[-1][5] == rows[-2][5] and rows[-1][1] != rows[-2][1]:
-                # two distinct pages have this very stretch already
-                spans.append((row[1], row[2], row[3], row[3] + row[4] - 1 + LENGTH))
-                continue
             rows.append(row)
-            size += len(row[5]) + 60
-        if spans:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*spans)], names=["doc", "sub", "s", "e"])
+            size += len(row[2]) + 60
     if rows:
-        yield from decide(rows)
+        yield _counted(rows)
 
 
 OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_boilerplate_tokens", pa.int64())])
 
 
-def main_text(found: list[tuple[str, str]], marks: list[dict] | None) -> tuple[str, int]:
-    """Main text of a page and how many tokens outside main parts repeats cover."""
-    raw = outside(found).encode()
-    begin, _ = words_of(raw)
-    step = np.zeros(len(begin) + 1, np.int64)
-    for m in marks or ():
-        step[m["s"]] += 1
-        step[m["e"]] -= 1
-    gone = np.cumsum(step[:-1]) > 0
-    if any(p == "main" for p, _ in found):
-        return "\n".join(t for p, t in found if p == "main"), int(gone.sum())
-    kept, at = [], 0
-    for p, t in found:
-        words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
-        if p == "open":
-            line = " ".join(w for w, g in zip(words, gone[at : at + len(words)]) if not g)
-            if line:
-                kept.append(line)
-        at += len(words)
-    return "\n".join(kept), int(gone.sum())
+def covered_blocks(texts: list[str], parts: str, often: dict[str, np.ndarray]) -> np.ndarray:
+    """Which blocks the host's frequent substrings (by part of the page) cover as a whole."""
+    values, ends = streams(texts)
+    out = np.zeros(len(texts), bool)
+    if not len(values) or not any(len(v) for v in often.values()):
+        return out
+    grams = gram_hashes(values, LENGTH)
+    hit = {p: np.isin(grams, v) for p, v in often.items()}
+    begin = 0
+    for i, e in enumerate(ends.tolist()):
+        h = hit[parts[i]][begin : e - LENGTH + 1]
+        step = np.zeros(e - begin + 1, np.int64)
+        step[np.flatnonzero(h)] += 1
+        np.subtract.at(step, np.flatnonzero(h) + LENGTH, 1)
+        out[i] = bool((np.cumsum(step[:-1]) > 0).all())
+        begin = e
+    return out
+
+
+def main_text(texts: list[str], parts: str, often: dict[str, np.ndarray]) -> tuple[str, int]:
+    """Main text of a page and how many tokens of it went as boilerplate."""
+    part = "m" if "m" in parts else "o"
+    gone = covered_blocks(texts, parts, often)
+    own = [i for i, p in enumerate(parts) if p == part]
+    if all(gone[i] for i in own):
+        gone[:] = False
+    lost = sum(len(words_of(texts[i].encode())[0]) for i in own if gone[i])
+    return "\n".join(texts[i] for i in own if not gone[i]), lost
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, chars, covered = [], [], []
-        for markup, marks in zip(batch.column(2), batch.column(3)):
-            t, n = main_text(blocks(markup.as_py()), marks.as_py())
-            texts.append(t)
-            chars.append(len(t))
-            covered.append(n)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(chars, pa.int64()), pa.array(covered, pa.int64())], schema=OUT)
+        done: list[tuple[str, int]] = []
+        for texts, parts, some, most in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+            done.append(main_text(texts, parts, {"o": np.array(some or [], np.int64).view(np.uint64), "m": np.array(most or [], np.int64).view(np.uint64)}))
+        texts, lost = [t for t, _ in done], [n for _, n in done]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(lost, pa.int64())], schema=OUT)
+
+
+def boilerplate(read: DataFrame) -> DataFrame:
+    """(host, some, most): the substrings of each host that stand on enough of its pages for an open and for a main block.
+
+    ``read`` has host, digest and texts of its pages.
+    """
+    known = read.where("host <> ''")
+    # one row of each distinct page; the others are listed, since they are few or cheap to leave out
+    numbered = known.select("row", "host", "digest")
+    firsts = numbered.groupBy("host", "digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"))
+    copies = numbered.join(firsts.where("n > 1").select("host", "digest", F.col("row").alias("first")), ["host", "digest"]).where("row <> first").select("row")
+    pages = known.join(copies, "row", "left_anti").select("host", "texts")
+    sizes = stored(firsts.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= PAGES), "pages-hosts")
+    enough = lambda part: F.greatest(F.lit(PAGES), F.ceil(F.col("n") * F.lit(SHARE[part])))
+    least = F.least(*[enough(p) for p in SHARE])
+    # hosts too small for any boilerplate need not be looked at
+    pages = pages.join(sizes.select("host"), "host", "left_semi")
+    anchors = pages.mapInArrow(_anchors, "host string, key long").groupBy("host", "key").agg(F.count(F.lit(1)).alias("c"))
+    often = anchors.join(sizes, "host").where(F.col("c") >= least)
+    lists = stored(often.groupBy("host").agg(F.collect_list("key").alias("keys")), "pages-anchors")
+    rows = pages.join(lists, "host").select("host", "texts", "keys").mapInArrow(_stretches, STRETCH_DDL)
+    rows = stored(rows.groupBy("host", "key", "body", "first").agg(F.count(F.lit(1)).alias("pages")), "pages-stretches")
+    crowds = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select("key"), "pages-crowds")
+    if not crowds.isEmpty():
+        ones = rows.join(crowds, "key", "left_semi").select("host", "body", "first", "pages").mapInArrow(_single, STRETCH_DDL + ", pages long")
+        ones = ones.groupBy("host", "key", "body", "first").agg(F.sum("pages").alias("pages"))
+        rows = rows.join(crowds, "key", "left_anti").select(*ones.columns).unionByName(ones)
+    grouped = rows.select("host", "key", "body", "first", "pages").repartition("key").sortWithinPartitions("key", "body", "first")
+    # a substring is in one group only, as its anchor names the group
+    counted = grouped.mapInArrow(_grouped, "host string, content long, pages long").join(sizes, "host")
+    some = counted.where(F.col("pages") >= enough("open")).groupBy("host").agg(
+        F.collect_list("content").alias("some"), F.collect_list(F.when(F.col("pages") >= enough("main"), F.col("content"))).alias("most")
+    )
+    return stored(some, "pages-often")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, n_boilerplate_tokens: one row per row of ``pages``."""
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        F.xxhash64("page_id", "url", "html").alias("page"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
-    )
-    groups = rows.mapInArrow(_streams, STREAM_DDL).repartition("key").sortWithinPartitions("key", "body", "doc", "start")
-    marks = groups.mapInArrow(_grouped, "doc long, sub long, s long, e long").distinct()
-    marks = marks.groupBy(F.col("doc").alias("page")).agg(F.collect_list(F.struct("s", "e")).alias("marks"))
-    # pages are read twice: that costs less than keeping their blocks
-    joined = rows.join(marks, "page", "left").select("page_id", "url", "html", "marks")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    read = rows.mapInArrow(_read, "page_id long, url string, host string, digest binary, parts string, texts array<string>")
+    read = stored(read.withColumn("row", F.monotonically_increasing_id()), "pages-read")
+    joined = read.join(boilerplate(read), "host", "left").select("page_id", "url", "texts", "parts", "some", "most")
     return joined.mapInArrow(_finish, "page_id long, url string, text string, n_chars long, n_boilerplate_tokens long")
