@@ -288,26 +288,31 @@ def woe_transform(df: DataFrame, bins: DataFrame, unseen: str = "null", min_iv:
     give NULL, the mean weight or the first bin's weight; NULL stays NULL.
     """
     rows = bins.select("feature", "bin", "lo", "hi", "binned", "woe", "iv").orderBy("feature", "bin").collect()
+    return woe_apply(df, [r.asDict() for r in rows], unseen, min_iv)
+
+
+def woe_apply(df: DataFrame, bins: list[dict], unseen: str = "null", min_iv: float = 0.02) -> DataFrame:
+    """``woe_transform`` with the bin table as a list, ordered by feature and bin."""
     by: dict[str, list] = {}
-    for r in rows:
-        by.setdefault(r.feature, []).append(r)
+    for r in bins:
+        by.setdefault(r["feature"], []).append(r)
     made, drop = {}, []
     for feature, parts in by.items():
-        if sum(p.iv for p in parts) < min_iv:
+        if sum(p["iv"] for p in parts) < min_iv:
             drop.append(feature)
             continue
-        weights = [p.woe for p in parts]
+        weights = [p["woe"] for p in parts]
         other = {"null": None, "mean": sum(weights) / len(weights), "first": weights[0]}[unseen]
         fallback = F.lit(other).cast("double")
         v = F.col(feature).cast("double")
-        if parts[0].binned:
-            e = F.when((v < parts[0].lo) | (v > parts[-1].hi), fallback)
+        if parts[0]["binned"]:
+            e = F.when((v < parts[0]["lo"]) | (v > parts[-1]["hi"]), fallback)
             for p in parts:
-                e = e.when(v <= p.hi, F.lit(p.woe))
+                e = e.when(v <= p["hi"], F.lit(p["woe"]))
         else:
-            e = F.when(v == parts[0].lo, F.lit(parts[0].woe))
+            e = F.when(v == parts[0]["lo"], F.lit(parts[0]["woe"]))
             for p in parts[1:]:
-                e = e.when(v == p.lo, F.lit(p.woe))
+                e = e.when(v == p["lo"], F.lit(p["woe"]))
         made[feature] = F.when(v.isNotNull(), e.otherwise(fallback))
     return df.withColumns(made).drop(*drop)
 

@@ -11,18 +11,16 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, RobustScaler, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
 from ledgerlens.session import cut
 
-from . import evaluation, rfm
+from . import evaluation, rfm, search, starts as many
 
 LABEL = "is_high_risk"
 KEY = "CustomerId"
@@ -54,22 +52,13 @@ def cluster_vectors(df: DataFrame, logs: str | None = None, scaler: str = "stand
     return cut(step.fit(packed).transform(packed).drop("raw"))
 
 
-def fit_kmeans(vectors: DataFrame, k: int = 3, starts: int = 1, seed: int = SEED):
-    """The cheapest of several seeded starts."""
-    best = None
-    for i in range(starts):
-        model = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster", maxIter=300, tol=1e-4).fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
-
-
 def clusters(df: DataFrame, k: int = 3, logs: str | None = None, scaler: str = "standard", starts: int = 1) -> DataFrame:
-    """Customers with their cluster."""
+    """Customers with their cluster in the cheapest of several seeded starts."""
     vectors = cluster_vectors(df.drop("cluster"), logs, scaler)
-    model, _ = fit_kmeans(vectors, k, starts)
-    return model.transform(vectors).drop("features")
+    best = many.run_all(vectors, [k], starts, SEED)
+    if not best:
+        return vectors.drop("features").withColumn("cluster", F.lit(None).cast("int"))
+    return vectors.withColumn("cluster", many.nearest_center(vector_to_array("features"), best[0].centers)).drop("features")
 
 
 def davies_bouldin(assigned: DataFrame, centers: list) -> float:
@@ -91,16 +80,19 @@ def davies_bouldin(assigned: DataFrame, centers: list) -> float:
     return sum(worst) / len(worst)
 
 
-def k_sweep(df: DataFrame, ks=range(2, 9), logs: str | None = "log10", scaler: str = "robust", starts: int = 1) -> DataFrame:
-    """Inertia, silhouette (squared distances, linear work) and Davies-Bouldin index per number of clusters."""
+def k_sweep(df: DataFrame, ks=range(2, 9), logs: str | None = "log10", scaler: str = "robust", starts: int = 20) -> DataFrame:
+    """Inertia, silhouette and Davies-Bouldin index per number of clusters, of the cheapest of ``starts`` starts each.
+
+    ``silhouette_sq`` is the silhouette by squared distances, which needs no pairs of rows.
+    """
     vectors = cluster_vectors(df.drop("cluster"), logs, scaler)
     silhouette = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     rows = []
-    for k in ks:
-        model, cost = fit_kmeans(vectors, k, starts)
-        assigned = model.transform(vectors)
-        rows.append((k, float(cost), float(silhouette.evaluate(assigned)), float(davies_bouldin(assigned, model.clusterCenters()))))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double")
+    for run in many.run_all(vectors, list(ks), starts, SEED):
+        assigned = vectors.withColumn("cluster", many.nearest_center(vector_to_array("features"), run.centers))
+        centers = [list(map(float, c)) for c in run.centers]
+        rows.append((run.k, float(run.cost), float(silhouette.evaluate(assigned)), float(davies_bouldin(assigned, centers))))
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_sq double, davies_bouldin double")
 
 
 def principal_components(df: DataFrame, k: int = 3) -> DataFrame:
@@ -122,18 +114,25 @@ def principal_components(df: DataFrame, k: int = 3) -> DataFrame:
 
 # --- classifiers ----------------------------------------------------------------------------------
 
-FEATURES = rfm.TRAINING_COLUMNS
+#: Inputs next to recency, frequency and money, with what stands in for them where they are not given.
+GIVEN = ["avg_transaction_value", "std_transaction_value", "cluster"]
+FEATURES = [*RFM, *GIVEN, *(c for c in rfm.TRAINING_COLUMNS if c not in RFM)]
 SHARES = {"train": 70, "val": 15, "test": 15}
 
 
 def training_table(labelled: DataFrame, shares: dict[str, int] = SHARES) -> DataFrame:
-    """Features, split and class weight per customer, written once for all fits."""
-    base = cut(labelled.select(KEY, *RFM, F.col(LABEL).cast("double").alias(LABEL)))
+    """All features, split and class weight per customer, written once for all fits."""
+    base = cut(with_given(labelled).select(KEY, *RFM, *GIVEN, F.col(LABEL).cast("double").alias(LABEL)))
     split = evaluation.stratified_split(base, LABEL, KEY, shares)
     made = rfm.training_features(split, _largest(split))
     return cut(evaluation.class_weights(made, LABEL).drop("positive_scale"))
 
 
+def with_given(df: DataFrame) -> DataFrame:
+    """The optional inputs as given, else derived or 0."""
+    return fill_optional(df, GIVEN)
+
+
 def _largest(table: DataFrame) -> float:
     """Largest monetary value of the training split, which scored customers are put in relation to as well."""
     top = table.where(F.col("split") == "train").agg(F.max("total_monetary_value")).first()[0]
@@ -169,7 +168,8 @@ def fit(table: DataFrame, name: str, features: list[str] = FEATURES, **options)
     The largest monetary value of the training split goes into the model, so that scores do not depend on who is scored together.
     """
     train = table.where((F.col("split") == "train") & _complete(features))
-    rows = train.count() if name == "logistic_regression" else 1
+    rows = train.count()
+    train = search.few(train, rows)
     first = [] if "value_concentration" not in features else [SQLTransformer(statement=f"SELECT * EXCEPT (value_concentration), {_CONCENTRATION.format(top=_largest(table))} AS value_concentration FROM __THIS__")]
     return Pipeline(stages=[*first, *feature_steps(features), classifier(name, rows, **options)]).fit(train)
 
@@ -201,32 +201,23 @@ def predictions(table: DataFrame, names: list[str], features: list[str] = FEATUR
     return out
 
 
-GRID = {"numTrees": [50, 100, 200], "maxDepth": [5, 10, 20, 30], "minInstancesPerNode": [1, 2, 4], "subsamplingRate": [0.7, 0.85, 1.0], "featureSubsetStrategy": ["sqrt", "log2"]}
-SMALL_GRID = {"numTrees": [20, 50], "maxDepth": [5, 10]}
-
-
-def grid_search(table: DataFrame, grid: dict[str, list] = SMALL_GRID, folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """Cross-validated AUC of random-forest settings; ``GRID`` is the full list of 216."""
-    vectors = cut(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table.where(F.col("split") == "train")).select(LABEL, "weight", "features"))
-    forest = classifier("random_forest")
-    build = ParamGridBuilder()
-    for p, values in grid.items():
-        build = build.addGrid(getattr(forest, p), values)
-    settings = build.build()
-    cv = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=settings,
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=SEED,
-    ).fit(vectors)
-    rows = [
-        (*[str(s[getattr(forest, p)]) for p in grid], float(auc)) for s, auc in zip(settings, cv.avgMetrics)
-    ]
-    schema = ", ".join(f"{p} string" for p in grid) + ", mean_auc double"
-    out = table.sparkSession.createDataFrame(rows, schema)
-    return out.withColumn("best", F.col("mean_auc") == out.select(F.max("mean_auc")).scalar())
+def grid_search(table: DataFrame, grid: dict[str, list] = search.GRID, folds: int = 5, parallelism: int = 6) -> DataFrame:
+    """Cross-validated AUC of all random-forest settings of the grid."""
+    return search.grid_search(table, FEATURES, LABEL, KEY, classifier, grid, folds, parallelism, SEED)
+
+
+def tuned(table: DataFrame, found: DataFrame) -> DataFrame:
+    """Metrics per split of the best setting of a search, refitted on the whole training split."""
+    scores = search.refit(table, FEATURES, LABEL, KEY, classifier, search.best_setting(found), SEED)
+    return evaluation.metric_table(cut(scores.withColumn("model", F.lit("random_forest_tuned"))))
+
+
+MODELS = ["logistic_regression", "decision_tree", "random_forest", "gradient_boosting"]
+
+
+def explainable(model: PipelineModel) -> bool:
+    """Whether the classifier says what it relies on: coefficients or importances."""
+    return hasattr(model.stages[-1], "coefficients") or hasattr(model.stages[-1], "featureImportances")
 
 
 def importances(model: PipelineModel, spark, features: list[str] = FEATURES) -> DataFrame:
@@ -237,8 +228,8 @@ def importances(model: PipelineModel, spark, features: list[str] = FEATURES) ->
     else:
         values, kind = last.coefficients.toArray(), "coefficient"
     rows = sorted(((f, float(v)) for f, v in zip(features, values)), key=lambda r: (-abs(r[1]), r[0]))
-    data = [(f, v, kind, i + 1) for i, (f, v) in enumerate(rows)]
-    return spark.createDataFrame(data, "feature string, value double, kind string, position int")
+    data = [(f, v, kind, i + 1, explainable(model)) for i, (f, v) in enumerate(rows)]
+    return spark.createDataFrame(data, "feature string, value double, kind string, position int, explainable boolean")
 
 
 def metadata(metrics: DataFrame, model: str, features: list[str] = FEATURES) -> DataFrame:
@@ -270,11 +261,38 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     ``refused`` names the missing inputs of a row without a score, else it is NULL.
     """
     # the model puts its own maximum in place of this one
-    p = predict(model, rfm.training_features(df.select(KEY, *RFM), 1.0), [KEY, *RFM])
+    p = predict(model, rfm.training_features(with_given(df).select(KEY, *RFM, *GIVEN), 1.0), [KEY, *RFM])
     missing = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in RFM])
     return evaluation.risk_levels(p).withColumns({"is_high_risk": F.col("predicted_high_risk"), "refused": F.nullif(missing, F.lit(""))})
 
 
+# --- train, compare, select, gate, save -----------------------------------------------------------
+
+#: Models of the production flow with their settings beyond the documented ones.
+CANDIDATES = {"random_forest": {"minInstancesPerNode": 5}, "gradient_boosting": {}, "logistic_regression": {}}
+
+
+def train_and_select(table: DataFrame, path: str, features: list[str] = RFM, candidates: dict[str, dict] = CANDIDATES) -> DataFrame:
+    """Fit the candidates, compare them on every split, gate and save the one with the highest test AUC.
+
+    Returns metrics per model and split with ``selected`` and ``compliant`` (of the model's test split); the model and its
+    record are saved under ``path``.
+    """
+    fitted = {name: fit(table, name, features, **options) for name, options in candidates.items()}
+    scores = None
+    for name, model in fitted.items():
+        p = predict(model, table, ["split", KEY, LABEL]).withColumn("model", F.lit(name))
+        scores = p if scores is None else scores.unionByName(p)
+    # one row per model and split
+    metrics = cut(evaluation.metric_table(cut(scores)))
+    best = evaluation.select_model(metrics).first()["model"]
+    save(fitted[best], f"{path}/model")
+    record = metadata(metrics, best, features)
+    record.write.mode("overwrite").json(f"{path}/record")
+    gate = evaluation.compliance(metrics.where(F.col("split") == "test")).select("model", "compliant")
+    return metrics.join(gate, "model").withColumn("selected", F.col("model") == best)
+
+
 # --- scoring inputs -------------------------------------------------------------------------------
 
 OPTIONAL = [
@@ -294,9 +312,9 @@ OPTIONAL = [
 ]
 
 
-def fill_optional(df: DataFrame) -> DataFrame:
+def fill_optional(df: DataFrame, names: list[str] = OPTIONAL) -> DataFrame:
     """Optional features as given, else derived (mean values) or 0."""
     mean = F.when(F.col("transaction_frequency") > 0, F.col("total_monetary_value") / F.col("transaction_frequency")).otherwise(0.0)
     given = lambda c: F.col(c).cast("double") if c in df.columns else F.lit(None).cast("double")
     derived = {"avg_transaction_value": mean, "value_per_transaction": mean}
-    return df.withColumns({c: F.coalesce(given(c), derived.get(c, F.lit(0.0))) for c in OPTIONAL})
+    return df.withColumns({c: F.coalesce(given(c), derived.get(c, F.lit(0.0))) for c in names})

@@ -49,10 +49,9 @@ def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str =
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.unix_micros(ts).alias("t"), xv.alias("x"), yv.alias("y")
     )
-    mid = rows.agg(F.avg("x").alias("mx"), F.avg("y").alias("my")).select(F.struct("mx", "my")).scalar()
-    # centring keeps the sums of squares well conditioned
-    rows = rows.withColumns({"x": F.col("x") - mid["mx"], "y": F.col("y") - mid["my"], "chunk": F.floor(F.col("t") / F.lit(width)).cast("bigint")})
-    moves = rows.select(
+    rows = rows.withColumn("chunk", F.floor(F.col("t") / F.lit(width)).cast("bigint"))
+    # a row enters in its chunk; in the next one it is there from the start and leaves
+    roles = rows.select(
         "x",
         "y",
         F.inline(
@@ -62,8 +61,11 @@ def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str =
             )
         ),
     )
+    # centring on the rows a chunk deals with keeps its sums of squares well conditioned
+    mid = roles.groupBy("chunk").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
+    roles = skew.lookup(roles, mid, ["chunk"]).withColumns({"x": F.col("x") - F.col("mx"), "y": F.col("y") - F.col("my")}).drop("mx", "my")
     edges = ordered.splits(df.select(F.unix_micros(ts).alias("at")), ["at"])
-    moves = ordered.with_bucket(moves, ["at"], edges)
+    moves = ordered.with_bucket(roles, ["at"], edges)
     sg, a, b = F.col("sign"), F.col("x"), F.col("y")
     sums = {
         "n": F.sum(sg),
@@ -76,10 +78,9 @@ def rolling_correlation(df: DataFrame, x: str, y: str, days: int = 30, ts: str =
     }
     measures = [m for m in sums if m != "entries"]
     t = ordered.running_totals(moves, ["chunk"], "at", "at_bucket", sums)
-    # what was inside when the chunk began: the rows of the chunk before
     whole = {"n": F.lit(1.0), "sx": a, "sy": b, "sxx": a * a, "syy": b * b, "sxy": a * b}
-    base = rows.groupBy((F.col("chunk") + 1).alias("chunk")).agg(*[F.sum(v).alias(f"{m}_base") for m, v in whole.items()])
-    now = skew.lookup(t.where("entries > 0"), base, ["chunk"]).select(
+    base = roles.where(sg < 0).groupBy("chunk").agg(*[F.sum(v).alias(f"{m}_base") for m, v in whole.items()])
+    now = skew.lookup(t.where("entries > 0"), base, ["chunk"], look_at=roles).select(
         "at", *[(F.coalesce(f"{m}_base", F.lit(0.0)) + F.col(f"{m}_before") + F.col(m)).alias(m) for m in measures]
     )
     n = F.col("n")

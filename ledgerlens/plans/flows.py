@@ -8,63 +8,35 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import cleaning, customer, encoding
+from ledgerlens.operators import cleaning, customer, stages
 from ledgerlens.session import cut
 
-DEFAULTS = {
-    "processing": {
-        "encoding": {"enabled": True, "max_one_hot": 15},
-        "imputation": {"enabled": True, "numeric": "median", "categorical": "most_frequent"},
-        "outliers": {"enabled": True, "lower": 0.01, "upper": 0.99, "strategy": "cap"},
-        "scaling": {"enabled": True, "kind": "standard"},
-        "woe": {"enabled": False, "max_bins": 10, "min_iv": 0.02, "unseen": "null"},
-    }
-}
-
+def full_flow(df: DataFrame, config: dict | None = None, target: DataFrame | None = None) -> DataFrame:
+    """Transactions to model-ready customer features: build, encode, impute, cap, scale, weigh.
 
-def merged(config: dict | None) -> dict:
-    """The defaults with the caller's values on top, section by section."""
+    The steps after the first are ``stages.FeatureFlow``, whose switches ``config`` holds under ``processing``; the weight of evidence
+    runs if it is switched on and then needs a target.
+    """
     given = (config or {}).get("processing", {})
-    return {k: v | given.get(k, {}) for k, v in DEFAULTS["processing"].items()}
-
-
-def full_flow(df: DataFrame, config: dict | None = None, target: DataFrame | None = None) -> DataFrame:
-    """Transactions to model-ready customer features: build, encode, impute, cap, scale, weigh."""
-    cfg = merged(config)
-    key = customer.KEY
-    table = cut(customer.feature_frame(df))
-    if cfg["encoding"]["enabled"]:
-        words = [c for c, t in table.dtypes if t == "string" and c != key]
-        table = encoding.smart_encode(table, words, cfg["encoding"]["max_one_hot"])
-    numbers = [c for c in cleaning.numeric_columns(table, table.columns) if c != key]
-    if cfg["imputation"]["enabled"]:
-        table = cleaning.impute(table, cleaning.fit_imputer(table, numbers, cfg["imputation"]["numeric"]))
-    measures = [c for c in numbers if not c.startswith(("favorite_product_category_", "favorite_channel_"))]
-    table = cut(table)
-    if cfg["outliers"]["enabled"]:
-        o = cfg["outliers"]
-        bounds = cleaning.percentile_bounds(table, measures, o["lower"], o["upper"])
-        table = cleaning.treat_outliers(table, bounds, o["strategy"]).drop(*[f"{c}_outlier" for c in measures])
-    if cfg["scaling"]["enabled"]:
-        table = cleaning.scale(table, cleaning.fit_scaler(table, measures, cfg["scaling"]["kind"]))
-    if cfg["woe"]["enabled"]:
+    key, table, label = customer.KEY, cut(customer.feature_frame(df)), None
+    if given.get("woe", {}).get("enabled"):
         if target is None:
             raise ValueError("weight of evidence needs a target")
-        w = cfg["woe"]
-        joined = cut(table.join(target, key))
         label = next(c for c in target.columns if c != key)
-        bins = encoding.fit_woe(joined, measures, label, w["max_bins"])
-        table = encoding.woe_transform(joined, bins, w["unseen"], w["min_iv"])
-    return table
+        table = cut(table.join(target, key))
+    else:
+        given = given | {"woe": {"enabled": False}}
+    flow = stages.FeatureFlow(key, label or "", given)
+    out = flow.fit(table).transform(table)
+    return out.drop(label) if label else out
 
 
 def simple_flow(df: DataFrame) -> DataFrame:
-    """Aggregates and time means per customer, median-filled and standardised."""
+    """Aggregates, time means and favourites per customer: median-filled, encoded and standardised."""
     key = customer.KEY
-    table = cut(customer.value_features(df).join(customer.time_means(df), key))
-    numbers = [c for c in table.columns if c != key]
-    filled = cleaning.impute(table, cleaning.fit_imputer(table, numbers))
-    return cleaning.scale(filled, cleaning.fit_scaler(filled, numbers))
+    table = cut(customer.value_features(df).join(customer.time_means(df), key).join(customer.favourites(df), key))
+    flow = stages.FeatureFlow(key, "", {"imputation": {"flags": False}, "outliers": {"enabled": False}, "woe": {"enabled": False}})
+    return flow.fit(table).transform(table)
 
 
 def preprocessor(df: DataFrame, numbers: list[str], words: list[str], key: str) -> DataFrame:

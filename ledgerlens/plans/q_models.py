@@ -1,14 +1,15 @@
 """Splits, training, evaluation, scoring, clustering, feature flows and streaming."""
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import chained, evaluation as V, forest, modeling as M, neighbours
+from ledgerlens.operators import chained, evaluation as V, forest, modeling as M, neighbours, stages
 from ledgerlens.session import cut
 from ledgerlens.sources import files, tables
 from ledgerlens.streaming import jobs
 
 from . import flows, inputs as I
-from .q_customer import GAPS, HOUR_US
+from .q_customer import GAPS, HOUR_US, MODE_SQL
 from .registry import query
 
 # --- clustering -----------------------------------------------------------------------------------
@@ -31,7 +32,7 @@ def l02b(s, sf):
     return M.clusters(I.rfm(s, sf), logs="log1p", starts=10)
 
 
-@query("l03_cluster_count_sweep", "k:i inertia:4 silhouette:6 davies_bouldin:6")
+@query("l03_cluster_count_sweep", "k:i inertia:4 silhouette_sq:6 davies_bouldin:6")
 def l03(s, sf):
     return M.k_sweep(I.rfm(s, sf))
 
@@ -109,9 +110,31 @@ _classifier("t07_random_forest", "random_forest")
 _classifier("t08_gradient_boosting", "gradient_boosting")
 
 
-@query("t09_grid_search", "numTrees:s maxDepth:s mean_auc:6 best:b")
+#: Searches of this session that the refit starts from.
+_SEARCHED = {}
+_GRID = "class_weight:s max_depth:s min_samples_leaf:s min_samples_split:s n_estimators:s"
+
+
+@query("t09_grid_search", f"{_GRID} mean_auc:6 std_auc:6 rank:i best:b")
 def t09(s, sf):
-    return M.grid_search(M.training_table(I.lab(s, sf)))
+    found = cut(M.grid_search(M.training_table(I.lab(s, sf))))
+    _SEARCHED[s.sparkContext.applicationId, sf] = found
+    return found
+
+
+_FLOW = "model:s split:s accuracy:6 precision:6 recall:6 f1:6 fnr:6 fpr:6 business_cost:i roc_auc:6"
+
+
+@query("t09_tuned_model", _FLOW)
+def t09_tuned(s, sf):
+    table = M.training_table(I.lab(s, sf))
+    found = _SEARCHED.get((s.sparkContext.applicationId, sf))
+    return M.tuned(table, cut(M.grid_search(table)) if found is None else found)
+
+
+@query("t10_train_and_select", f"{_FLOW} selected:b compliant:b")
+def t10(s, sf):
+    return M.train_and_select(M.training_table(I.lab(s, sf)), files.scratch(s, "production"))
 
 
 # --- evaluation -----------------------------------------------------------------------------------
@@ -158,11 +181,14 @@ def v05(s, sf):
     return V.compliance(V.metric_table(I.preds(s, sf)))
 
 
-@query("v06_feature_importance", "model:s feature:s value:6 kind:s position:i")
+@query("v06_feature_importance", "model:s feature:s value:6 kind:s position:i explainable:b")
 def v06(s, sf):
     table = M.training_table(I.lab(s, sf))
-    parts = [M.importances(M.fit(table, n), s).withColumn("model", F.lit(n)) for n in ("logistic_regression", "decision_tree")]
-    return parts[0].unionByName(parts[1])
+    out = None
+    for name in M.MODELS:
+        part = M.importances(M.fit(table, name), s).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
@@ -412,15 +438,90 @@ def pl1(s, sf):
     return flows.full_flow(I.ev(s, sf))
 
 
+# the saved stage: measures with gaps, a label, a one-hot and a frequency column, two of them with rare categories
+_SM = ["recency_days", "transaction_frequency", "total_monetary_value", "std_transaction_value"]
+_SG = ["recency_days", "total_monetary_value"]
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_SB = """b AS (SELECT l.CustomerId, l.is_high_risk AS y, CASE WHEN l.CustomerId % 11 <> 0 THEN CAST(recency_days AS DOUBLE) + CAST(l.CustomerId AS DOUBLE) / 100000 END AS recency_days,
+    CAST(transaction_frequency AS DOUBLE) + CAST(l.CustomerId AS DOUBLE) / 100000 AS transaction_frequency, CASE WHEN l.CustomerId % 7 <> 0 THEN total_monetary_value END AS total_monetary_value,
+    std_transaction_value, CASE WHEN c_acctbal > 0 THEN 'owed' ELSE 'owing' END AS side, CASE WHEN l.CustomerId % 400 = 3 THEN 'odd' WHEN l.CustomerId % 13 <> 0 THEN c_mktsegment END AS segment,
+    CASE WHEN l.CustomerId % 400 = 5 THEN 'nowhere' ELSE CAST(c_nationkey AS VARCHAR) END AS nation FROM lab l JOIN customer ON c_custkey = l.CustomerId)"""
+
+
+def _saved_flow_sql():
+    each = lambda text: ", ".join(text.format(c=c) for c in _SM)
+    steps = [
+        _SB,
+        "n AS (SELECT nation AS v, CASE WHEN count(*) / (SELECT count(*) FROM b) < 0.01 THEN 'rare' ELSE nation END AS g, count(*) AS k FROM b GROUP BY 1)",
+        "nf AS (SELECT v, sum(k) OVER (PARTITION BY g) / (SELECT count(*) FROM b) AS nation_freq FROM n)",
+        "sf AS (SELECT segment AS v, CASE WHEN count(*) / (SELECT count(segment) FROM b) < 0.01 THEN 'rare' ELSE segment END AS g FROM b WHERE segment IS NOT NULL GROUP BY 1)",
+        f"i AS (SELECT CustomerId, y, CASE side WHEN 'owed' THEN 0 ELSE 1 END AS side_code, nation_freq, sf.g AS segment, {', '.join(f'CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_missing' for c in _SG)}, "
+        + each("coalesce({c}, (SELECT median({c}) FROM b)) AS {c}")
+        + " FROM b LEFT JOIN nf ON nation = nf.v LEFT JOIN sf ON segment = sf.v)",
+        f"q AS (SELECT {each('quantile_cont({c}, 0.01) AS lo_{c}, quantile_cont({c}, 0.99) AS hi_{c}')} FROM i)",
+        f"o AS (SELECT * EXCLUDE ({', '.join(_SM)}), {each('CASE WHEN {c} < lo_{c} OR {c} > hi_{c} THEN 1 ELSE 0 END AS {c}_outlier')}, {each('greatest(least({c}, hi_{c}), lo_{c}) AS {c}')} FROM i, q)",
+        f"z AS (SELECT * EXCLUDE ({', '.join(_SM)}), {each('({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}')} FROM o)",
+    ]
+    for c in _SM:
+        # an edge that equals the least or the largest value is no border
+        edges = ", ".join(f"quantile_cont({c}, {k}/10::DOUBLE) AS e{k}" for k in range(1, 10))
+        key = " + ".join(f"CASE WHEN {c} > e{k} AND e{k} > mn AND e{k} < mx THEN 1 ELSE 0 END" for k in range(1, 10))
+        steps += [
+            f"k_{c} AS (SELECT CustomerId, y, {key} AS k FROM z, (SELECT {edges}, min({c}) AS mn, max({c}) AS mx FROM z))",
+            f"w_{c} AS (SELECT k, ln(greatest(sum(y) / (SELECT sum(y) FROM b), 1e-10) / greatest(sum(1 - y) / (SELECT sum(1 - y) FROM b), 1e-10)) AS woe FROM k_{c} GROUP BY k)",
+            f"v_{c} AS (SELECT CustomerId, woe AS {c} FROM k_{c} JOIN w_{c} USING (k))",
+        ]
+    hot = ", ".join(f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS segment_{s}" for s in [*_SEGMENTS, "rare"])
+    return f"WITH {', '.join(steps)} SELECT z.* EXCLUDE ({', '.join(_SM)}), {hot}, {', '.join(f'v_{c}.{c}' for c in _SM)} FROM z {' '.join(f'JOIN v_{c} USING (CustomerId)' for c in _SM)}"
+
+
+_SAVED_OUT = (
+    "CustomerId:i side_code:i nation_freq:6 "
+    + " ".join(f"segment_{x}:i" for x in [*_SEGMENTS, "rare"])
+    + " "
+    + " ".join(f"{c}_missing:i" for c in _SG)
+    + " "
+    + " ".join(f"{c}_outlier:i {c}:6" for c in _SM)
+)
+
+
+def flow_input(s, sf):
+    lab = I.lab(s, sf).join(tables.table(s, sf, "customer").select(F.col("c_custkey").alias("CustomerId"), "c_acctbal", "c_mktsegment", "c_nationkey"), "CustomerId")
+    i, nudge = F.col("CustomerId"), F.col("CustomerId").cast("double") / 100000
+    return lab.select(
+        i,
+        "is_high_risk",
+        F.when(i % 11 != 0, F.col("recency_days").cast("double") + nudge).alias("recency_days"),
+        (F.col("transaction_frequency").cast("double") + nudge).alias("transaction_frequency"),
+        F.when(i % 7 != 0, F.col("total_monetary_value")).alias("total_monetary_value"),
+        "std_transaction_value",
+        F.when(F.col("c_acctbal") > 0, "owed").otherwise("owing").alias("side"),
+        F.when(i % 400 == 3, "odd").when(i % 13 != 0, F.col("c_mktsegment")).alias("segment"),
+        F.when(i % 400 == 5, "nowhere").otherwise(F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+
+
+@query("pl1_saved_flow", _SAVED_OUT, _saved_flow_sql())
+def pl1_saved(s, sf):
+    df = cut(flow_input(s, sf))
+    path = files.scratch(s, "flow")
+    Pipeline(stages=[stages.FeatureFlow(config={"woe": {"min_iv": 0.0}})]).fit(df).write().save(path)
+    return PipelineModel.load(path).transform(df)
+
+
 _PL2 = ["total_transaction_amount", "median_transaction_amount", "is_weekend_mean"]
 
 
+_HOT = [f"favorite_product_category_{c}" for c in ("click", "error", "purchase", "signup", "view")]
+
+
 @query(
     "pl2_simple_feature_flow",
-    "CustomerId:i " + " ".join(f"{c}:5" for c in _PL2),
+    "CustomerId:i " + " ".join(f"{c}:5" for c in _PL2) + " " + " ".join(f"{c}:i" for c in _HOT),
     f"""WITH f AS (SELECT CustomerId, sum(Value) AS total_transaction_amount, median(Value) AS median_transaction_amount,
-        avg(CASE WHEN isodow(TransactionStartTime) >= 6 THEN 1 ELSE 0 END) AS is_weekend_mean FROM ev GROUP BY 1)
-        SELECT CustomerId, {', '.join(f'{_z(c)} AS {c}' for c in _PL2)} FROM f""",
+        avg(CASE WHEN isodow(TransactionStartTime) >= 6 THEN 1 ELSE 0 END) AS is_weekend_mean FROM ev GROUP BY 1),
+        m AS ({MODE_SQL.format(c="ProductCategory", a="v", t="ev")})
+        SELECT CustomerId, {', '.join(f'{_z(c)} AS {c}' for c in _PL2)}, {', '.join(f"CASE WHEN v = '{c.rsplit('_', 1)[1]}' THEN 1 ELSE 0 END AS {c}" for c in _HOT)} FROM f JOIN m USING (CustomerId)""",
 )
 def pl2(s, sf):
     return flows.simple_flow(I.ev(s, sf))

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import chained, forest, modeling, neighbours
+from ledgerlens.operators import chained, forest, modeling, neighbours, search, starts
 from ledgerlens.plans import flows, inputs
 from ledgerlens.sources import files
 
@@ -141,8 +141,8 @@ def test_model_round_trip_and_scores(spark, table, small):
 
 def test_clusters(spark, small):
     rfm = inputs.rfm(spark, small)
-    sweep = modeling.k_sweep(rfm, range(2, 5)).orderBy("k").toPandas()
-    assert sweep["inertia"].is_monotonic_decreasing and sweep["silhouette"].between(-1, 1).all()
+    sweep = modeling.k_sweep(rfm, range(2, 5), starts=5).orderBy("k").toPandas()
+    assert sweep["inertia"].is_monotonic_decreasing and sweep["silhouette_sq"].between(-1, 1).all()
     assert modeling.clusters(rfm).select("cluster").distinct().count() == 3
 
 
@@ -174,7 +174,198 @@ def test_code_travels_with_the_functions():
 
     with tempfile.TemporaryDirectory() as elsewhere:
         with open(f"{elsewhere}/f.pkl", "wb") as out:
-            cloudpickle.dump((forest.grow, neighbours.Cells(2)), out)
-        code = "import pickle; f, c = pickle.load(open('f.pkl', 'rb')); print(f.__name__, c.axis)"
+            cloudpickle.dump((forest.grow, neighbours.borders), out)
+        code = "import pickle; f, c = pickle.load(open('f.pkl', 'rb')); print(f.__name__, c.__name__)"
         done = subprocess.run([sys.executable, "-c", code], cwd=elsewhere, capture_output=True, text=True, timeout=60)
-    assert done.stdout.split() == ["grow", "[-1]"], done.stderr
+    assert done.stdout.split() == ["grow", "borders"], done.stderr
+
+
+# --- rows with gaps, cells of any size ------------------------------------------------------------
+
+
+def with_gaps(points):
+    """Every pattern of missing coordinates, some rows without any."""
+    p = points.drop_duplicates(["a", "b"]).reset_index(drop=True)
+    p["t"] = p["a"] * 3 + p["b"]
+    p.loc[p["id"] % 7 == 0, "t"] = np.nan
+    p.loc[p["id"] % 5 == 1, "a"] = np.nan
+    p.loc[p["id"] % 6 == 2, "b"] = np.nan
+    p.loc[p["id"] % 70 == 0, ["a", "b"]] = np.nan
+    return p
+
+
+@pytest.mark.parametrize("per_cell", [10_000, 40])
+def test_knn_impute_with_missing_coordinates(spark, points, per_cell):
+    p = with_gaps(points)
+    src = spark.createDataFrame(p[["id", "a", "b", "t"]])
+    got = neighbours.knn_impute(src.withColumn("t", F.nanvl("t", F.lit(None))), "id", "t", ["a", "b"], 5, per_cell).toPandas().set_index("id")["t"]
+    assert len(got) == len(p) and got.notna().all()
+    z = ((p[["a", "b"]] - p[["a", "b"]].mean()) / p[["a", "b"]].std(ddof=0)).to_numpy()
+    donors = np.flatnonzero(p["t"].notna())
+    checked = 0
+    for i in np.flatnonzero(p["t"].isna()):
+        both = ~np.isnan(z[donors]) & ~np.isnan(z[i])
+        shared = both.sum(1)
+        d = np.where(shared > 0, np.nansum(np.where(both, (z[donors] - z[i]) ** 2, 0), 1) * 2 / np.maximum(shared, 1), np.inf)
+        if np.isinf(d).all():
+            assert got[p["id"][i]] == pytest.approx(p["t"].mean())
+        else:
+            near = np.sort(d)[:6]
+            if near[5] - near[4] > 1e-9 and len(set(near[:5].round(9))) == 5:
+                assert got[p["id"][i]] == pytest.approx(p["t"].to_numpy()[donors[np.argsort(d)[:5]]].mean())
+                checked += 1
+    assert checked > 20
+
+
+def test_detectors_return_every_row(spark, points):
+    p = with_gaps(points)[["id", "a", "b"]]
+    src = spark.createDataFrame(p)
+    filled = p.assign(a=p["a"].fillna(p["a"].mean()), b=p["b"].fillna(p["b"].mean()))
+    for detect in (lambda df: neighbours.local_outlier_factor(df, "id", ["a", "b"], 10), lambda df: forest.isolation_outliers(df, "id", ["a", "b"], trees=20)):
+        got = detect(src).toPandas().set_index("id").sort_index()
+        same = detect(spark.createDataFrame(filled)).toPandas().set_index("id").sort_index()
+        assert len(got) == len(p) and got.notna().all().all()
+        pd.testing.assert_frame_equal(got, same)
+
+
+def test_cells_stay_within_their_bound(spark):
+    """Two thirds of the positions crowd on a line in one corner, others are spread out widely."""
+    i = F.col("id")
+    df = spark.range(30_000).select(
+        i.alias("pid"),
+        F.when(i % 3 > 0, 0.0).otherwise(F.pmod(F.xxhash64(i), F.lit(10**9)) / 1e3).alias("x"),
+        F.when(i % 3 > 0, i / 1e12).otherwise(F.pmod(F.xxhash64(i, F.lit(1)), F.lit(10**9)) / 1e3).alias("y"),
+    )
+    cells = neighbours.build_cells(df, ["x", "y"], 100)
+    sizes = cells.place(df).groupBy("cell").count().toPandas()["count"]
+    assert sizes.sum() == 30_000 and sizes.max() <= 100 and cells.depth <= 5
+    assert sizes.median() > 3
+    # what a ball reaches is exactly the cells with a position in it, or neighbours
+    asked = df.where("pid % 1000 = 0").select(F.col("pid").alias("qid"), "x", "y", F.lit(3e4).alias("r"))
+    reached = {(r.qid, r.cell) for r in cells.reach(asked, "r").collect()}
+    inside = asked.select("qid", F.col("x").alias("qx"), F.col("y").alias("qy")).join(cells.place(df), F.hypot(F.col("x") - F.col("qx"), F.col("y") - F.col("qy")) <= 3e4)
+    assert {(r.qid, r.cell) for r in inside.select("qid", "cell").distinct().collect()} <= reached
+
+
+def test_chained_impute_equals_row_by_row_rounds(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4)) + 3
+    gone = rng.random(x.shape) < [0.1, 0.25, 0.0, 0.18]
+    src = pd.DataFrame(np.where(gone, np.nan, x), columns=list("abcd"))
+    now = src.fillna(src.mean()).to_numpy()
+    for _ in range(4):
+        for c in sorted(np.flatnonzero(gone.any(0)), key=lambda c: gone[:, c].sum()):
+            others = [i for i in range(4) if i != c]
+            here = ~gone[:, c]
+            design = np.c_[np.ones(len(now)), now[:, others]]
+            w = np.linalg.lstsq(design[here], now[here, c], rcond=None)[0]
+            now[~here, c] = design[~here] @ w
+    got = chained.chained_impute(spark.createDataFrame(src.assign(id=np.arange(400))).repartition(3), list("abcd"), rounds=4, tol=0.0).toPandas().sort_values("id")
+    np.testing.assert_allclose(got[list("abcd")].to_numpy(), now, rtol=1e-8)
+
+
+def test_chained_impute_of_empty_columns(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (2, None, None), (3, 4.0, None)], "id int, a double, b double")
+    got = {r.id: (r.a, r.b) for r in chained.chained_impute(df, ["a", "b"]).collect()}
+    assert got == {1: (2.0, None), 2: (3.0, None), 3: (4.0, None)}
+
+
+# --- searches over fitted models ------------------------------------------------------------------
+
+
+def test_many_starts_beat_one(spark, small):
+    from pyspark.ml.clustering import KMeans
+
+    vectors = modeling.cluster_vectors(inputs.rfm(spark, small), "log10", "robust")
+    runs = {r.k: r for r in starts.run_all(vectors, range(2, 7), 20, 42)}
+    for k, run in runs.items():
+        single = KMeans(k=k, seed=42, featuresCol="features", maxIter=300).fit(vectors).summary.trainingCost
+        assert run.cost <= single * (1 + 1e-6)
+        x = np.array([r.features.toArray() for r in vectors.collect()])
+        assert run.cost == pytest.approx(((x[:, None] - run.centers[None]) ** 2).sum(2).min(1).sum())
+    assert starts.run_all(vectors.limit(0), [2], 3, 1) == []
+
+
+def test_walks_equal_the_fitted_forest(spark, table):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    v = VectorAssembler(inputCols=modeling.FEATURES, outputCol="features").transform(table.where("split = 'train'")).select(modeling.LABEL, "weight", "features")
+    kept = {}
+
+    def classifier(name, **options):
+        class Keeping:
+            def fit(self, df):
+                kept["model"] = modeling.classifier(name, **options).fit(df)
+                return kept["model"]
+
+        return Keeping()
+
+    grown = search.grow(v, modeling.LABEL, classifier, 8, 30, 2)
+    rows = kept["model"].transform(v.limit(200)).select(vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")).toPandas()
+    x = np.array(rows["x"].tolist())
+    whole = search.Setting("balanced", None, 2, 2, 8)
+    np.testing.assert_allclose(grown.scores(x, [whole])[:, 0], rows["p"], atol=1e-12)
+    # cut back by depth, by split size and by trees, against a walk of single rows
+    wanted = [search.Setting("balanced", d, 2, s, t) for d in (0, 3, 5, None) for s in (2, 60) for t in (1, 8)]
+    got = grown.scores(x, wanted)
+    for i, row in enumerate(x[:40]):
+        for j, s in enumerate(wanted):
+            risks = []
+            for root in grown.roots[: s.n_estimators]:
+                at, depth = root, 0
+                while grown.feature[at] >= 0 and grown.rows[at] >= s.min_samples_split and depth < s.depth:
+                    at = grown.low[at] if row[grown.feature[at]] <= grown.threshold[at] else grown.high[at]
+                    depth += 1
+                risks.append(grown.risk[at])
+            assert got[i, j] == pytest.approx(np.mean(risks))
+
+
+def test_grid_search_and_refit(spark, table):
+    assert len(search.settings()) == 216
+    grid = search.GRID | {"class_weight": ["balanced"], "min_samples_leaf": [1, 4], "n_estimators": [4, 8]}
+    found = modeling.grid_search(table, grid, folds=3).cache()
+    rows = found.toPandas()
+    assert len(rows) == 2 * 4 * 3 * 2 and rows["best"].sum() == 1 and rows["mean_auc"].between(0.8, 1).all()
+    best = rows[rows["best"]].iloc[0]
+    assert best["mean_auc"] == rows["mean_auc"].max() and best["setting"] == rows[rows["rank"] == 1]["setting"].min()
+    assert {r.split: r.roc_auc > 0.9 for r in modeling.tuned(table, found).collect()} == {"train": True, "val": True, "test": True}
+
+
+def test_bootstrap_weights(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("k"), (F.col("id") % 4 == 0).cast("double").alias("y"))
+    for kind in ("balanced", "balanced_subsample"):
+        w = {r.y: r.w for r in search.weighted(rows, "y", "k", kind, 1).groupBy("y").agg(F.avg("weight").alias("w")).collect()}
+        assert w[1.0] == pytest.approx(2.0, rel=0.05) and w[0.0] == pytest.approx(2 / 3, rel=0.05)
+    draws = rows.select(search._poisson(F.col("k"), F.lit(3)).alias("m")).agg(F.avg("m"), F.var_pop("m")).first()
+    assert draws[0] == pytest.approx(1, abs=0.03) and draws[1] == pytest.approx(1, abs=0.05)
+
+
+def test_train_compare_select_gate_and_save(spark, table):
+    path = files.scratch(spark, "flow")
+    small = {"random_forest": {"numTrees": 20}, "gradient_boosting": {"maxIter": 4}, "logistic_regression": {}}
+    rows = modeling.train_and_select(table, path, candidates=small).toPandas()
+    assert len(rows) == 9 and set(rows["split"]) == {"train", "val", "test"}
+    test = rows[rows["split"] == "test"].set_index("model")
+    best = test["roc_auc"].max()
+    assert list(test[test["selected"]].index) == [sorted(test[test["roc_auc"] == best].index)[0]]
+    assert ((test["roc_auc"] >= 0.7) & (test["fnr"] <= 0.2)).equals(test["compliant"])
+    record = spark.read.json(f"{path}/record").first()
+    chosen = test[test["selected"]].iloc[0]
+    assert record["model"] == test[test["selected"]].index[0] and record["roc_auc"] == pytest.approx(chosen["roc_auc"]) and record["compliant"]
+    # the saved model scores like the one compared, and tells clear cases apart
+    loaded = modeling.load(f"{path}/model")
+    again = modeling.predict(loaded, table.where("split = 'test'"), [modeling.KEY, "split", modeling.LABEL]).withColumn("model", F.lit("m"))
+    from ledgerlens.operators import evaluation
+
+    assert evaluation.metric_table(again).first()["roc_auc"] == pytest.approx(chosen["roc_auc"])
+    edge = table.groupBy(modeling.LABEL).agg(*[F.avg(c).alias(c) for c in modeling.RFM]).withColumn(modeling.KEY, F.col(modeling.LABEL).cast("bigint"))
+    scores = {r[modeling.KEY]: r.risk_score for r in modeling.predict(loaded, edge, [modeling.KEY]).collect()}
+    assert scores[0] < 0.5 < scores[1]
+
+
+def test_all_features_and_flags(spark, table):
+    assert len(modeling.FEATURES) == 16 and set(modeling.FEATURES) <= set(table.columns)
+    for name, options in [("logistic_regression", {}), ("decision_tree", {}), ("random_forest", {"numTrees": 5}), ("gradient_boosting", {"maxIter": 2})]:
+        rows = modeling.importances(modeling.fit(table, name, **options), spark).collect()
+        assert len(rows) == 16 and all(r.explainable for r in rows)

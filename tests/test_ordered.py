@@ -146,3 +146,18 @@ def test_only_buckets_with_a_wanted_rank_are_sorted(spark, monkeypatch):
     row = ordered.quantiles(df, ["v"], [0.25, 0.999]).first()
     assert (row.q0, row.q1, row.n) == (pytest.approx(9999.75), pytest.approx(39959.001), 40_000)
     assert seen[0].count() < 8_000
+
+
+def test_rolling_correlation_keeps_its_digits_over_a_long_history(spark):
+    """A million windows of large values before; then small ones around another level."""
+    i = F.col("id")
+    n = 2_000_000
+    late = i >= n - 400
+    noise = lambda k: F.pmod(F.xxhash64(i, F.lit(k)), F.lit(10**6)) / 1e6
+    x = F.when(late, 1000 + noise(1)).otherwise(1e9 * noise(2))
+    df = spark.range(0, n, 1, 4).select(F.timestamp_micros(i * F.lit(43_200_000_000 // 10) - F.lit(10**15)).alias("ts"), x.alias("x"), (x + F.when(late, noise(3)).otherwise(1e9 * noise(4))).alias("y"))
+    got = windows.rolling_correlation(df, "x", "y", 1, "ts").orderBy(F.desc("ts_us")).limit(200).toPandas()[::-1]
+    last = df.orderBy(F.desc("ts")).limit(400).toPandas()[::-1].reset_index(drop=True)
+    want = last["x"].rolling(20).corr(last["y"]).to_numpy()[-200:]
+    np.testing.assert_allclose(got["correlation"].to_numpy(), want, atol=1e-7)
+    assert (got["rows"] == 20).all()
