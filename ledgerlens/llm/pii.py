@@ -40,23 +40,49 @@ TAIL = r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){0,2}[^\x20
 ROUNDS, SURE, SUPPORT = 3, 0.8, 3
 
 
+#: Matches handled by one inner fold, and code points of a place by which spans are compared.
+CHUNK, PLACE = 256, 64
+
+_EMPTY = "cast(array() as array<struct<s:bigint,e:bigint,hit:string,before:string>>)"
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def places(text: Column, expression: str) -> Column:
-    """Array of (s, e, hit, before) of the leftmost matches that do not overlap; before: the two words in front of the word a match begins in, and that word's beginning."""
+    """Array of (s, e, hit, before) of the leftmost matches that do not overlap; before: the two words in front of the word a match begins in, and that word's beginning.
+
+    Matches are folded in chunks and chunks are put together at the end: a fold copies the list it adds to, so one
+    over all matches would take the square of their number.
+    """
     gaps = F.split(text, expression, -1)
     hits = F.regexp_extract_all(text, F.lit(expression), F.lit(0))
     pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("g"), h.alias("h")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<s:bigint,e:bigint,hit:string,before:string>>)").alias("out"))
+    nothing = F.lit("")
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + F.char_length(x["g"])
         e = s + F.char_length(x["h"])
         # words before the match may stand before earlier matches or be such
-        last = F.try_element_at(acc["out"], F.lit(-1))
-        before = F.regexp_extract(F.concat(F.coalesce(last["before"], F.lit("")), F.coalesce(last["hit"], F.lit("")), x["g"]), TAIL, 0)
+        before = F.regexp_extract(F.concat(acc["tail"], x["g"]), TAIL, 0)
         one = F.struct(s.alias("s"), e.alias("e"), x["h"].alias("hit"), before.alias("before"))
-        return F.struct(F.coalesce(e, acc["at"]).alias("at"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out"))
+        return F.struct(
+            F.coalesce(e, acc["at"]).alias("at"), F.concat(before, F.coalesce(x["h"], nothing)).alias("tail"), F.when(x["h"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(one))).alias("out")
+        )
+
+    def chunk(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), acc["tail"].alias("tail"), F.expr(_EMPTY).alias("out"))
+        done = F.aggregate(part, start, step)
+        return _bound(done, lambda d: F.struct(d["at"].alias("at"), d["tail"].alias("tail"), F.concat(acc["outs"], F.array(d["out"])).alias("outs")))
+
+    def all_of(listed: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(listed) - 1) / CHUNK).cast("int")), lambda i: F.slice(listed, i * CHUNK + 1, CHUNK))
+        start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("tail"), F.expr(f"cast(array() as array<{_EMPTY[16:-1]}>)").alias("outs"))
+        return F.aggregate(parts, start, chunk, lambda a: F.flatten(a["outs"]))
 
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
+    return _bound(pairs, all_of)
 
 
 def _digits(c: Column) -> Column:
@@ -149,6 +175,19 @@ def patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return scored
 
 
+def _unseen(rows: DataFrame) -> DataFrame:
+    """(key, s, e, value, pattern) of the candidates that overlap no base find.
+
+    Spans meet by the places of ``PLACE`` code points they stand in, so that a text's finds are not all compared with all its candidates.
+    """
+    at = lambda s, e: F.explode(F.sequence(F.floor(s / F.lit(PLACE)), F.floor((e - 1) / F.lit(PLACE)))).alias("place")
+    listed = rows.select("key", F.explode("cands").alias("c")).select("key", "c.*").distinct()
+    known = rows.select("key", F.explode("base").alias("b")).select("key", F.col("b.s").alias("bs"), F.col("b.e").alias("be")).distinct()
+    met = listed.select("key", "s", "e", at(F.col("s"), F.col("e"))).join(known.select("key", "bs", "be", at(F.col("bs"), F.col("be"))), ["key", "place"])
+    over = met.where((F.col("bs") < F.col("e")) & (F.col("be") > F.col("s"))).select("key", "s", "e").distinct()
+    return listed.join(over, ["key", "s", "e"], "left_anti")
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))), ",")
@@ -160,8 +199,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS, sure: float = SURE, support: int
     rows = docs.select(F.xxhash64("doc_id", text).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), base(text).alias("base"), candidates(text).alias("cands"))
     rows = stored(rows, "pii-rows")
     seeds = rows.select(F.explode("base").alias("b")).select("b.pattern", "b.value", "b.k").where("pattern <> ''")
-    over = F.exists("base", lambda b: (b["s"] < F.col("c.e")) & (b["e"] > F.col("c.s")))
-    unseen = rows.select("key", "base", F.explode("cands").alias("c")).where(~over).select("key", "c.*")
+    unseen = stored(_unseen(rows), "pii-unseen")
     scored = patterns(seeds.unionByName(unseen.select("pattern", "value", F.lit(None).cast("int").alias("k"))), rounds)
     kind = F.lit(None).cast("int")
     for i, p in enumerate(SCORES):
