@@ -41,6 +41,16 @@ def whole(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame, **made: Column) -> DataFrame:
+    """Columns a stage works with, and the caller's whole rows as ``row``, so that no name of theirs can clash."""
+    return docs.select(*(v.alias(k) for k, v in made.items()), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The caller's columns again."""
+    return df.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that their order looks random."""
     x = x.astype(np.uint64, copy=True)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import BLANKS, scratch, stored, whole
+from .common import BLANKS, packed, scratch, stored, unpacked, whole
 
 #: Settings of the state: on disk, without room reserved ahead, as there is one store per shuffle partition.
 STORE = {
@@ -145,10 +145,9 @@ def keep(docs: DataFrame) -> DataFrame:
     kept = stored(dedup(docs).where("kept").select(F.unhex("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")), "exact-kept")
     twins = not kept.groupBy("_digest", "_keep").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     best = kept.distinct() if twins else kept
-    marked = docs.withColumn("_digest", digest()).withColumn("_length", F.char_length(whole()))
-    fits = (marked["_digest"] == best["_digest"]) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep"))
-    out = marked.join(best, fits, "left_semi")
+    marked = packed(docs, digest=digest(), length=F.char_length(whole()), id=F.col("doc_id").cast("long"))
+    out = marked.join(best, (F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_keep")), "left_semi")
     if twins:
         # the kept row is there more than once: the longest original, and one of equal ones
-        out = out.withColumn("_top", F.max("_length").over(Window.partitionBy("_digest"))).where("_length = _top").dropDuplicates(["_digest"])
-    return out.select(*(f"`{c}`" for c in docs.columns))
+        out = out.withColumn("top", F.max("length").over(Window.partitionBy("digest"))).where("length = top").dropDuplicates(["digest"])
+    return unpacked(out, docs)

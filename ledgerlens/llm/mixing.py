@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, stored, whole
+from .common import WORD, packed, stored, unpacked, whole
 
 #: Units of a block on average; blocks are dealt by hash, so their sizes stay near it.
 FAN_IN = 32
@@ -162,6 +162,6 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
 
 def apply(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, ceiling: float = 2.0, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    chosen = decide(_sized(docs, seed), weights, share, ceiling, seed).where("copies > 0").select(F.col("unit").alias("_unit"), F.col("copies").alias("_copies"))
-    named = docs.withColumn("_unit", _unit(seed)).join(chosen, "_unit")
-    return named.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*(f"`{c}`" for c in docs.columns))
+    chosen = decide(_sized(docs, seed), weights, share, ceiling, seed).where("copies > 0").select("unit", "copies")
+    named = packed(docs, unit=_unit(seed)).join(chosen, "unit")
+    return unpacked(named.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))), docs)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BLANK, gram_hashes, stored, whole, word_hashes, words_of
+from .common import BLANK, gram_hashes, packed, stored, unpacked, whole, word_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
 DIMS = 5
@@ -265,5 +265,5 @@ def _judge(docs: DataFrame, cutoff: float, least: int) -> DataFrame:
 
 def keep(docs: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    good = _judge(docs, cutoff, least).where("kept").select(F.col("key").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key()).join(good, "_key", "left_semi").drop("_key")
+    good = _judge(docs, cutoff, least).where("kept").select("key").distinct()
+    return unpacked(packed(docs, key=row_key()).join(good, "key", "left_semi"), docs)

@@ -11,6 +11,7 @@ import public_tokenizers
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import bpe, chat, exact, jaccard, mixing, pages, pii, quality, runs, substrings, windows
@@ -382,3 +383,29 @@ def test_stages(spark, docs, empty):
     assert mixed == Counter({r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies})
     good = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     assert good == {r.doc_id for r in quality.judge(docs).collect() if r.kept}
+
+
+CLASHES = ["_digest", "_length", "_key", "_doc", "_sub", "_unit", "_copies", "_copy", "_top", "_keep", "row", "unit", "copies", "digest", "length", "id", "key", "top", "copy"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_return_the_callers_columns(spark, docs, name, stage):
+    """Extra columns keep name and value, whatever the stage calls its own."""
+    wide = docs.drop("sub", "marks", "node")
+    for i, c in enumerate(CLASHES):
+        wide = wide.withColumn(c, F.concat(F.lit(f"{i}-"), F.col("doc_id").cast("string")))
+    out = stage(spark, wide, "")
+    assert out.columns == wide.columns
+    rows = out.collect()
+    assert rows and all(r[c] == f"{i}-{r.doc_id}" for r in rows for i, c in enumerate(CLASHES))
+    plain = stage(spark, docs.drop("sub", "marks", "node"), "").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain)
+
+
+def test_long_texts_come_in_pieces(docs, texts, monkeypatch):
+    """Windows, counts and shingles over the borders of pieces are those of whole texts."""
+    monkeypatch.setattr(windows, "CHUNK", {"byte": 700, "word": 90})
+    monkeypatch.setattr(quality, "PIECE", 40)
+    test_substring_dedup(docs, texts)
+    test_run_index(docs, texts, 20_000, monkeypatch)
+    test_quality_counts(docs, texts)
