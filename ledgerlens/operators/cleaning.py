@@ -275,15 +275,15 @@ def treatment_advice(df: DataFrame, flag: Column, value: str = "Amount") -> Data
         (F.avg("FraudResult") * 100).alias("arate"),
     )
     pct, extreme = F.col("pct"), F.col("om") > F.col("am") * 10
-    small = F.struct(F.lit("Low").alias("priority"), F.lit("Keep outliers").alias("treatment"))
-    capped = F.struct(F.lit("High").alias("priority"), F.lit("Winsorize at 99th percentile").alias("treatment"))
-    robust = F.struct(F.lit("Medium").alias("priority"), F.lit("Robust scaling or transformation").alias("treatment"))
-    look = F.struct(F.lit("High").alias("priority"), F.lit("Investigate source and consider removal").alias("treatment"))
-    gone = F.struct(F.lit("Critical").alias("priority"), F.lit("Remove and document justification").alias("treatment"))
+    small = F.struct(F.lit("Low").alias("priority"), F.lit("leave as they are").alias("treatment"))
+    capped = F.struct(F.lit("High").alias("priority"), F.lit("cap at the 0.99 quantile").alias("treatment"))
+    robust = F.struct(F.lit("Medium").alias("priority"), F.lit("scale by quartiles").alias("treatment"))
+    look = F.struct(F.lit("High").alias("priority"), F.lit("trace the origin").alias("treatment"))
+    gone = F.struct(F.lit("Critical").alias("priority"), F.lit("leave out with a note").alias("treatment"))
     first = F.when(pct < 1, small).when((pct < 5) & extreme, capped).when(pct < 5, robust).when(pct < 10, look).otherwise(gone)
     second = F.when(
         F.col("orate") > F.col("arate") * 3,
-        F.struct(F.lit("Critical").alias("priority"), F.lit("Create separate fraud detection model").alias("treatment")),
+        F.struct(F.lit("Critical").alias("priority"), F.lit("model flagged rows apart").alias("treatment")),
     )
     return one.select("pct", F.explode(F.array_compact(F.array(first, second))).alias("r")).select("pct", "r.priority", "r.treatment")
 

@@ -511,9 +511,9 @@ def o13b(s, sf):
     f"""WITH a AS (SELECT count(*) FILTER (WHERE {_OUT}) * 100 / count(*) AS pct, avg(Amount) FILTER (WHERE {_OUT}) AS om, avg(Amount) AS am,
          avg(FraudResult) FILTER (WHERE {_OUT}) AS orate, avg(FraudResult) AS arate FROM ev, {_OB})
         SELECT pct, CASE WHEN pct < 1 THEN 'Low' WHEN pct < 5 THEN CASE WHEN om > am * 10 THEN 'High' ELSE 'Medium' END WHEN pct < 10 THEN 'High' ELSE 'Critical' END AS priority,
-         CASE WHEN pct < 1 THEN 'Keep outliers' WHEN pct < 5 THEN CASE WHEN om > am * 10 THEN 'Winsorize at 99th percentile' ELSE 'Robust scaling or transformation' END
-         WHEN pct < 10 THEN 'Investigate source and consider removal' ELSE 'Remove and document justification' END AS treatment FROM a
-        UNION ALL SELECT pct, 'Critical', 'Create separate fraud detection model' FROM a WHERE orate > arate * 3""",
+         CASE WHEN pct < 1 THEN 'leave as they are' WHEN pct < 5 THEN CASE WHEN om > am * 10 THEN 'cap at the 0.99 quantile' ELSE 'scale by quartiles' END
+         WHEN pct < 10 THEN 'trace the origin' ELSE 'leave out with a note' END AS treatment FROM a
+        UNION ALL SELECT pct, 'Critical', 'model flagged rows apart' FROM a WHERE orate > arate * 3""",
 )
 def o14(s, sf):
     df = I.ev(s, sf)

@@ -199,9 +199,9 @@ def c14(s, sf):
 @query(
     "c15_insights",
     "category:s insight:s action:s",
-    """SELECT 'Data Overview' AS category, concat('Dataset contains ', count(*), ' transactions') AS insight, 'Proceed with feature engineering' AS action FROM evn
-       UNION ALL SELECT 'Data Quality', concat(printf('%.1f', ((count(*) - count(Value)) + (count(*) - count(ProductCategory))) * 100.0 / (count(*) * 11)), '% missing values'),
-       'Implement appropriate imputation methods' FROM evn""",
+    """SELECT 'Data Overview' AS category, concat('there are ', count(*), ' transactions') AS insight, 'go on to features' AS action FROM evn
+       UNION ALL SELECT 'Data Quality', concat(printf('%.1f', ((count(*) - count(Value)) + (count(*) - count(ProductCategory))) * 100.0 / (count(*) * 11)), '% of values absent'),
+       'fill the gaps first' FROM evn""",
 )
 def c15(s, sf):
     return Rp.insights(I.evn(s, sf))
@@ -369,11 +369,11 @@ def m07b(s, sf):
     "m08_imputation_advice",
     "column:s mechanism:s strategy:s compliance:s",
     _mech_sql()
-    + """SELECT *, CASE WHEN null_pct <= 5 THEN CASE WHEN "column" = 'Value' THEN 'Mean/Median imputation' ELSE 'Mode imputation' END
-       WHEN null_pct <= 20 THEN CASE WHEN "column" = 'Value' THEN CASE WHEN mechanism = 'MAR' THEN 'Regression imputation' ELSE 'KNN imputation (k=5)' END
-         ELSE 'Multinomial logistic regression imputation' END
-       WHEN null_pct <= 30 THEN 'Multiple Imputation by Chained Equations (MICE)' ELSE 'Consider dropping or predictive modeling' END AS strategy,
-       CASE WHEN null_pct <= 30 THEN 'Compliant with proper imputation' ELSE 'Requires validation' END AS compliance FROM mech""",
+    + """SELECT *, CASE WHEN null_pct <= 5 THEN CASE WHEN "column" = 'Value' THEN 'fill with the centre' ELSE 'fill with the mode' END
+       WHEN null_pct <= 20 THEN CASE WHEN "column" = 'Value' THEN CASE WHEN mechanism = 'MAR' THEN 'fill by regression' ELSE 'fill from 5 neighbours' END
+         ELSE 'fill by a class model' END
+       WHEN null_pct <= 30 THEN 'fill by chained rounds' ELSE 'drop or model' END AS strategy,
+       CASE WHEN null_pct <= 30 THEN 'acceptable once filled' ELSE 'needs review' END AS compliance FROM mech""",
 )
 def m08(s, sf):
     return Q.imputation_advice(I.evn(s, sf), _OTH)

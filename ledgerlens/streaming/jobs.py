@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from ledgerlens.operators import evaluation, modeling
 from ledgerlens.sources import files
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
 
 def source(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
     """Parquet files arriving under a path; event times become ``timestamp`` (a watermark needs it)."""
@@ -51,8 +53,9 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Process everything available into a parquet folder and read it back; in ``complete`` mode the table as of the last batch."""
     spark = stream.sparkSession
     out, state = files.scratch(spark, f"{name}-out"), files.scratch(spark, f"{name}-state")
-    # keys that never expire must not have to fit in an executor's memory
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # keys that never expire must not have to fit in an executor's memory; the session's own setting comes back afterwards
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     writer = stream.writeStream.option("checkpointLocation", state).outputMode(mode).trigger(availableNow=True)
     done: list[str] = []
     if mode == "complete":
@@ -64,7 +67,10 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
         writer = writer.foreachBatch(write)
     else:
         writer = writer.format("parquet").option("path", out)
-    writer.start().awaitTermination()
+    try:
+        writer.start().awaitTermination()
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
     if mode == "complete":
         return spark.read.schema(stream.schema).parquet(done[-1]) if done else spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(out)
