@@ -69,10 +69,10 @@ def splits(df: DataFrame, cols: Sequence[str], n: int | None = None, keys: Seque
             cells.append(F.struct(F.lit(i).alias("i"), F.when(drawn, values[i]).alias("v")))
     if cells:
         # about EDGE_SAMPLE numbers per bucket and column
-        drawn = df.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull() & ~F.isnan("v")).distinct().collect()
-        for i, c in enumerate(cols):
-            mine = sorted(r["v"] for r in drawn if r["i"] == i and abs(r["v"]) != INF)
-            inner = sorted({mine[len(mine) * j // wanted[c]] for j in range(1, wanted[c])}) if mine else []
+        drawn = df.select(F.inline(F.array(*cells))).where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") != INF)).distinct()
+        for r in drawn.groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("v")).collect():
+            c, mine = cols[r["i"]], r["v"]
+            inner = sorted({mine[len(mine) * j // wanted[c]] for j in range(1, wanted[c])})
             out[c] = [-INF, *(inner or [0.0]), INF]
     return out
 
