@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerlens.session import cut
+from ledgerlens.sources import files
 
 from . import cleaning, ordered, skew
 
@@ -96,7 +97,8 @@ def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
     kind = "cell string, axis int, edges array<double>"
 
     def split(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        axis, edges = borders(part, coords, FAN)
+        # children of about half the bound: many small ones would each be visited by most queries around them
+        axis, edges = borders(part, coords, min(FAN, max(2, -(-2 * int(part["n"].iloc[0]) // per_cell))))
         return pd.DataFrame({"cell": [key[0]], "axis": [axis], "edges": [edges]}).iloc[: 1 if edges else 0]
 
     while True:
@@ -105,7 +107,7 @@ def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
             return cells
         # about BORDER_SAMPLE positions of each crowded cell
         unit = F.pmod(F.xxhash64("pid", F.lit(cells.depth)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-        drawn = placed.join(crowded, "cell").where(unit * F.col("n") < F.lit(float(BORDER_SAMPLE))).drop("n", "pid")
+        drawn = placed.join(crowded, "cell").where(unit * F.col("n") < F.lit(float(BORDER_SAMPLE))).drop("pid")
         new = cut(drawn.groupBy("cell").applyInPandas(split, kind))
         if new.isEmpty():
             return cells
@@ -114,39 +116,53 @@ def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
         cells.depth += 1
 
 
-def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int):
-    """Nearest weighted points of every query row: lists of (id, distance, weight used)."""
+def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int, radius: np.ndarray | None = None):
+    """Nearest weighted points of all query rows, none beyond a row's ``radius``: arrays of row, id, distance and weight used."""
     out = []
+    # so many nearest points hold k: each counts once at least, but for the row itself and points without weight
+    most = k + 1 + int((weight <= 0).sum())
     for start in range(0, len(q), 512):
         block = q[start : start + 512]
-        d = np.sqrt(((block[:, None, :] - p[None, :, :]) ** 2).sum(axis=2))
-        for i in range(len(block)):
-            w = weight
-            if own is not None:
-                # a point is not its own neighbour, its copies are
-                w = np.where(ids == own[start + i], weight - 1, weight)
-            order = np.lexsort((*p.T[::-1], d[i]))
-            order = order[w[order] > 0]
-            used = np.minimum(w[order], np.maximum(0, k - (np.cumsum(w[order]) - w[order])))
-            keep = used > 0
-            out.append((ids[order][keep], d[i][order][keep], used[keep]))
-    return out
+        d = np.zeros((len(block), len(p)))
+        for axis in range(p.shape[1]):
+            d += (block[:, axis, None] - p[None, :, axis]) ** 2
+        d = np.sqrt(d)
+        limit = np.full(len(block), INF) if radius is None else radius[start : start + 512]
+        if len(p) > most:
+            limit = np.minimum(limit, np.partition(d, most - 1, axis=1)[:, most - 1])
+        # equal distances at the limit all stay, the order among them is settled below
+        row, col = np.nonzero(d <= limit[:, None])
+        # a point is not its own neighbour, its copies are
+        w = weight[col] if own is None else weight[col] - (ids[col] == own[start + row])
+        row, col, w = row[w > 0], col[w > 0], w[w > 0]
+        order = np.lexsort((*p[col].T[::-1], d[row, col], row))
+        row, col, w = row[order], col[order], w[order]
+        before = np.cumsum(w) - w
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        before = before - np.repeat(before[first], np.diff(first, append=len(row)))
+        used = np.minimum(w, np.maximum(0, k - before))
+        row, col, used = row[used > 0], col[used > 0], used[used > 0]
+        out.append((start + row, ids[col], d[row, col], used))
+    return tuple(np.concatenate(part) for part in zip(*out))
 
 
 HITS = "qid bigint, pid bigint, distance double, used bigint"
 
 
-def _hits(qids: np.ndarray, found: list) -> pd.DataFrame:
-    if not len(qids):
-        return pd.DataFrame({"qid": [], "pid": [], "distance": [], "used": []})
-    return pd.DataFrame(
-        {
-            "qid": np.repeat(qids, [len(f[0]) for f in found]),
-            "pid": np.concatenate([f[0] for f in found]),
-            "distance": np.concatenate([f[1] for f in found]),
-            "used": np.concatenate([f[2] for f in found]),
-        }
-    ).astype({"qid": "int64", "pid": "int64", "used": "int64"})
+def _written(df: DataFrame) -> DataFrame:
+    """The rows as a file: unlike a checkpoint, the search is done once for it."""
+    path = files.write(df, files.scratch(df.sparkSession, "neighbours"), "parquet")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _tasks(asked: DataFrame) -> int:
+    """Tasks of a search: some for every core, and more as there are more queries."""
+    return max(2 * asked.sparkSession.sparkContext.defaultParallelism, -(-asked.count() // VISITORS))
+
+
+def _hits(qids: np.ndarray, found: tuple) -> pd.DataFrame:
+    row, ids, distance, used = found if len(qids) else (np.empty(0, np.int64),) * 4
+    return pd.DataFrame({"qid": qids[row], "pid": ids, "distance": distance, "used": used}).astype({"qid": "int64", "pid": "int64", "distance": "float64", "used": "int64"})
 
 
 def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *, same: bool, per_cell: int = 2000) -> DataFrame:
@@ -160,13 +176,15 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
     kind = ", ".join(f"`{c}` double" for c in coords)
     placed = _anew(cut(cells.place(points.select("pid", F.col("weight").cast("bigint").alias("weight"), *coords))))
     asked = _anew(cut(cells.place(queries.select("qid", *coords))))
+    tasks = _tasks(asked)
 
     def inside(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         ids = p["pid"].to_numpy()
         qids = q["qid"].to_numpy()
         if not len(q) or not len(p):
-            return _hits(np.array([]), [])
-        found = _search(q[coords].to_numpy(float), p[coords].to_numpy(float), p["weight"].to_numpy(), ids, qids if same else None, k)
+            return _hits(np.empty(0, np.int64), ())
+        bound = q["radius"].to_numpy(float) if "radius" in q else None
+        found = _search(q[coords].to_numpy(float), p[coords].to_numpy(float), p["weight"].to_numpy(), ids, qids if same else None, k, bound)
         return _hits(qids, found)
 
     def search(visitors: DataFrame) -> DataFrame:
@@ -175,9 +193,11 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
         sizes = visitors.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(VISITORS)).cast("int").alias("parts"))
         dealt = visitors.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), "parts").cast("int")).drop("parts")
         copies = placed.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        return dealt.groupBy("cell", "part").cogroup(copies.groupBy("cell", "part")).applyInPandas(inside, HITS)
+        # a fixed number of partitions: the rows are few bytes but much work, and by their bytes they would be put into few tasks
+        meet = lambda df: df.repartition(tasks, "cell", "part").groupBy("cell", "part")
+        return meet(dealt).cogroup(meet(copies)).applyInPandas(inside, HITS)
 
-    first = cut(search(asked))
+    first = _written(search(asked))
     found = first.select("qid", "pid", "distance")
     if cells.depth:
         bound = first.groupBy("qid").agg(F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius"))
@@ -192,15 +212,16 @@ def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *,
                 open_rows = np.flatnonzero(np.isinf(r))
                 if len(open_rows):
                     x = pdf[coords].to_numpy(dtype=float)[open_rows]
-                    for i, (_, distance, used) in zip(open_rows, _search(x, some_x, some_w, some_ids, qids[open_rows] if same else None, k)):
-                        if used.sum() >= k:
-                            r[i] = distance.max()
+                    row, _, distance, used = _search(x, some_x, some_w, some_ids, qids[open_rows] if same else None, k)
+                    held, farthest = np.bincount(row, used, len(x)), np.zeros(len(x))
+                    np.maximum.at(farthest, row, distance)
+                    r[open_rows] = np.where(held >= k, farthest, INF)
                 yield pdf.assign(radius=r)
 
         # the bound is widened by a hair, so that a point at exactly its distance beyond a border counts
-        reach = reach.mapInPandas(bounded, f"qid bigint, {kind}, home string, radius double").withColumn("radius", F.col("radius") * (1 + 1e-9))
-        guests = cut(cells.reach(reach, "radius").where(F.col("cell") != F.col("home")).select("qid", *coords, "cell"))
-        found = found.unionByName(search(guests).select("qid", "pid", "distance"))
+        reach = reach.repartition(tasks, "qid").mapInPandas(bounded, f"qid bigint, {kind}, home string, radius double").withColumn("radius", F.col("radius") * (1 + 1e-9))
+        guests = _written(cells.reach(reach, "radius").where(F.col("cell") != F.col("home")).select("qid", *coords, "radius", "cell"))
+        found = found.unionByName(_written(search(guests)).select("qid", "pid", "distance"))
     joined = found.join(placed.select("pid", "weight", *coords), "pid")
     own = F.when(F.col("qid") == F.col("pid"), F.col("weight") - 1).otherwise(F.col("weight")) if same else F.col("weight")
     return _first_k(joined.withColumn("own", own), k, ["distance", *coords]).select("qid", "pid", "distance", "used")

@@ -369,3 +369,31 @@ def test_all_features_and_flags(spark, table):
     for name, options in [("logistic_regression", {}), ("decision_tree", {}), ("random_forest", {"numTrees": 5}), ("gradient_boosting", {"maxIter": 2})]:
         rows = modeling.importances(modeling.fit(table, name, **options), spark).collect()
         assert len(rows) == 16 and all(r.explainable for r in rows)
+
+
+def test_cells_are_cut_no_finer_than_needed(spark):
+    """Cells far below the bound make every query visit many of them."""
+    df = spark.range(3000).select(F.col("id").alias("pid"), F.rand(1).alias("x"), F.rand(2).alias("y"))
+    sizes = neighbours.build_cells(df, ["x", "y"], 2000).place(df).groupBy("cell").count().toPandas()["count"]
+    assert sizes.sum() == 3000 and 500 <= sizes.min() and sizes.max() <= 2000
+
+
+def test_search_stays_within_the_radius():
+    """Points beyond a query's radius are no hits; within it weights, ties and the own point count as in a plain sort."""
+    rng = np.random.default_rng(5)
+    p = np.round(rng.normal(0, 1, (700, 2)), 1)
+    weight, ids = rng.integers(1, 4, len(p)), np.arange(len(p))
+    radius = rng.uniform(0.05, 1, len(p))
+    row, hit, distance, used = neighbours._search(p, p, weight, ids, ids, 6, radius)
+    assert (distance <= radius[row]).all()
+    for i in range(0, len(p), 7):
+        d = np.sqrt(((p - p[i]) ** 2).sum(1))
+        own, left, want = np.where(ids == i, weight - 1, weight), 6, []
+        for j in sorted(ids, key=lambda j: (d[j], *p[j])):
+            if d[j] <= radius[i] and own[j] and left:
+                want.append((d[j], *p[j], min(left, own[j])))
+                left -= want[-1][-1]
+        mine = row == i
+        got = [(a, *p[j], u) for a, j, u in zip(distance[mine], hit[mine], used[mine])]
+        merged = lambda rows: pd.DataFrame(rows, columns=["d", "x", "y", "u"]).groupby(["d", "x", "y"])["u"].sum().to_dict()
+        assert merged(got) == merged(want)
