@@ -175,17 +175,18 @@ def _salt(name: str) -> np.uint64:
 
 def streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of blocks that follow each other, filled up to a substring's length, and where each block ends."""
-    values, ends, n = [], [], 0
-    for t in texts:
-        raw = t.encode()
-        start, end = words_of(raw)
-        v = word_hashes(raw, start, end)
-        if len(v) < LENGTH:
-            v = np.append(v, np.full(LENGTH - len(v), _END))
-        n += len(v)
-        values.append(v)
-        ends.append(n)
-    return (np.concatenate(values), np.array(ends)) if values else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    if not texts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    raws = [t.encode() for t in texts]
+    # all blocks at once: the line feed between them is no part of a word
+    raw = b"\n".join(raws)
+    start, end = words_of(raw)
+    own = np.diff(np.searchsorted(start, np.cumsum([len(r) + 1 for r in raws])), prepend=0)
+    n = np.maximum(own, LENGTH)
+    ends = np.cumsum(n)
+    values = np.full(ends[-1], _END)
+    values[np.arange(len(start)) + np.repeat(ends - n - (np.cumsum(own) - own), own)] = word_hashes(raw, start, end)
+    return values, ends
 
 
 def _inner(n: int, ends: np.ndarray) -> np.ndarray:
@@ -213,6 +214,11 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 KEYS = pa.schema([("host", pa.string()), ("key", pa.int64())])
 
 
+def _each(hosts: list[tuple[str, int]]) -> pa.Array:
+    """Every host as often as it is given."""
+    return pa.array([h for h, _ in hosts], pa.string()).take(pa.array(np.repeat(np.arange(len(hosts)), [n for _, n in hosts])))
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different anchors of every page."""
     for batch in batches:
@@ -226,10 +232,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(own)
             size += len(own)
             if size > 1 << 17:
-                yield pa.RecordBatch.from_arrays([pa.array([h for h, n in hosts for _ in range(n)], pa.string()), pa.array(np.concatenate(keys))], schema=KEYS)
+                yield pa.RecordBatch.from_arrays([_each(hosts), pa.array(np.concatenate(keys))], schema=KEYS)
                 hosts, keys, size = [], [], 0
         if size:
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, n in hosts for _ in range(n)], pa.string()), pa.array(np.concatenate(keys))], schema=KEYS)
+            yield pa.RecordBatch.from_arrays([_each(hosts), pa.array(np.concatenate(keys))], schema=KEYS)
 
 
 STRETCH = pa.schema([("host", pa.string()), ("key", pa.int64()), ("body", pa.binary()), ("first", pa.binary())])
@@ -346,16 +352,19 @@ def covered_blocks(texts: list[str], parts: str, often: dict[str, np.ndarray]) -
     if not len(values) or not any(len(v) for v in often.values()):
         return out
     grams = gram_hashes(values, LENGTH)
-    hit = {p: np.isin(grams, v) for p, v in often.items()}
-    begin = 0
-    for i, e in enumerate(ends.tolist()):
-        h = hit[parts[i]][begin : e - LENGTH + 1]
-        step = np.zeros(e - begin + 1, np.int64)
-        step[np.flatnonzero(h)] += 1
-        np.subtract.at(step, np.flatnonzero(h) + LENGTH, 1)
-        out[i] = bool((np.cumsum(step[:-1]) > 0).all())
-        begin = e
-    return out
+    n = np.diff(ends, prepend=0)
+    block = np.repeat(np.arange(len(ends)), n)[: len(grams)]
+    inside = np.arange(len(grams)) + LENGTH <= ends[block]
+    letters = np.array(list(parts))[block]
+    hit = np.zeros(len(grams), bool)
+    for p, v in often.items():
+        mine = np.flatnonzero(inside & (letters == p))
+        hit[mine] = np.isin(grams[mine], v)
+    at = np.flatnonzero(hit)
+    step = np.zeros(len(values) + 1, np.int64)
+    step[at] += 1
+    step[at + LENGTH] -= 1
+    return np.logical_and.reduceat(np.cumsum(step[:-1]) > 0, ends - n)
 
 
 def main_text(texts: list[str], parts: str, often: dict[str, np.ndarray]) -> tuple[str, int]:
@@ -369,11 +378,16 @@ def main_text(texts: list[str], parts: str, often: dict[str, np.ndarray]) -> tup
     return "\n".join(texts[i] for i in own if not gone[i]), lost
 
 
+def _list(hashes: pa.ListScalar) -> np.ndarray:
+    """Hashes of a list, none where there is no list."""
+    return hashes.values.to_numpy(zero_copy_only=False).view(np.uint64) if hashes.is_valid else np.empty(0, np.uint64)
+
+
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         done: list[tuple[str, int]] = []
-        for texts, parts, some, most in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
-            done.append(main_text(texts, parts, {"o": np.array(some or [], np.int64).view(np.uint64), "m": np.array(most or [], np.int64).view(np.uint64)}))
+        for texts, parts, some, most in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+            done.append(main_text(texts, parts, {"o": _list(some), "m": _list(most)}))
         texts, lost = [t for t, _ in done], [n for _, n in done]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(lost, pa.int64())], schema=OUT)
 
@@ -388,6 +402,8 @@ def boilerplate(read: DataFrame) -> DataFrame:
     numbered = known.select("row", "host", "digest")
     firsts = numbered.groupBy("host", "digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"))
     copies = numbered.join(firsts.where("n > 1").select("host", "digest", F.col("row").alias("first")), ["host", "digest"]).where("row <> first").select("row")
+    # written first: a short list is known to be short before the pages move, which then stay where they are
+    copies = stored(copies, "pages-copies")
     pages = known.join(copies, "row", "left_anti").select("host", "texts")
     sizes = stored(firsts.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= PAGES), "pages-hosts")
     enough = lambda part: F.greatest(F.lit(PAGES), F.ceil(F.col("n") * F.lit(SHARE[part])))

@@ -130,3 +130,13 @@ def test_empty_table_and_repeated_rows(spark):
     assert pages.extract(spark.createDataFrame([], SCHEMA)).collect() == []
     rows = [(7, "http://h.org/", "<p>same</p>")] * 5 + [(7, "http://h.org/", "<p>other</p>"), (None, None, None)]
     assert got(pages.extract(spark.createDataFrame(rows, SCHEMA))) == sorted([(7, "same")] * 5 + [(7, "other"), (None, "")], key=str)
+
+
+def test_copies_are_written_before_the_pages_move(spark, monkeypatch):
+    """A short list of copies is known to be short, so that the texts are not dealt out for it."""
+    names, write = [], pages.stored
+    monkeypatch.setattr(pages, "stored", lambda df, name: names.append(name) or write(df, name))
+    html = "<p>one two three four five six seven eight nine ten</p>"
+    rows = [(i, "http://h.example/a", html + f"<p>{i % 4} own words</p>") for i in range(8)]
+    got = pages.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert "pages-copies" in names and len(got) == 8 and {r.text for r in got} == {f"{i} own words" for i in range(4)}
