@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import whole
 
 #: Pieces (twice as many with the old ones) and pairs that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 60_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -228,7 +228,7 @@ def encode_text(text: str, prefixes: Prefixes, split: tuple[regex.Pattern, regex
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary())])
 #: Bytes of an outgoing batch.
-BATCH = 16 << 20
+BATCH = 4 << 20
 
 
 def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:

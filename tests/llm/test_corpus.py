@@ -409,3 +409,15 @@ def test_long_texts_come_in_pieces(docs, texts, monkeypatch):
     test_substring_dedup(docs, texts)
     test_run_index(docs, texts, 20_000, monkeypatch)
     test_quality_counts(docs, texts)
+
+
+def test_coder_memory_is_bounded():
+    """Pieces a worker remembers, old ones included; all encode alike after they were forgotten."""
+    from ledgerlens.llm import bpe
+
+    coder = bpe.Prefixes({bytes([i]): i for i in range(256)} | {b"ab": 256, b"abc": 257})
+    for i in range(300_000):
+        coder.known[f"{i}"]
+        coder.pairs.clear()
+    assert len(coder.known) + len(coder.known.old) <= 150_000
+    assert coder.known["1"] == (49,) and coder.known["abcab"] == (257, 256)
