@@ -42,6 +42,15 @@ def _spread_out(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(picked)
 
 
+def nearest_line(gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the first line with the least value in every column, and that value."""
+    near, least = np.zeros(gap.shape[1], np.int64), gap[0]
+    for j in range(1, len(gap)):
+        near[gap[j] < least] = j
+        least = np.minimum(least, gap[j])
+    return near, least
+
+
 def _totals(rows: DataFrame, runs: list[Run]) -> dict[tuple[int, int], tuple[float, float, np.ndarray]]:
     """Count, cost and coordinate sums of every cluster of every run, in one pass."""
     dims = runs[0].centers.shape[1]
@@ -54,13 +63,13 @@ def _totals(rows: DataFrame, runs: list[Run]) -> dict[tuple[int, int], tuple[flo
         for pdf in batches:
             x = np.array(pdf["x"].tolist(), dtype=float).reshape(-1, dims)
             own = (x**2).sum(axis=1)
-            gap = square[None, :] - 2 * x @ stacked.T
+            # a line for each center, so that the nearest is found by whole lines and not row by row
+            gap = square[:, None] - stacked @ (2 * x).T
             for i in range(len(at) - 1):
-                part = gap[:, at[i] : at[i + 1]]
-                near = part.argmin(axis=1)
+                near, least = nearest_line(gap[at[i] : at[i + 1]])
                 size = at[i + 1] - at[i]
                 n[at[i] : at[i + 1]] += np.bincount(near, minlength=size)
-                cost[at[i] : at[i + 1]] += np.bincount(near, weights=np.maximum(part[np.arange(len(x)), near] + own, 0), minlength=size)
+                cost[at[i] : at[i + 1]] += np.bincount(near, weights=np.maximum(least + own, 0), minlength=size)
                 for d in range(dims):
                     sums[at[i] : at[i + 1], d] += np.bincount(near, weights=x[:, d], minlength=size)
         yield pd.DataFrame({"cluster": np.arange(len(stacked)), "n": n, "cost": cost, **{f"s{d}": sums[:, d] for d in range(dims)}})

@@ -397,3 +397,9 @@ def test_search_stays_within_the_radius():
         got = [(a, *p[j], u) for a, j, u in zip(distance[mine], hit[mine], used[mine])]
         merged = lambda rows: pd.DataFrame(rows, columns=["d", "x", "y", "u"]).groupby(["d", "x", "y"])["u"].sum().to_dict()
         assert merged(got) == merged(want)
+
+
+def test_nearest_line_is_the_first_least():
+    gap = np.random.default_rng(2).integers(0, 4, (6, 500)).astype(float)
+    near, least = starts.nearest_line(gap)
+    assert (near == gap.argmin(axis=0)).all() and (least == gap.min(axis=0)).all()
