@@ -403,3 +403,23 @@ def test_nearest_line_is_the_first_least():
     gap = np.random.default_rng(2).integers(0, 4, (6, 500)).astype(float)
     near, least = starts.nearest_line(gap)
     assert (near == gap.argmin(axis=0)).all() and (least == gap.min(axis=0)).all()
+
+
+def test_grid_search_lets_go_of_forests(spark, table, monkeypatch):
+    """The driver holds no more forests than are grown at once, not those of the whole search."""
+    import gc
+    import weakref
+
+    alive, most, grow = [], [], search.grow
+
+    def counted(*args):
+        made = grow(*args)
+        alive.append(weakref.ref(made))
+        gc.collect()
+        most.append(sum(r() is not None for r in alive))
+        return made
+
+    monkeypatch.setattr(search, "grow", counted)
+    grid = search.GRID | {"class_weight": ["balanced"], "min_samples_leaf": [1, 4], "n_estimators": [2]}
+    search.grid_search(table, modeling.FEATURES, modeling.LABEL, modeling.KEY, modeling.classifier, grid, 3, 1)
+    assert len(most) == 6 and max(most) <= 2
