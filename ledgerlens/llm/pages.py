@@ -10,7 +10,7 @@ boilerplate, and a page of which nothing would be left keeps everything.
 
 The text of a page with a main part is what stays of that part, on other pages what stays of the open blocks.
 
-What travels is kept small: first only one anchor hash for every stretch of tokens, counted per host; then the token hashes of stretches whose anchor
+What travels is kept small: first only half an anchor hash for every stretch of tokens, packed by host and part, counted per host; then the token hashes of stretches whose anchor
 stands on enough pages, summed up where they are equal. Anchors with very many different stretches (``CROWD``) are counted
 by single substrings instead. A host's list of substrings is bounded by the length of its pages: each counts on a share of all pages.
 
@@ -211,31 +211,57 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["page_id", "url", "host", "digest", "parts", "texts"])
 
 
-KEYS = pa.schema([("host", pa.string()), ("key", pa.int64())])
+#: Anchors of a host are dealt out by their hash to one part for so many pages, as far as the most parts allow.
+PART_PAGES, MOST_PARTS = 64, 256
+#: Anchors that are packed at once.
+PACK = 1 << 19
+KEYS = pa.schema([("host", pa.string()), ("part", pa.int32()), ("c", pa.int64()), ("keys", pa.list_(pa.int32()))])
+KEYS_DDL = "host string, part int, c long, keys array<int>"
 
 
-def _each(hosts: list[tuple[str, int]]) -> pa.Array:
-    """Every host as often as it is given."""
-    return pa.array([h for h, _ in hosts], pa.string()).take(pa.array(np.repeat(np.arange(len(hosts)), [n for _, n in hosts])))
+def _placed(key: np.ndarray, cuts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and upper half of the hashes of anchors, by which they are counted: two that share both are looked at if they stand on enough pages together."""
+    key = key.view(np.uint64)
+    return (key % np.uint64(cuts)).astype(np.int64), (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _packed(held: dict[str, tuple[int, list[np.ndarray]]]) -> pa.RecordBatch:
+    """One row for the anchors of a host and part that stand on equally many of the pages."""
+    columns: list[list[np.ndarray]] = [[], [], [], []]
+    for i, (cuts, own) in enumerate(held.values()):
+        keys, n = np.unique(np.concatenate(own), return_counts=True)
+        for c, v in zip(columns, (np.full(len(keys), i), *_placed(keys, cuts), n)):
+            c.append(v)
+    name, part, upper, n = map(np.concatenate, columns)
+    order = np.lexsort((n, part, name))
+    name, part, upper, n = name[order], part[order], upper[order], n[order]
+    head = np.ones(len(order), bool)
+    head[1:] = (name[1:] != name[:-1]) | (part[1:] != part[:-1]) | (n[1:] != n[:-1])
+    first = np.flatnonzero(head)
+    keys = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(upper))
+    hosts = pa.array(list(held), pa.string()).take(pa.array(name[first]))
+    return pa.RecordBatch.from_arrays([hosts, pa.array(part[first], pa.int32()), pa.array(n[first], pa.int64()), keys], schema=KEYS)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different anchors of every page."""
+    """The different anchors of every page, packed by host and part."""
+    held: dict[str, tuple[int, list[np.ndarray]]] = {}
+    size = 0
     for batch in batches:
-        hosts, keys, size = [], [], 0
-        for name, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for name, texts, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             values, ends = streams(texts)
             if not len(values):
                 continue
-            own = np.unique(mix64(stretches(values, ends, SPEC)[0] ^ _salt(name))).view(np.int64)
-            hosts.append((name, len(own)))
-            keys.append(own)
+            own = np.unique(mix64(stretches(values, ends, SPEC)[0] ^ _salt(name)))
+            if not len(own):
+                continue
+            held.setdefault(name, (cuts, []))[1].append(own)
             size += len(own)
-            if size > 1 << 17:
-                yield pa.RecordBatch.from_arrays([_each(hosts), pa.array(np.concatenate(keys))], schema=KEYS)
-                hosts, keys, size = [], [], 0
-        if size:
-            yield pa.RecordBatch.from_arrays([_each(hosts), pa.array(np.concatenate(keys))], schema=KEYS)
+            if size >= PACK:
+                yield _packed(held)
+                held, size = {}, 0
+    if size:
+        yield _packed(held)
 
 
 STRETCH = pa.schema([("host", pa.string()), ("key", pa.int64()), ("body", pa.binary()), ("first", pa.binary())])
@@ -247,18 +273,19 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         size = 0
-        for name, texts, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        for name, texts, cuts, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
             values, ends = streams(texts)
             if not len(values):
                 continue
             key, _, first, n = stretches(values, ends, SPEC)
             key = mix64(key ^ _salt(name)).view(np.int64)
+            part, upper = _placed(key, cuts)
             wanted = np.sort(keys.values.to_numpy(zero_copy_only=False))
             grams = gram_hashes(values, LENGTH)
             new = np.zeros(len(grams), bool)
             inside = np.flatnonzero(_inner(len(values), ends))
             new[inside[np.unique(grams[inside], return_index=True)[1]]] = True
-            for i in np.flatnonzero(np.isin(key, wanted)).tolist():
+            for i in np.flatnonzero(np.isin(upper.astype(np.int64) * MOST_PARTS + part, wanted)).tolist():
                 a, m = int(first[i]), int(n[i])
                 rows.append((name, int(key[i]), values[a : a + m - 1 + LENGTH].tobytes(), np.packbits(new[a : a + m]).tobytes()))
                 size += 8 * (m + LENGTH)
@@ -409,11 +436,14 @@ def boilerplate(read: DataFrame) -> DataFrame:
     enough = lambda part: F.greatest(F.lit(PAGES), F.ceil(F.col("n") * F.lit(SHARE[part])))
     least = F.least(*[enough(p) for p in SHARE])
     # hosts too small for any boilerplate need not be looked at
-    pages = pages.join(sizes.select("host"), "host", "left_semi")
-    anchors = pages.mapInArrow(_anchors, "host string, key long").groupBy("host", "key").agg(F.count(F.lit(1)).alias("c"))
+    cuts = F.least(F.lit(MOST_PARTS), F.ceil(F.col("n") / PART_PAGES).cast("int"))
+    pages = pages.join(sizes.select("host", cuts.alias("cuts")), "host").select("host", "texts", "cuts")
+    # packed rows travel; they are unpacked where they are counted
+    packed = pages.mapInArrow(_anchors, KEYS_DDL).repartition("host", "part").select("host", "part", "c", F.explode("keys").alias("key"))
+    anchors = packed.groupBy("host", "part", "key").agg(F.sum("c").alias("c"))
     often = anchors.join(sizes, "host").where(F.col("c") >= least)
-    lists = stored(often.groupBy("host").agg(F.collect_list("key").alias("keys")), "pages-anchors")
-    rows = pages.join(lists, "host").select("host", "texts", "keys").mapInArrow(_stretches, STRETCH_DDL)
+    lists = stored(often.groupBy("host").agg(F.collect_list(F.col("key").cast("long") * MOST_PARTS + F.col("part")).alias("keys")), "pages-anchors")
+    rows = pages.join(lists, "host").select("host", "texts", "cuts", "keys").mapInArrow(_stretches, STRETCH_DDL)
     rows = stored(rows.groupBy("host", "key", "body", "first").agg(F.count(F.lit(1)).alias("pages")), "pages-stretches")
     crowds = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select("key"), "pages-crowds")
     if not crowds.isEmpty():

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from math import ceil
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,20 @@ def test_copies_are_written_before_the_pages_move(spark, monkeypatch):
     rows = [(i, "http://h.example/a", html + f"<p>{i % 4} own words</p>") for i in range(8)]
     got = pages.extract(spark.createDataFrame(rows, SCHEMA)).collect()
     assert "pages-copies" in names and len(got) == 8 and {r.text for r in got} == {f"{i} own words" for i in range(4)}
+
+
+def test_anchors_travel_packed(spark):
+    """About four bytes travel for an anchor, however the pages of hosts are mixed; counts are those of single pages."""
+    rng = np.random.default_rng(3)
+    many = [(f"h{i % 5}.example", [" ".join(f"w{w}" for w in rng.integers(0, 400, 60)) + " one two three four five six seven eight"], 1 + i % 5) for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*many)], names=["host", "texts", "cuts"])
+    out = pa.Table.from_batches(pages._anchors(iter([batch])))
+    want = Counter()
+    for name, texts, cuts in many:
+        values, ends = pages.streams(texts)
+        part, upper = pages._placed(np.unique(pages.mix64(pages.stretches(values, ends, pages.SPEC)[0] ^ pages._salt(name))), cuts)
+        want.update((name, p, u) for p, u in zip(part.tolist(), upper.tolist()))
+    got = Counter()
+    for row in out.to_pylist():
+        got.update({(row["host"], row["part"], k): row["c"] for k in row["keys"]})
+    assert got == want and out.nbytes < 5 * len(want)
