@@ -423,3 +423,13 @@ def test_grid_search_lets_go_of_forests(spark, table, monkeypatch):
     grid = search.GRID | {"class_weight": ["balanced"], "min_samples_leaf": [1, 4], "n_estimators": [2]}
     search.grid_search(table, modeling.FEATURES, modeling.LABEL, modeling.KEY, modeling.classifier, grid, 3, 1)
     assert len(most) == 6 and max(most) <= 2
+
+
+def test_fits_use_the_cores_in_whole_rounds(spark):
+    """Tasks of a fit fill the cores, also from a table of one partition, and no round of them is left nearly empty."""
+    one = spark.range(30_000).withColumnRenamed("id", "k").coalesce(1)
+    dealt = search.few(one, 30_000, 10_000, "k")
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.count() == 30_000
+    assert search.few(spark.range(64, numPartitions=64), 430_000).rdd.getNumPartitions() == 8
+    assert search.few(spark.range(64, numPartitions=64), 1_000_000).rdd.getNumPartitions() == 16
+    assert search.few(one, 9_000, 10_000, "k").rdd.getNumPartitions() == 1
