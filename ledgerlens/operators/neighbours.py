@@ -2,7 +2,7 @@
 
 Points are collapsed to distinct positions with a weight, so any number of copies is one point. A
 tree of cells is grown as tables: every cell that holds more than its bound is cut again at
-quantiles of the coordinate that divides it best, until none is left, whatever the number of points. Borders come
+quantiles of its widest coordinate that divides it well, until none is left, whatever the number of points. Borders come
 from a sample of bounded size per cell; they shape the work and never the result. A first
 round searches the own cell and yields an upper bound of each point's k-distance; a second round
 walks the tree down to the cells that bound can reach.
@@ -13,11 +13,13 @@ share, and distances are scaled to the full number of coordinates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -33,7 +35,7 @@ INF = float("inf")
 VISITORS = 20_000
 
 #: Most children of a cell, and about how many of its positions their borders are taken from.
-FAN = 32
+FAN = 8
 BORDER_SAMPLE = 4096
 
 #: Name of the cell that holds everything; children add a dot and their number.
@@ -41,8 +43,12 @@ ROOT = "c"
 
 
 def borders(sample: pd.DataFrame, coords: Sequence[str], fan: int) -> tuple[int, list[float]]:
-    """Coordinate and borders that leave the smallest largest child; a child starts at its border."""
-    best: tuple[int, int, list[float]] | None = None
+    """Coordinate and borders of the children; a child starts at its border.
+
+    Of the coordinates that divide about as well as the best (by the largest child) the widest is cut: a ball reaches
+    few cells that are about as long as wide, but many thin ones.
+    """
+    cuts = []
     for axis, c in enumerate(coords):
         v = np.sort(sample[c].to_numpy(dtype=float))
         edges = np.unique(v[[len(v) * i // fan for i in range(1, fan)]])
@@ -51,9 +57,12 @@ def borders(sample: pd.DataFrame, coords: Sequence[str], fan: int) -> tuple[int,
             edges = v[v > v[0]][:1]
         if len(edges):
             largest = int(np.bincount(np.searchsorted(edges, v, side="right")).max())
-            if best is None or largest < best[0]:
-                best = (largest, axis, [float(e) for e in edges])
-    return (0, []) if best is None else best[1:]
+            wide = v[-1 - len(v) // 16] - v[len(v) // 16]
+            cuts.append((largest, -wide, axis, [float(e) for e in edges]))
+    if not cuts:
+        return 0, []
+    least = min(cuts)[0]
+    return min((c for c in cuts if c[0] <= 2 * least), key=lambda c: c[1:3])[2:]
 
 
 @dataclass
@@ -116,6 +125,13 @@ def build_cells(points: DataFrame, coords: list[str], per_cell: int) -> Cells:
         cells.depth += 1
 
 
+def _within(row: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
+    """How much of each weight falls within the first ``k`` of its row; equal rows are together."""
+    before = np.cumsum(w) - w
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    return np.minimum(w, np.maximum(0, k - (before - np.repeat(before[first], np.diff(first, append=len(row))))))
+
+
 def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, own: np.ndarray | None, k: int, radius: np.ndarray | None = None):
     """Nearest weighted points of all query rows, none beyond a row's ``radius``: arrays of row, id, distance and weight used."""
     out = []
@@ -137,16 +153,15 @@ def _search(q: np.ndarray, p: np.ndarray, weight: np.ndarray, ids: np.ndarray, o
         row, col, w = row[w > 0], col[w > 0], w[w > 0]
         order = np.lexsort((*p[col].T[::-1], d[row, col], row))
         row, col, w = row[order], col[order], w[order]
-        before = np.cumsum(w) - w
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        before = before - np.repeat(before[first], np.diff(first, append=len(row)))
-        used = np.minimum(w, np.maximum(0, k - before))
+        used = _within(row, w, k)
         row, col, used = row[used > 0], col[used > 0], used[used > 0]
         out.append((start + row, ids[col], d[row, col], used))
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-HITS = "qid bigint, pid bigint, distance double, used bigint"
+#: Hits of a query, packed into one row: a row for each would be several times as large wherever it is written or dealt out.
+LISTS = "distance array<double>, pid array<bigint>, used array<int>"
+HITS = f"qid bigint, {LISTS}"
 
 
 def _written(df: DataFrame) -> DataFrame:
@@ -160,71 +175,117 @@ def _tasks(asked: DataFrame) -> int:
     return max(2 * asked.sparkSession.sparkContext.defaultParallelism, -(-asked.count() // VISITORS))
 
 
-def _hits(qids: np.ndarray, found: tuple) -> pd.DataFrame:
-    row, ids, distance, used = found if len(qids) else (np.empty(0, np.int64),) * 4
-    return pd.DataFrame({"qid": qids[row], "pid": ids, "distance": distance, "used": used}).astype({"qid": "int64", "pid": "int64", "distance": "float64", "used": "int64"})
+def _lists(n: int, row: np.ndarray, distance: np.ndarray, ids: np.ndarray, used: np.ndarray) -> list[pa.Array]:
+    """Hits, ordered by row, as the lists of ``n`` rows."""
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]), pa.int32())
+    return [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in ((distance, pa.float64()), (ids, pa.int64()), (used, pa.int32()))]
 
 
-def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *, same: bool, per_cell: int = 2000) -> DataFrame:
-    """``(qid, pid, distance, used)``: the ``k`` nearest points of each query, counted with weights.
+def _merged(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The first ``k`` of each query's hits from all cells it visited; ``used`` of a cell is at least what is left of it here."""
 
-    ``points`` has ``pid, weight`` and the coordinates, ``queries`` has ``qid`` and the coordinates.
-    ``same`` says that both are one table (equal ids), so a point does not count itself. ``used`` is
-    how much of a point's weight falls within the ``k``; ties go to the smaller coordinates.
-    """
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(batch.schema.get_field_index(c)) for c in ("distance", "pid", "used")]
+            cells = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists[0]).to_numpy())
+            row = np.repeat(cells, pc.list_value_length(lists[0].flatten()).to_numpy())
+            distance, ids, used = (v.flatten().flatten().to_numpy() for v in lists)
+            order = np.lexsort((ids, distance, row))
+            row, distance, ids, used = row[order], distance[order], ids[order], _within(row[order], used[order], k)
+            kept = used > 0
+            made = _lists(batch.num_rows, row[kept], distance[kept], ids[kept], used[kept])
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("qid")), *made], names=["qid", "distance", "pid", "used"])
+
+    return merge
+
+
+def gather(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *, same: bool, per_cell: int = 2000) -> DataFrame:
+    """``nearest`` with one row per query: ``(qid, distance, pid, used)``, the last three as lists in order."""
     cells = build_cells(points, coords, per_cell)
     kind = ", ".join(f"`{c}` double" for c in coords)
     placed = _anew(cut(cells.place(points.select("pid", F.col("weight").cast("bigint").alias("weight"), *coords))))
     asked = _anew(cut(cells.place(queries.select("qid", *coords))))
     tasks = _tasks(asked)
 
-    def inside(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        ids = p["pid"].to_numpy()
-        qids = q["qid"].to_numpy()
-        if not len(q) or not len(p):
-            return _hits(np.empty(0, np.int64), ())
-        bound = q["radius"].to_numpy(float) if "radius" in q else None
-        found = _search(q[coords].to_numpy(float), p[coords].to_numpy(float), p["weight"].to_numpy(), ids, qids if same else None, k, bound)
-        return _hits(qids, found)
-
-    def search(visitors: DataFrame) -> DataFrame:
+    def matrix(t: pa.Table) -> np.ndarray:
+        return np.column_stack([t.column(c).to_numpy() for c in coords]).astype(float)
+
+    def found(q: pa.Table, p: pa.Table) -> tuple:
+        if not q.num_rows or not p.num_rows:
+            return tuple(np.empty(0, t) for t in (np.int64, np.int64, float, np.int64))
+        bound = q.column("radius").to_numpy() if "radius" in q.column_names else None
+        qids, ids = q.column("qid").to_numpy(), p.column("pid").to_numpy()
+        return _search(matrix(q), matrix(p), p.column("weight").to_numpy(), ids, qids if same else None, k, bound)
+
+    def at_home(q: pa.Table, p: pa.Table) -> pa.Table:
+        """Every query with its place, what its cell holds for it and the bound that follows."""
+        row, ids, distance, used = found(q, p)
+        farthest = np.zeros(q.num_rows)
+        np.maximum.at(farthest, row, distance)
+        radius = np.where(np.bincount(row, used, q.num_rows) >= k, farthest, INF)
+        columns = [q.column(c).combine_chunks() for c in ("qid", *coords, "cell")]
+        return pa.Table.from_arrays([*columns, pa.array(radius), *_lists(q.num_rows, row, distance, ids, used)], names=["qid", *coords, "home", "radius", "distance", "pid", "used"])
+
+    def as_guest(q: pa.Table, p: pa.Table) -> pa.Table:
+        """The queries that hit something."""
+        row, ids, distance, used = found(q, p)
+        hit, row = np.unique(row, return_inverse=True)
+        return pa.Table.from_arrays([pa.array(q.column("qid").to_numpy()[hit], pa.int64()), *_lists(len(hit), row, distance, ids, used)], names=["qid", "distance", "pid", "used"])
+
+    def search(visitors: DataFrame, look: Callable[[pa.Table, pa.Table], pa.Table], out: str) -> DataFrame:
         """Search each visitor's cell. A cell holds ``per_cell`` positions at most; its
         visitors are dealt to as many tasks as they need, each with a copy of those positions."""
         sizes = visitors.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(VISITORS)).cast("int").alias("parts"))
-        dealt = visitors.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), "parts").cast("int")).drop("parts")
-        copies = placed.join(sizes, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        # one row for every VISITORS visitors at most
+        crowded = F.broadcast(sizes.where(F.col("parts") > 1))
+        parts = F.coalesce("parts", F.lit(1))
+        dealt = visitors.join(crowded, "cell", "left").withColumn("part", F.pmod(F.xxhash64("qid"), parts).cast("int")).drop("parts")
+        copies = placed.join(crowded, "cell", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
         # a fixed number of partitions: the rows are few bytes but much work, and by their bytes they would be put into few tasks
         meet = lambda df: df.repartition(tasks, "cell", "part").groupBy("cell", "part")
-        return meet(dealt).cogroup(meet(copies)).applyInPandas(inside, HITS)
-
-    first = _written(search(asked))
-    found = first.select("qid", "pid", "distance")
-    if cells.depth:
-        bound = first.groupBy("qid").agg(F.when(F.sum("used") >= k, F.max("distance")).otherwise(F.lit(INF)).alias("radius"))
-        reach = asked.withColumnRenamed("cell", "home").join(bound, "qid", "left").withColumn("radius", F.coalesce("radius", F.lit(INF)))
-        # a fixed number of points: the distance to the k-th of them bounds the distance to the k-th of all
-        some = placed.orderBy(F.xxhash64(*coords)).limit(max(1000, k + 1)).toPandas()
-        some_x, some_w, some_ids = some[coords].to_numpy(float), some["weight"].to_numpy(), some["pid"].to_numpy()
-
-        def bounded(batches):
-            for pdf in batches:
-                r, qids = pdf["radius"].to_numpy().copy(), pdf["qid"].to_numpy()
-                open_rows = np.flatnonzero(np.isinf(r))
-                if len(open_rows):
-                    x = pdf[coords].to_numpy(dtype=float)[open_rows]
-                    row, _, distance, used = _search(x, some_x, some_w, some_ids, qids[open_rows] if same else None, k)
-                    held, farthest = np.bincount(row, used, len(x)), np.zeros(len(x))
-                    np.maximum.at(farthest, row, distance)
-                    r[open_rows] = np.where(held >= k, farthest, INF)
-                yield pdf.assign(radius=r)
-
-        # the bound is widened by a hair, so that a point at exactly its distance beyond a border counts
-        reach = reach.repartition(tasks, "qid").mapInPandas(bounded, f"qid bigint, {kind}, home string, radius double").withColumn("radius", F.col("radius") * (1 + 1e-9))
-        guests = _written(cells.reach(reach, "radius").where(F.col("cell") != F.col("home")).select("qid", *coords, "radius", "cell"))
-        found = found.unionByName(_written(search(guests)).select("qid", "pid", "distance"))
-    joined = found.join(placed.select("pid", "weight", *coords), "pid")
-    own = F.when(F.col("qid") == F.col("pid"), F.col("weight") - 1).otherwise(F.col("weight")) if same else F.col("weight")
-    return _first_k(joined.withColumn("own", own), k, ["distance", *coords]).select("qid", "pid", "distance", "used")
+        return meet(dealt).cogroup(meet(copies)).applyInArrow(look, out)
+
+    first = _written(search(asked, at_home, f"qid bigint, {kind}, home string, radius double, {LISTS}"))
+    if not cells.depth:
+        return first.select("qid", "distance", "pid", "used")
+    # a fixed number of points: the distance to the k-th of them bounds the distance to the k-th of all
+    some = placed.orderBy(F.xxhash64(*coords)).limit(max(1000, k + 1)).toPandas()
+    some_x, some_w, some_ids = some[coords].to_numpy(float), some["weight"].to_numpy(), some["pid"].to_numpy()
+
+    def bounded(batches):
+        for pdf in batches:
+            r, qids = pdf["radius"].to_numpy().copy(), pdf["qid"].to_numpy()
+            open_rows = np.flatnonzero(np.isinf(r))
+            if len(open_rows):
+                x = pdf[coords].to_numpy(dtype=float)[open_rows]
+                row, _, distance, used = _search(x, some_x, some_w, some_ids, qids[open_rows] if same else None, k)
+                held, farthest = np.bincount(row, used, len(x)), np.zeros(len(x))
+                np.maximum.at(farthest, row, distance)
+                r[open_rows] = np.where(held >= k, farthest, INF)
+            yield pdf.assign(radius=r)
+
+    # the bound is widened by a hair, so that a point at exactly its distance beyond a border counts
+    reach = first.select("qid", *coords, "home", "radius").repartition(tasks, "qid")
+    reach = reach.mapInPandas(bounded, f"qid bigint, {kind}, home string, radius double").withColumn("radius", F.col("radius") * (1 + 1e-9))
+    guests = _written(cells.reach(reach, "radius").where(F.col("cell") != F.col("home")).select("qid", *coords, "radius", "cell"))
+    met = first.select("qid", "distance", "pid", "used").unionByName(search(guests, as_guest, HITS))
+    by_query = met.repartition(tasks, "qid").groupBy("qid").agg(*[F.collect_list(c).alias(c) for c in ("distance", "pid", "used")])
+    return _written(by_query.mapInArrow(_merged(k), HITS))
+
+
+def nearest(points: DataFrame, queries: DataFrame, coords: list[str], k: int, *, same: bool, per_cell: int = 2000) -> DataFrame:
+    """``(qid, pid, distance, used)``: the ``k`` nearest points of each query, counted with weights.
+
+    ``points`` has ``pid, weight`` and the coordinates, ``queries`` has ``qid`` and the coordinates.
+    ``same`` says that both are one table (equal ids), so a point does not count itself. ``used`` is
+    how much of a point's weight falls within the ``k``; ties go to the smaller ``pid``, which is the one
+    with the smaller coordinates where ``_positions`` gave them.
+    """
+    return _apart(gather(points, queries, coords, k, same=same, per_cell=per_cell))
+
+
+def _apart(packed: DataFrame) -> DataFrame:
+    return packed.select("qid", F.inline(F.arrays_zip("pid", "distance", F.col("used").cast("array<bigint>").alias("used"))))
 
 
 def _anew(df: DataFrame) -> DataFrame:
@@ -241,8 +302,8 @@ def _first_k(found: DataFrame, k: int, order: Sequence[str | Column]) -> DataFra
 
 
 def _positions(df: DataFrame, coords: list[str], extra: list | None = None) -> DataFrame:
-    """Distinct positions with their weight and a unique id, written once so that the ids stay."""
-    g = df.groupBy(*coords).agg(F.count(F.lit(1)).alias("weight"), *(extra or []))
+    """Distinct positions with their weight and a unique id that ascends with the coordinates, written once so that the ids stay."""
+    g = df.groupBy(*coords).agg(F.count(F.lit(1)).alias("weight"), *(extra or [])).orderBy(*coords)
     return cut(g.withColumn("pid", F.monotonically_increasing_id()))
 
 
@@ -268,9 +329,10 @@ def local_outlier_factor(df: DataFrame, key: str, cols: list[str], k: int = 20,
     """
     rows, coords = _standard(filled_with_means(df.select(key, *cols), cols), cols)
     points = _positions(rows, coords)
-    near = cut(nearest(points, points.select(F.col("pid").alias("qid"), *coords), coords, k, same=True, per_cell=per_cell))
-    k_distance = near.groupBy("qid").agg(F.max("distance").alias("kd"))
-    reach = near.join(k_distance.withColumnsRenamed({"qid": "pid"}), "pid")
+    packed = gather(points, points.select(F.col("pid").alias("qid"), *coords), coords, k, same=True, per_cell=per_cell)
+    near = _apart(packed)
+    k_distance = packed.select(F.col("qid").alias("pid"), F.array_max("distance").alias("kd"))
+    reach = near.join(k_distance, "pid")
     mean_reach = F.sum(F.greatest("distance", "kd") * F.col("used")) / F.sum("used")
     density = reach.groupBy("qid").agg((1.0 / (mean_reach + F.lit(1e-10))).alias("lrd"))
     density = cut(density)

@@ -433,3 +433,32 @@ def test_fits_use_the_cores_in_whole_rounds(spark):
     assert search.few(spark.range(64, numPartitions=64), 430_000).rdd.getNumPartitions() == 8
     assert search.few(spark.range(64, numPartitions=64), 1_000_000).rdd.getNumPartitions() == 16
     assert search.few(one, 9_000, 10_000, "k").rdd.getNumPartitions() == 1
+
+
+def test_balls_reach_few_cells(spark):
+    """Cells are about as long as wide: cut along one coordinate only, a ball would reach tens of thin ones."""
+    df = spark.range(20_000).select(F.col("id").alias("pid"), F.rand(1).alias("x"), F.rand(2).alias("y"), (F.rand(3) * 3).alias("z")).cache()
+    cells = neighbours.build_cells(df, ["x", "y", "z"], 200)
+    met = cells.reach(df.where("pid % 50 = 0").withColumn("r", F.lit(0.05)), "r").count() / 400
+    assert met < 12
+
+
+@pytest.mark.parametrize("per_cell", [10_000, 30])
+def test_hits_are_packed_by_query(spark, per_cell):
+    """One row per query, however many cells it visits; on a grid most distances are tied and go to the smaller coordinates."""
+    rng = np.random.default_rng(7)
+    p = pd.DataFrame(rng.integers(0, 16, (400, 2)), columns=["x", "y"]).astype(float)
+    points = neighbours._positions(spark.createDataFrame(p), ["x", "y"])
+    got = neighbours.gather(points, points.select(F.col("pid").alias("qid"), "x", "y"), ["x", "y"], 6, same=True, per_cell=per_cell).toPandas()
+    at = points.toPandas().set_index("pid")
+    assert sorted(got["qid"]) == sorted(at.index)
+    x, weight = at[["x", "y"]].to_numpy(), at["weight"].to_numpy()
+    for _, r in got[::9].iterrows():
+        d = np.sqrt(((x - at.loc[r["qid"], ["x", "y"]].to_numpy(float)) ** 2).sum(1))
+        left, want = 6, []
+        for j in np.lexsort((x[:, 1], x[:, 0], d)):
+            used = min(left, weight[j] - (at.index[j] == r["qid"]))
+            if used > 0:
+                want.append((at.index[j], used))
+                left -= used
+        assert [*zip(r["pid"], r["used"])] == want
