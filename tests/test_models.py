@@ -462,3 +462,25 @@ def test_hits_are_packed_by_query(spark, per_cell):
                 want.append((at.index[j], used))
                 left -= used
         assert [*zip(r["pid"], r["used"])] == want
+
+
+def test_forests_overlap_where_one_fills_the_cores(spark, table, monkeypatch):
+    """While the driver settles a level of one forest the tasks of others run, also where the tasks of one fill the cores."""
+    import threading
+
+    lock, now, most, grow = threading.Lock(), [0], [0], search.grow
+
+    def counted(*args):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        made = grow(*args)
+        with lock:
+            now[0] -= 1
+        return made
+
+    monkeypatch.setattr(search, "grow", counted)
+    monkeypatch.setattr(search, "_tasks", lambda rows, cores, per_task=50_000: cores)
+    grid = search.GRID | {"class_weight": ["balanced"], "min_samples_leaf": [1, 4], "n_estimators": [2]}
+    found = search.grid_search(table, modeling.FEATURES, modeling.LABEL, modeling.KEY, modeling.classifier, grid, 3, 6)
+    assert found.count() == 2 * 4 * 3 and most[0] == search.OVERLAP
